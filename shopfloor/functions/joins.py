@@ -1,0 +1,16 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DIMENSION_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (counted with
+    ``limit(max_rows + 1)``, so the check itself is bounded); otherwise return
+    it unchanged and let the planner/AQE pick a shuffle join."""
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim

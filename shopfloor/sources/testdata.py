@@ -154,12 +154,14 @@ def modbus_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``l_orderkey % 50 = 0`` report a read error.
     """
     li = table(spark, sf_dir, "lineitem")
+    # Explicit floor: integer casts truncate in some engines and round in others.
+    fl = lambda c: F.floor(c).cast("int")
     regs = F.array(
-        F.col("l_quantity").cast("int"),
-        F.round(F.col("l_discount") * 1000).cast("int"),
+        fl(F.col("l_quantity")),
+        fl(F.col("l_discount") * 1000 + 0.5),
         (F.col("l_partkey") % 10000).cast("int"),
-        F.round(F.col("l_tax") * 1000).cast("int"),
-        F.col("l_extendedprice").cast("int"),
+        fl(F.col("l_tax") * 1000 + 0.5),
+        fl(F.col("l_extendedprice")),
         F.lit(0), F.lit(0), F.lit(0), F.lit(0),
         (F.col("l_linenumber") % 5).cast("int"),
     )
