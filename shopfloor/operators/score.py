@@ -150,9 +150,12 @@ def _per_reading(sig: DataFrame, keys: list[str]) -> DataFrame:
 
 def _explode_metrics(narrow: DataFrame) -> DataFrame:
     # Outer explode keeps metric-less readings (metric and value null); they
-    # score 0.0 with no flags and need no join back.
-    return narrow.select("machine_id", "seq",
-                         F.explode_outer("metrics").alias("metric", "value"))
+    # score 0.0 with no flags and need no join back. A null value gets a null
+    # metric name, so it never enters a metric's row frames (frames count
+    # non-null values only) -- without an interpreted map_filter lambda.
+    e = narrow.select("machine_id", "seq", F.explode_outer("metrics").alias("_k", "value"))
+    return e.select("machine_id", "seq",
+                    F.when(F.col("value").isNotNull(), F.col("_k")).alias("metric"), "value")
 
 
 def _cold_path(narrow: DataFrame, window: int, configs) -> DataFrame:
@@ -205,9 +208,7 @@ def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     ``hot_machine_rows=None`` plans the single-Exchange path for all machines.
     """
     cfgs = resolve_configs(configs)
-    narrow = readings.select(
-        "machine_id", "seq",
-        F.map_filter("metrics", lambda k, v: v.isNotNull()).alias("metrics"))
+    narrow = readings.select("machine_id", "seq", "metrics")
     if hot_machine_rows is None:
         return _cold_path(narrow, window, cfgs)
     # Hot machines: a count aggregate (map-side combined), top-K of it

@@ -15,12 +15,14 @@ from shopfloor.operators.score import has_flags
 
 
 def batch_accounting(arrivals: DataFrame, stored_ids: DataFrame | None = None,
-                     batch_col: str = "batch_id") -> DataFrame:
+                     batch_col: str = "batch_id", kept: DataFrame | None = None) -> DataFrame:
     """One row per batch: received, processed (first seen), duplicates,
     anomalies among processed (flags non-empty), processed per protocol and
-    the true last processed event id (by seq)."""
-    kept = first_arrivals(arrivals, stored_ids).select("event_id", "seq",
-                                                       F.lit(True).alias("_new"))
+    the true last processed event id (by seq). ``kept`` = the first arrivals
+    when already computed (else derived from ``stored_ids``)."""
+    if kept is None:
+        kept = first_arrivals(arrivals, stored_ids)
+    kept = kept.select("event_id", "seq", F.lit(True).alias("_new"))
     tagged = arrivals.join(kept, ["event_id", "seq"], "left")
     new = F.coalesce(F.col("_new"), F.lit(False))
     per_proto = [F.count_if(new & (F.col("source_protocol") == p)).cast("long").alias(p)
