@@ -148,8 +148,9 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     log) follows file order: per split ``(file, block start)`` the row count
     and first row id give an exact offset, so no single-task global ranking.
     Later copies of an id are the caller's :func:`first_arrivals`."""
-    raw = (spark.read.schema(S.EVENT_LOG_SCHEMA).option("mode", "FAILFAST")
-           .option("timestampFormat", JSON_TS_FORMAT).json(path)
+    # Default timestamp parsing accepts ISO text with or without a fraction
+    # and with 'Z' or an offset (what other writers of the log produce).
+    raw = (spark.read.schema(S.EVENT_LOG_SCHEMA).option("mode", "FAILFAST").json(path)
            .select("*", F.col("_metadata.file_path").alias("_file"),
                    F.col("_metadata.file_block_start").alias("_block"),
                    F.monotonically_increasing_id().alias("_rid")))
