@@ -1,0 +1,17 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has
+    cores before CPU-heavy row-wise work (one large landed file, a single
+    Parquet row group). Inputs already split at least that finely -- any
+    large table -- are returned unchanged, so this never adds a shuffle at
+    scale. Reading the partition count plans the scan; it runs no job."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        return df
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df

@@ -60,6 +60,9 @@ def manual_ingest(readings: DataFrame, ingested_at: dt.datetime | None = None,
         "anomaly_score": F.coalesce(F.col("anomaly_score"), F.lit(0.0)),
         "anomaly_flags": F.coalesce(F.col("anomaly_flags"), F.array().cast("array<string>")),
         "status": F.coalesce(F.col("status"), F.lit("unknown")),
+        # canonical metric maps hold no null values
+        "metrics": F.map_filter(F.coalesce(F.col("metrics"), F.create_map().cast("map<string,double>")),
+                                lambda k, v: v.isNotNull()),
     })
     return out.withColumn("error", domain_errors())
 

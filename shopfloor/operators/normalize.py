@@ -15,6 +15,7 @@ from shopfloor import schema as S
 from shopfloor.functions import jsonval as J
 from shopfloor.functions.eventid import event_id
 from shopfloor.functions.joins import checked_broadcast
+from shopfloor.functions.partitioning import spread_small_input
 from shopfloor.functions.timefmt import MAX_EPOCH_SECONDS, parse_iso
 from shopfloor.functions.topic import topic_matches, topic_parts
 
@@ -73,7 +74,7 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> Data
       epoch seconds, a string ISO text; neither -> arrival time;
     * status: exact key ``status``, lower-cased, outside the domain 'unknown'.
     """
-    m = messages
+    m = spread_small_input(messages)
     if topic_filter:
         m = m.filter(topic_matches(F.col("topic"), topic_filter))
     # Stages are chained with ``let`` bindings (lambda variables), so each
@@ -152,25 +153,44 @@ def decode_registers(start: Column, registers: Column, addresses: Column) -> Col
 def normalize_modbus(polls: DataFrame) -> DataFrame:
     """Landed polls (with registry columns) -> readings. Error polls give no
     reading. Missing status register reads as code 0 (idle); unmapped code
-    -> unknown. Timestamp = poll time."""
+    -> unknown. Timestamp = poll time.
+
+    The register map is fixed, so each mapped register is read straight from
+    the block (``element_at`` at address - start, kept only when the address
+    is configured) -- no per-row lambda; :func:`decode_registers` is the
+    general block -> map decoder."""
     default_addrs = F.array(*[F.lit(a) for a in S.default_modbus_addresses()])
     addrs = F.col("register_addresses") if "register_addresses" in polls.columns else F.lit(None)
     addrs = F.when(F.size(F.coalesce(addrs, F.array().cast("array<int>"))) > 0, addrs) \
              .otherwise(default_addrs)
-    p = polls.filter(~F.coalesce(F.col("is_error"), F.lit(False)))
-    start = F.coalesce(F.col("start_address"), F.array_min(addrs))
-    p = p.select("*", decode_registers(start, F.col("registers"), addrs).alias("_regs"))
-    regs = F.col("_regs")
-    metric_pairs = [x for addr, (name, scale) in S.MODBUS_REGISTERS.items()
-                    for x in (F.lit(name), regs[addr].cast("double") * F.lit(float(scale)))]
-    metrics = F.map_filter(F.create_map(*metric_pairs), lambda k, v: v.isNotNull())
-    code = F.coalesce(regs[S.MODBUS_STATUS_REGISTER], F.lit(0))
+    p = spread_small_input(polls).filter(~F.coalesce(F.col("is_error"), F.lit(False)))
+    p = p.select("*", addrs.alias("_addrs"))
+    p = p.select("*", F.coalesce(F.col("start_address"), F.array_min("_addrs")).alias("_start"))
+
+    def reg(addr: int) -> Column:
+        idx = F.lit(addr) - F.col("_start") + 1
+        return F.when(F.array_contains(F.col("_addrs"), F.lit(addr)) & (idx >= 1),
+                      F.try_element_at(F.col("registers"), idx))
+
+    # One narrow column per register (each read once), then the map from them.
+    addrs_all = list(S.MODBUS_REGISTERS) + [S.MODBUS_STATUS_REGISTER]
+    p = p.select("*", *[reg(a).alias(f"_r{a}") for a in addrs_all])
+    empty = F.create_map().cast("map<string,double>")
+    metrics = F.map_concat(*[
+        F.when(F.col(f"_r{addr}").isNotNull(),
+               F.create_map(F.lit(name), F.col(f"_r{addr}").cast("double") * F.lit(float(scale))))
+         .otherwise(empty)
+        for addr, (name, scale) in S.MODBUS_REGISTERS.items()])
+    code = F.coalesce(F.col(f"_r{S.MODBUS_STATUS_REGISTER}"), F.lit(0))
     status = F.coalesce(_lit_map(S.MODBUS_STATUS_CODES)[code], F.lit("unknown"))
     plant = F.col("plant_id") if "plant_id" in polls.columns else F.lit(None).cast("string")
     line = F.col("line_id") if "line_id" in polls.columns else F.lit(None).cast("string")
-    raw = F.to_json(F.struct(F.map_entries(regs).alias("registers")))
+    p = p.select("*", metrics.alias("_metrics"), status.alias("_status"))
+    raw = F.to_json(F.struct(F.col("_start").alias("start_address"), F.col("registers"),
+                             F.col("_addrs").alias("addresses")))
     out = p.select(*_reading(F.col("machine_id"), plant, line, "modbus", F.col("arrived_at"),
-                             metrics, status, raw, F.col("arrival_seq"), F.col("arrived_at")),
+                             F.col("_metrics"), F.col("_status"), raw, F.col("arrival_seq"),
+                             F.col("arrived_at")),
                    "arrival_seq", F.lit(None).cast("string").alias("error"))
     return _canonical_order(out, ["arrival_seq", "error"])
 
@@ -188,7 +208,7 @@ def normalize_opcua(polls: DataFrame) -> DataFrame:
     named = F.transform(good, lambda n: F.struct(
         F.replace(F.lower(F.coalesce(n["name"], F.lit(""))), F.lit(" "), F.lit("_")).alias("nm"),
         F.try_parse_json(n["value"]).alias("v")))
-    p = polls.select("*", named.alias("_named"))
+    p = spread_small_input(polls).select("*", named.alias("_named"))
     nodes = F.col("_named")
     status_v = F.try_element_at(F.filter(nodes, lambda n: n["nm"] == F.lit(S.OPCUA_STATUS_NODE)), F.lit(-1))["v"]
     status = F.when(status_v.isNull(), F.lit("unknown")).otherwise(status_domain(J.as_text(status_v)))

@@ -105,8 +105,10 @@ def test_window_below_ten_never_scores_z_or_flat(spark):
 def test_cold_path_plans_one_exchange(spark):
     readings = td.arrivals(spark, SF01)
     plan = sc.score(readings, hot_machine_rows=None)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1, plan
-    assert plan.count("Window") == 1
+    # one hash shuffle (by machine_id) serves the window and the regroup; a
+    # round-robin spread of a single-split input may precede it
+    assert plan.count("hashpartitioning") == 1, plan
+    assert plan.count("Window [") == 1
 
 
 def test_annotate_keeps_rows_and_stamps(spark):
