@@ -10,7 +10,8 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     cores before CPU-heavy row-wise work (one large landed file, a single
     Parquet row group). Inputs already split at least that finely -- any
     large table -- are returned unchanged, so this never adds a shuffle at
-    scale. Reading the partition count plans the scan; it runs no job."""
+    scale. Apply to plain scans only: reading the partition count plans the
+    input, which runs no job for a scan (it could for joins under AQE)."""
     par = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming:
         return df

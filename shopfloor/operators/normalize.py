@@ -15,7 +15,6 @@ from shopfloor import schema as S
 from shopfloor.functions import jsonval as J
 from shopfloor.functions.eventid import event_id
 from shopfloor.functions.joins import checked_broadcast
-from shopfloor.functions.partitioning import spread_small_input
 from shopfloor.functions.timefmt import MAX_EPOCH_SECONDS, parse_iso
 from shopfloor.functions.topic import topic_matches, topic_parts
 
@@ -74,7 +73,7 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> Data
       epoch seconds, a string ISO text; neither -> arrival time;
     * status: exact key ``status``, lower-cased, outside the domain 'unknown'.
     """
-    m = spread_small_input(messages)
+    m = messages
     if topic_filter:
         m = m.filter(topic_matches(F.col("topic"), topic_filter))
     # Stages are chained with ``let`` bindings (lambda variables), so each
@@ -163,7 +162,7 @@ def normalize_modbus(polls: DataFrame) -> DataFrame:
     addrs = F.col("register_addresses") if "register_addresses" in polls.columns else F.lit(None)
     addrs = F.when(F.size(F.coalesce(addrs, F.array().cast("array<int>"))) > 0, addrs) \
              .otherwise(default_addrs)
-    p = spread_small_input(polls).filter(~F.coalesce(F.col("is_error"), F.lit(False)))
+    p = polls.filter(~F.coalesce(F.col("is_error"), F.lit(False)))
     p = p.select("*", addrs.alias("_addrs"))
     p = p.select("*", F.coalesce(F.col("start_address"), F.array_min("_addrs")).alias("_start"))
 
@@ -208,7 +207,7 @@ def normalize_opcua(polls: DataFrame) -> DataFrame:
     named = F.transform(good, lambda n: F.struct(
         F.replace(F.lower(F.coalesce(n["name"], F.lit(""))), F.lit(" "), F.lit("_")).alias("nm"),
         F.try_parse_json(n["value"]).alias("v")))
-    p = spread_small_input(polls).select("*", named.alias("_named"))
+    p = polls.select("*", named.alias("_named"))
     nodes = F.col("_named")
     status_v = F.try_element_at(F.filter(nodes, lambda n: n["nm"] == F.lit(S.OPCUA_STATUS_NODE)), F.lit(-1))["v"]
     status = F.when(status_v.isNull(), F.lit("unknown")).otherwise(status_domain(J.as_text(status_v)))

@@ -151,6 +151,15 @@ def q_ingest_accounting(spark, sf):
     return accounting.batch_accounting(arr, stored_ids=None, batch_col="batch_id")
 
 
+def q_event_id_groups(spark, sf):
+    """OP-11: ids computed from canonical content over all arrivals must group
+    readings exactly like their content does: (copies per id, ids)."""
+    from shopfloor.functions.eventid import event_id
+    ids = td.arrivals(spark, sf).select(event_id().alias("eid"))
+    return (ids.groupBy("eid").agg(F.count(F.lit(1)).alias("copies"))
+            .groupBy("copies").agg(F.count(F.lit(1)).alias("ids")))
+
+
 def q_normalize_mqtt(spark, sf):
     good, _ = normalize.split_errors(normalize.normalize_mqtt(td.mqtt_messages(spark, sf)))
     return normalize.wide_metrics(good).select(
@@ -208,6 +217,7 @@ QUERIES = {
     "wide_rows": q_wide_rows,
     "point_tags": q_point_tags,
     "ingest_accounting": q_ingest_accounting,
+    "event_id_groups": q_event_id_groups,
     "normalize_mqtt": q_normalize_mqtt,
     "mqtt_rejects": q_mqtt_rejects,
     "normalize_modbus": q_normalize_modbus,

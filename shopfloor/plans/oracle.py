@@ -294,6 +294,10 @@ SQL = {
         + ", arg_max(event_id, seq) FILTER (WHERE is_new) AS last_event_id FROM ("
         "SELECT *, CAST(floor(seq / 2000) AS BIGINT) AS batch_id, "
         "row_number() OVER (PARTITION BY event_id ORDER BY seq) = 1 AS is_new FROM live) GROUP BY batch_id"),
+    "event_id_groups": _with(
+        "SELECT copies, count(*) AS ids FROM (SELECT count(*) AS copies FROM arrivals GROUP BY "
+        f"machine_id, plant_id, line_id, source_protocol, \"timestamp\", {_M}, status) GROUP BY copies",
+        BASE),
     "normalize_mqtt": _with(
         f"SELECT arrival_seq, machine_id, plant_id, line_id, status, ts_us, {_M} FROM mq_good",
         BASE + "," + _mqtt_ctes()),

@@ -142,6 +142,18 @@ def write_event_log(readings: DataFrame, path: str, mode: str = "append") -> Non
      .option("ignoreNullFields", "false").json(path))
 
 
+def read_event_log_stream(spark: SparkSession, path: str,
+                          max_files_per_trigger: int | None = None) -> DataFrame:
+    """OP-04 as a stream: new JSONL files of a log folder, fixed schema; the
+    stream checkpoint replaces the byte offset. Lines must carry ``seq`` (this
+    package's writer adds it); import foreign logs once with
+    :func:`read_event_log`, which derives it from file position."""
+    r = spark.readStream.schema(S.EVENT_LOG_SCHEMA).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(path).select(*S.READING_COLUMNS)
+
+
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     """OP-04: read JSONL readings with a fixed schema; a malformed line fails
     the job (FAILFAST), blank lines are skipped. ``seq`` (when absent in the

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor import schema as S
+from shopfloor.functions.partitioning import spread_small_input
 
 try:  # YAML registries are optional; JSON always works.
     import yaml
@@ -35,7 +36,7 @@ def read_raw(spark: SparkSession, kind: str, path: str, fmt: str = "parquet",
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.load(path)
-    return spark.read.schema(schema).format(fmt).load(path)
+    return spread_small_input(spark.read.schema(schema).format(fmt).load(path))
 
 
 def read_mqtt_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,

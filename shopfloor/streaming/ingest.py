@@ -44,7 +44,7 @@ def _stored_ids(spark: SparkSession, store_path: str, since_date=None) -> DataFr
 def process_batch(batch: DataFrame, batch_id: int, store_path: str,
                   wide_path: str | None = None, points_path: str | None = None,
                   accounting_path: str | None = None,
-                  dedup_lookback_days: int | None = None) -> None:
+                  dedup_lookback_days: int | None = None, log_path: str | None = None) -> None:
     """One micro-batch of scored readings -> store, sinks, accounting."""
     spark = batch.sparkSession
     batch = batch.persist()
@@ -66,6 +66,8 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
             stores.write_wide_table(fresh, wide_path)
         if points_path:
             stores.write_points(fresh, points_path)
+        if log_path:
+            stores.write_event_log(fresh, log_path)
         # The store append goes last: writing a path refreshes every cached
         # plan that reads it, and ``fresh`` was computed against the store's
         # ids -- appending first would turn this batch into all-duplicates.
@@ -82,7 +84,7 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
                  configs=None, pipeline_version: str = S.DEFAULT_PIPELINE_VERSION,
                  detector_version: str = S.DEFAULT_DETECTOR_VERSION,
                  ingested_at: dt.datetime | None = None, trigger: dict | None = None,
-                 dedup_lookback_days: int | None = None):
+                 dedup_lookback_days: int | None = None, log_path: str | None = None):
     """Start the live pipeline on a streaming DataFrame of canonical readings.
 
     Scoring runs before dedup (duplicates feed the rolling state, as in the
@@ -96,7 +98,7 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
     writer = (scored.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, bid: process_batch(
                   df, bid, store_path, wide_path, points_path, accounting_path,
-                  dedup_lookback_days)))
+                  dedup_lookback_days, log_path)))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

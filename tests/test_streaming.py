@@ -46,7 +46,7 @@ def test_ingest_pipeline_dedups_and_accounts(spark, tmp_path):
     store_path, acc_path = str(tmp_path / "store"), str(tmp_path / "acc")
     q = ingest.start_ingest(stream, str(tmp_path / "ck"), store_path,
                             wide_path=str(tmp_path / "wide"), points_path=str(tmp_path / "points"),
-                            accounting_path=acc_path)
+                            accounting_path=acc_path, log_path=str(tmp_path / "log"))
     q.processAllAvailable()
     q.stop()
     stored = spark.read.parquet(store_path)
@@ -61,3 +61,13 @@ def test_ingest_pipeline_dedups_and_accounts(spark, tmp_path):
     assert tot.total_duplicates == arr.count() - n_events
     assert spark.read.parquet(str(tmp_path / "wide")).count() == n_events
     assert spark.read.text(str(tmp_path / "points")).count() == n_events
+    # the JSONL log tails as a stream (OP-04) and holds every stored reading
+    from shopfloor.sinks import stores
+    tail = stores.read_event_log_stream(spark, str(tmp_path / "log"))
+    q2 = (tail.writeStream.format("memory").queryName("log_tail")
+          .option("checkpointLocation", str(tmp_path / "ck2")).start())
+    q2.processAllAvailable()
+    q2.stop()
+    logged = spark.sql("select * from log_tail")
+    assert logged.count() == n_events
+    assert logged.join(stored.select("event_id", "seq"), ["event_id", "seq"]).count() == n_events
