@@ -48,6 +48,15 @@ def q_score_readings(spark, sf):
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
 
+def q_score_readings_split(spark, sf):
+    """Same scores through the hot-machine plan: every machine is treated as
+    hot (threshold below any machine's count), positions come from 2000-wide
+    seq buckets, frames run per 64-row chunk with halos. Whole tables."""
+    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, bucket_rows=2000, chunk_rows=64)
+    return scored.select("seq", "machine_id", "anomaly_score",
+                         F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
+
+
 def q_dedup_store(spark, sf):
     return _flags(store(spark, sf).select("seq", "event_id", "machine_id", "pipeline_version",
                                           "anomaly_score", "anomaly_flags"))
@@ -198,6 +207,7 @@ def q_normalize_union(spark, sf):
 
 QUERIES = {
     "score_readings": q_score_readings,
+    "score_readings_split": q_score_readings_split,
     "dedup_store": q_dedup_store,
     "pipeline_stats": q_pipeline_stats,
     "protocol_counts": q_protocol_counts,

@@ -214,6 +214,7 @@ _M = ", ".join(METRICS)
 
 SQL = {
     "score_readings": _with("SELECT seq, machine_id, anomaly_score, anomaly_flags FROM a_scores"),
+    "score_readings_split": _with("SELECT seq, machine_id, anomaly_score, anomaly_flags FROM a_scores"),
     "dedup_store": _with("SELECT seq, event_id, machine_id, pipeline_version, anomaly_score, "
                          "anomaly_flags FROM store"),
     "pipeline_stats": _with(
