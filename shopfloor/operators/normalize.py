@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shopfloor import schema as S
 from shopfloor.functions import jsonval as J
-from shopfloor.functions.eventid import event_id
+from shopfloor.functions.eventid import event_id, event_id_jvm
 from shopfloor.functions.joins import checked_broadcast
 from shopfloor.functions.timefmt import MAX_EPOCH_SECONDS, parse_iso
 from shopfloor.functions.topic import topic_matches, topic_parts
@@ -38,7 +38,7 @@ def _finite(metrics: Column) -> Column:
 
 
 def _reading(machine_id, plant_id, line_id, protocol, timestamp, metrics, status, raw,
-             seq, arrived_at) -> list[Column]:
+             seq, arrived_at, exact_ids: bool = True) -> list[Column]:
     cols = {
         "machine_id": machine_id, "plant_id": plant_id, "line_id": line_id,
         "source_protocol": F.lit(protocol), "timestamp": timestamp,
@@ -46,7 +46,8 @@ def _reading(machine_id, plant_id, line_id, protocol, timestamp, metrics, status
         "raw_payload": raw,
     }
     out = [c.alias(n) for n, c in cols.items()]
-    eid = event_id(machine_id, plant_id, line_id, F.lit(protocol), timestamp, metrics, status)
+    make_id = event_id if exact_ids else event_id_jvm
+    eid = make_id(machine_id, plant_id, line_id, F.lit(protocol), timestamp, metrics, status)
     return out + [eid.alias("event_id"), F.lit(0.0).alias("anomaly_score"),
                   F.array().cast("array<string>").alias("anomaly_flags"),
                   F.lit(S.DEFAULT_PIPELINE_VERSION).alias("pipeline_version"),
@@ -60,7 +61,8 @@ def _canonical_order(df: DataFrame, extra: list[str]) -> DataFrame:
 
 # -- MQTT (OP-08, OP-09) ---------------------------------------------------
 
-def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> DataFrame:
+def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None,
+                   exact_ids: bool = True) -> DataFrame:
     """``(topic, payload, arrival_seq, arrived_at)`` -> readings + ``error``.
 
     * topic: strip '/', split; plant = level 2, line = level 3, machine =
@@ -72,6 +74,9 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> Data
     * timestamp: ``ts``, else ``timestamp`` when ``ts`` is falsy; a number is
       epoch seconds, a string ISO text; neither -> arrival time;
     * status: exact key ``status``, lower-cased, outside the domain 'unknown'.
+
+    ``exact_ids`` (default) makes event ids byte-equal to other writers';
+    ``False`` uses the all-JVM form (see :mod:`shopfloor.functions.eventid`).
     """
     m = messages
     if topic_filter:
@@ -126,7 +131,7 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> Data
     error = F.col("_error")
     out = m.select(*_reading(F.col("_machine"), F.col("_plant"), F.col("_line"), "mqtt", F.col("_ts"),
                              F.col("_metrics"), F.col("_status"), F.col("payload"),
-                             F.col("arrival_seq"), F.col("arrived_at")),
+                             F.col("arrival_seq"), F.col("arrived_at"), exact_ids),
                    "arrival_seq", error.alias("error"))
     return _canonical_order(out, ["arrival_seq", "error"])
 
@@ -149,7 +154,7 @@ def decode_registers(start: Column, registers: Column, addresses: Column) -> Col
     return F.map_from_entries(F.filter(entries, lambda e: F.array_contains(addresses, e["addr"])))
 
 
-def normalize_modbus(polls: DataFrame) -> DataFrame:
+def normalize_modbus(polls: DataFrame, exact_ids: bool = True) -> DataFrame:
     """Landed polls (with registry columns) -> readings. Error polls give no
     reading. Missing status register reads as code 0 (idle); unmapped code
     -> unknown. Timestamp = poll time.
@@ -189,14 +194,14 @@ def normalize_modbus(polls: DataFrame) -> DataFrame:
                              F.col("_addrs").alias("addresses")))
     out = p.select(*_reading(F.col("machine_id"), plant, line, "modbus", F.col("arrived_at"),
                              F.col("_metrics"), F.col("_status"), raw, F.col("arrival_seq"),
-                             F.col("arrived_at")),
+                             F.col("arrived_at"), exact_ids),
                    "arrival_seq", F.lit(None).cast("string").alias("error"))
     return _canonical_order(out, ["arrival_seq", "error"])
 
 
 # -- OPC-UA (OP-10b) -------------------------------------------------------
 
-def normalize_opcua(polls: DataFrame) -> DataFrame:
+def normalize_opcua(polls: DataFrame, exact_ids: bool = True) -> DataFrame:
     """Node lists -> readings. Per node in order: quality must be 'Good'
     (missing = Good); name lower-cased with spaces -> '_'; 'machine_status'
     sets the status; mapped names with number/boolean values become metrics,
@@ -219,9 +224,13 @@ def normalize_opcua(polls: DataFrame) -> DataFrame:
     plant = F.col("plant_id") if "plant_id" in polls.columns else F.lit(None).cast("string")
     line = F.col("line_id") if "line_id" in polls.columns else F.lit(None).cast("string")
     raw = F.to_json(F.struct(F.col("nodes").alias("nodes")))
-    error = F.when(~_finite(metrics), F.lit(ERR_NON_FINITE))
+    # Metrics and status become columns first, so the id function and the
+    # outputs refer to them instead of copies of the node-list expressions.
+    p = p.select("*", metrics.alias("_metrics"), status.alias("_status"))
+    error = F.when(~_finite(F.col("_metrics")), F.lit(ERR_NON_FINITE))
     out = p.select(*_reading(F.col("machine_id"), plant, line, "opcua", F.col("arrived_at"),
-                             metrics, status, raw, F.col("arrival_seq"), F.col("arrived_at")),
+                             F.col("_metrics"), F.col("_status"), raw, F.col("arrival_seq"),
+                             F.col("arrived_at"), exact_ids),
                    "arrival_seq", error.alias("error"))
     return _canonical_order(out, ["arrival_seq", "error"])
 
