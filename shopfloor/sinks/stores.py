@@ -129,7 +129,7 @@ def write_wide_table(readings: DataFrame, path: str) -> DataFrame:
 
 # -- JSONL event log (OP-47, OP-48, OP-04) ---------------------------------
 
-def _log_columns(readings: DataFrame) -> list[Column]:
+def log_columns(readings: DataFrame) -> list[Column]:
     names = sorted(c for c in S.READING_COLUMNS if c in readings.columns)
     return [F.col(c) for c in names]
 
@@ -137,7 +137,7 @@ def _log_columns(readings: DataFrame) -> list[Column]:
 def write_event_log(readings: DataFrame, path: str, mode: str = "append") -> None:
     """OP-47: one JSON object per line, keys sorted, in append (seq) order
     within each file. OP-48 (replay export) is ``mode='overwrite'``."""
-    (readings.select(*_log_columns(readings)).sortWithinPartitions("seq")
+    (readings.select(*log_columns(readings)).sortWithinPartitions("seq")
      .write.mode(mode).option("timestampFormat", JSON_TS_FORMAT)
      .option("ignoreNullFields", "false").json(path))
 

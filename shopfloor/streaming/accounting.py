@@ -37,8 +37,9 @@ def batch_accounting(arrivals: DataFrame, stored_ids: DataFrame | None = None,
 
 
 def totals(per_batch: DataFrame) -> DataFrame:
-    """Running totals over all batches (one row)."""
+    """Running totals over all batch rows (one row)."""
     cols = ["received", "processed", "duplicates", "anomalies", *S.PROTOCOLS]
     return per_batch.agg(*[F.sum(c).cast("long").alias(f"total_{c}") for c in cols],
-                         F.max_by("last_event_id", F.when(F.col("processed") > 0, F.col(per_batch.columns[0])))
+                         F.max_by("last_event_id",
+                                  F.when(F.col("processed") > 0, F.col("batch_id")))
                          .alias("last_event_id"))

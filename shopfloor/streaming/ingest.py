@@ -4,11 +4,17 @@
 stamp -> keyed-state scoring -> ``foreachBatch``:
 
 1. persist the batch once (several sinks read it);
-2. first arrivals: dedup inside the batch and against the store's ids;
-3. write the batch's accounting row (keyed by ``batch_id``; a retried batch
-   overwrites its own row, so totals are exact under at-least-once replays);
-4. append new readings to the wide table (idempotent by id), the point
-   files and, last, the store (Parquet, ``seq`` kept).
+2. first arrivals: dedup inside the batch and against ids stored by earlier
+   batches;
+3. write the accounting row, the point lines, the JSONL log lines and, last,
+   the store rows (Parquet, ``seq`` kept) -- each into this batch's own
+   ``batch_id`` partition with dynamic partition overwrite, plus the wide
+   table (anti-join on id).
+
+A lost executor or a failed batch makes Spark re-run the batch from the
+checkpoint; because every output of a batch replaces its own partition and
+dedup ignores the batch's own earlier attempt, the retry produces the same
+rows and counts as an uninterrupted run.
 
 Errors fail the batch and Spark retries it from the checkpoint instead of
 swallowing them; the dedup in step 2 makes the retry idempotent.
@@ -29,23 +35,40 @@ from shopfloor.streaming.accounting import batch_accounting
 from shopfloor.streaming.stateful import score_stream
 
 
-def _stored_ids(spark: SparkSession, store_path: str, since_date=None) -> DataFrame | None:
+def _stored_ids(spark: SparkSession, store_path: str, batch_id: int,
+                since_date=None) -> DataFrame | None:
+    """Ids stored by *earlier* batches. The store is partitioned by
+    ``batch_id``; excluding this batch's own partition makes a retried batch
+    see exactly what its first attempt saw (partition pruning, no scan)."""
     try:
         st = spark.read.parquet(store_path)
     except AnalysisException:
         return None
+    st = st.filter(F.col("batch_id") < F.lit(batch_id))
     if since_date is not None:
-        # Partition pruning: only recent event dates are compared when ids
-        # are known not to re-arrive later than ``dedup_lookback_days``.
-        st = st.filter(F.col("event_date") >= F.lit(since_date))
+        # Only recent event dates are compared when ids are known not to
+        # re-arrive later than ``dedup_lookback_days`` (row-group pruning).
+        st = st.filter(F.to_date("timestamp") >= F.lit(since_date))
     return st.select("event_id")
 
 
+def _overwrite_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+    """Write one batch's rows into its own ``batch_id`` partition; a retry
+    replaces that partition instead of appending a second copy."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").format(fmt).save(path))
+
+
 def process_batch(batch: DataFrame, batch_id: int, store_path: str,
                   wide_path: str | None = None, points_path: str | None = None,
                   accounting_path: str | None = None,
                   dedup_lookback_days: int | None = None, log_path: str | None = None) -> None:
-    """One micro-batch of scored readings -> store, sinks, accounting."""
+    """One micro-batch of scored readings -> store, sinks, accounting.
+
+    Idempotent under retries: every output is this batch's own partition
+    (dynamic overwrite) or an id-keyed anti-join, and dedup compares against
+    earlier batches only."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
@@ -53,26 +76,22 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
         if dedup_lookback_days is not None:
             lo = batch.agg(F.min(F.to_date("timestamp"))).first()[0]
             since = lo - dt.timedelta(days=dedup_lookback_days) if lo else None
-        stored = _stored_ids(spark, store_path, since)
+        stored = _stored_ids(spark, store_path, batch_id, since)
         fresh = first_arrivals(batch, stored).persist()
         if accounting_path:
-            # Written first, from this batch's own dedup result; a retried
-            # batch overwrites its row (dynamic partition overwrite).
             acc = batch_accounting(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                   batch_col="batch_id", kept=fresh)
-            (acc.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(accounting_path))
+                                   batch_col="batch_id", kept=fresh).drop("batch_id")
+            _overwrite_batch(acc, batch_id, accounting_path)
         if wide_path:
             stores.write_wide_table(fresh, wide_path)
         if points_path:
-            stores.write_points(fresh, points_path)
+            _overwrite_batch(stores.line_protocol(fresh), batch_id, points_path, "text")
         if log_path:
-            stores.write_event_log(fresh, log_path)
-        # The store append goes last: writing a path refreshes every cached
-        # plan that reads it, and ``fresh`` was computed against the store's
-        # ids -- appending first would turn this batch into all-duplicates.
-        (fresh.withColumn("event_date", F.to_date("timestamp"))
-         .write.mode("append").partitionBy("event_date").parquet(store_path))
+            _overwrite_batch(fresh.select(*stores.log_columns(fresh))
+                             .sortWithinPartitions("seq"), batch_id, log_path, "json")
+        # The store goes last: writing a path refreshes cached plans that
+        # read it, and ``fresh`` was computed against the store's ids.
+        _overwrite_batch(fresh.sortWithinPartitions("machine_id", "timestamp"), batch_id, store_path)
         fresh.unpersist()
     finally:
         batch.unpersist()
