@@ -122,7 +122,10 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None,
                           .when(~_finite(r["metrics"]), F.lit(ERR_NON_FINITE)).alias("error")))
 
     row = J.let(J.let(F.from_json(F.col("payload"), "map<string,variant>"), parsed), timed)
-    m = m.select("*", row.alias("_r"), topic_parts(F.col("topic")).alias("_parts"))
+    # explode of a one-element array: a generated column, so a filter on the
+    # result (e.g. ``error IS NULL``) cannot be pushed below it and evaluate
+    # the whole chain a second time.
+    m = m.select("*", F.explode(F.array(row)).alias("_r"), topic_parts(F.col("topic")).alias("_parts"))
     m = m.select("*", F.col("_r.ts").alias("_ts"), F.col("_r.metrics").alias("_metrics"),
                  F.col("_r.status").alias("_status"), F.col("_r.error").alias("_error"),
                  F.try_element_at(F.col("_parts"), F.lit(2)).alias("_plant"),
