@@ -63,15 +63,22 @@ def _overwrite_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parque
 def process_batch(batch: DataFrame, batch_id: int, store_path: str,
                   wide_path: str | None = None, points_path: str | None = None,
                   accounting_path: str | None = None,
-                  dedup_lookback_days: int | None = None, log_path: str | None = None) -> None:
+                  dedup_lookback_days: int | None = None, log_path: str | None = None,
+                  rejected_path: str | None = None) -> None:
     """One micro-batch of scored readings -> store, sinks, accounting.
 
     Idempotent under retries: every output is this batch's own partition
     (dynamic overwrite) or an id-keyed anti-join, and dedup compares against
     earlier batches only."""
     spark = batch.sparkSession
-    batch = batch.persist()
+    cached = batch.persist()
+    batch = cached
     try:
+        if "error" in batch.columns:
+            # Dead letters (OP-15): kept in their own sink, never stored.
+            if rejected_path:
+                _overwrite_batch(batch.filter(F.col("error").isNotNull()), batch_id, rejected_path)
+            batch = batch.filter(F.col("error").isNull()).drop("error")
         since = None
         if dedup_lookback_days is not None:
             lo = batch.agg(F.min(F.to_date("timestamp"))).first()[0]
@@ -94,7 +101,7 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
         _overwrite_batch(fresh.sortWithinPartitions("machine_id", "timestamp"), batch_id, store_path)
         fresh.unpersist()
     finally:
-        batch.unpersist()
+        cached.unpersist()
 
 
 def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *,
@@ -103,8 +110,11 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
                  configs=None, pipeline_version: str = S.DEFAULT_PIPELINE_VERSION,
                  detector_version: str = S.DEFAULT_DETECTOR_VERSION,
                  ingested_at: dt.datetime | None = None, trigger: dict | None = None,
-                 dedup_lookback_days: int | None = None, log_path: str | None = None):
-    """Start the live pipeline on a streaming DataFrame of canonical readings.
+                 dedup_lookback_days: int | None = None, log_path: str | None = None,
+                 rejected_path: str | None = None):
+    """Start the live pipeline on a streaming DataFrame of canonical readings
+    (e.g. ``normalize_mqtt(read_raw(spark, "mqtt", path, stream=True))``;
+    an ``error`` column marks rejects, which go to ``rejected_path``).
 
     Scoring runs before dedup (duplicates feed the rolling state, as in the
     live service). ``checkpoint`` must be a shared folder on a cluster.
@@ -117,7 +127,7 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
     writer = (scored.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, bid: process_batch(
                   df, bid, store_path, wide_path, points_path, accounting_path,
-                  dedup_lookback_days, log_path)))
+                  dedup_lookback_days, log_path, rejected_path)))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -71,9 +71,15 @@ def _processor(window: int, configs: Mapping[str, S.MetricConfig], detector_vers
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         history = {k: list(v) for k, v in _as_dict(state.get[0]).items()} if state.exists else {}
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        errors = batch["error"] if "error" in batch.columns else [None] * len(batch)
         scores, flags = [], []
-        for m in batch["metrics"]:
+        for m, err in zip(batch["metrics"], errors):
             row_scores, row_flags = [], set()
+            if err is not None and not (isinstance(err, float) and np.isnan(err)):
+                # rejected message (dead letter): passed through, no state change
+                scores.append(0.0)
+                flags.append([])
+                continue
             for name, v in _as_dict(m).items():
                 if v is None or (isinstance(v, float) and np.isnan(v)):
                     continue
@@ -92,8 +98,10 @@ def _processor(window: int, configs: Mapping[str, S.MetricConfig], detector_vers
 
 def score_stream(readings: DataFrame, window: int = S.DEFAULT_WINDOW, configs=None,
                  detector_version: str = S.DEFAULT_DETECTOR_VERSION) -> DataFrame:
-    """Streaming (or batch) readings -> same rows with score, flags and
-    detector version, computed with per-machine state across micro-batches."""
+    """Streaming readings -> same rows with score, flags and detector
+    version, computed with per-machine state across micro-batches. Rows with
+    a non-null ``error`` (normalization rejects) pass through unscored and
+    leave the state untouched."""
     cfgs = dict(resolve_configs(configs))
     out_schema = T.StructType([f for f in readings.schema.fields])
     out_cols = [f.name for f in out_schema.fields]
