@@ -109,19 +109,28 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def write_wide_table(readings: DataFrame, path: str) -> DataFrame:
+def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None = None) -> DataFrame:
     """OP-42: append wide rows not yet in the table (by ``event_id``),
     partitioned by event date and clustered by machine and time inside files
     so row-group statistics prune machine/time filters. Returns what was
-    appended (lazily; the write itself is done)."""
+    appended (lazily; the write itself is done).
+
+    The anti-join reads only the id column of the stored table; with
+    ``lookback_days`` only the ``event_date`` partitions from that many days
+    before the batch's earliest date (partition pruning) -- for ids known
+    not to re-arrive later than that. Default: every partition (exact)."""
     spark = readings.sparkSession
     rows = to_wide(readings).withColumn("event_date", F.to_date("time"))
     existing = _read_or_none(spark, path)
     if existing is not None:
-        # Ids cannot predate their own event date much; the anti-join reads
-        # only the id column of the stored table (column pruning).
-        rows = rows.join(existing.select("event_id"), "event_id", "left_anti")
-    rows = rows.dropDuplicates(["event_id"]) if existing is None else rows
+        ids = existing
+        if lookback_days is not None:
+            lo = rows.agg(F.min("event_date")).first()[0]
+            if lo is not None:
+                ids = ids.filter(F.col("event_date") >= F.date_sub(F.lit(lo), lookback_days))
+        rows = rows.join(ids.select("event_id"), "event_id", "left_anti")
+    else:
+        rows = rows.dropDuplicates(["event_id"])
     (rows.repartition("event_date").sortWithinPartitions("machine_id", "time")
      .write.mode("append").partitionBy("event_date").parquet(path))
     return rows

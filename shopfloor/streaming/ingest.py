@@ -90,7 +90,7 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
                                    batch_col="batch_id", kept=fresh).drop("batch_id")
             _overwrite_batch(acc, batch_id, accounting_path)
         if wide_path:
-            stores.write_wide_table(fresh, wide_path)
+            stores.write_wide_table(fresh, wide_path, dedup_lookback_days)
         if points_path:
             _overwrite_batch(stores.line_protocol(fresh), batch_id, points_path, "text")
         if log_path:

@@ -141,3 +141,16 @@ def test_manual_ingest_defaults_and_domain(spark):
     assert r.error is None and r.anomaly_score == 0.3
     bad = dedup.manual_ingest(df.withColumn("anomaly_score", F.lit(1.5))).first()
     assert bad.error == "anomaly_score outside [0, 1]"
+
+
+def test_wide_table_lookback_prunes_old_partitions(spark, tmp_path):
+    old = readings(spark, [("M", 1, "e1", 70, 0, [], 0)])
+    path = str(tmp_path / "wide")
+    stores.write_wide_table(old, path)
+    later = old.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 10 DAYS"))
+    # same id 10 days later: outside a 3-day look-back it is not compared (appended),
+    # with the full table it is a duplicate
+    stores.write_wide_table(later, path, lookback_days=3)
+    assert spark.read.parquet(path).count() == 2
+    stores.write_wide_table(later, path)
+    assert spark.read.parquet(path).count() == 2
