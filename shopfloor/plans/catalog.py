@@ -62,6 +62,26 @@ def q_dedup_store(spark, sf):
                                           "anomaly_score", "anomaly_flags"))
 
 
+def q_public_view(spark, sf):
+    """OP-18: API shape of stored readings (ISO text instants, no payload)."""
+    v = Q.public_view(store(spark, sf))
+    return v.select("seq", "event_id", "machine_id", "plant_id", "line_id", "source_protocol",
+                    "timestamp", "ingested_at", "status", "anomaly_score",
+                    F.array_join("anomaly_flags", ",").alias("anomaly_flags"),
+                    "pipeline_version", "detector_version")
+
+
+def q_manual_ingest(spark, sf):
+    """OP-05: every arrival posted as an already-scored reading without
+    versions: defaults filled, domain checked, no re-scoring."""
+    posted = live_scored(spark, sf).withColumns({
+        "pipeline_version": F.lit(None).cast("string"),
+        "detector_version": F.lit(None).cast("string")})
+    out = dedup.manual_ingest(posted)
+    return out.select("seq", "event_id", "pipeline_version", "detector_version", "anomaly_score",
+                      "error")
+
+
 def q_pipeline_stats(spark, sf):
     return Q.pipeline_stats(store(spark, sf))
 
@@ -209,6 +229,8 @@ QUERIES = {
     "score_readings": q_score_readings,
     "score_readings_split": q_score_readings_split,
     "dedup_store": q_dedup_store,
+    "public_view": q_public_view,
+    "manual_ingest": q_manual_ingest,
     "pipeline_stats": q_pipeline_stats,
     "protocol_counts": q_protocol_counts,
     "active_machines": q_active_machines,

@@ -217,6 +217,15 @@ SQL = {
     "score_readings_split": _with("SELECT seq, machine_id, anomaly_score, anomaly_flags FROM a_scores"),
     "dedup_store": _with("SELECT seq, event_id, machine_id, pipeline_version, anomaly_score, "
                          "anomaly_flags FROM store"),
+    "public_view": _with(
+        f"SELECT seq, event_id, machine_id, plant_id, line_id, source_protocol, "
+        f"{_iso('\"timestamp\"')} AS \"timestamp\", {_iso('\"timestamp\"')} AS ingested_at, status, "
+        f"anomaly_score, anomaly_flags, pipeline_version, '{S.DEFAULT_DETECTOR_VERSION}' AS detector_version "
+        "FROM store"),
+    "manual_ingest": _with(
+        f"SELECT seq, event_id, '{S.MANUAL_INGEST_PIPELINE_VERSION}' AS pipeline_version, "
+        f"'{S.DEFAULT_DETECTOR_VERSION}' AS detector_version, anomaly_score, "
+        "CAST(NULL AS VARCHAR) AS error FROM live"),
     "pipeline_stats": _with(
         "SELECT count(*) AS total_readings, count(*) FILTER (WHERE anomaly_flags <> '') AS total_anomalies, "
         "count(DISTINCT machine_id) AS active_machines, arg_max(event_id, seq) AS last_event_id FROM store"),
