@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from shopfloor import schema as S
 from shopfloor.functions.topic import filter_regex
@@ -153,3 +152,12 @@ def test_union_protocols(spark):
     u = N.union_protocols(m, o)
     assert sorted(r.source_protocol for r in u.collect()) == ["mqtt", "opcua"]
     assert u.columns == list(S.READING_COLUMNS)
+
+
+def test_decode_registers_keeps_configured_addresses(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(40001, [724, 30, 1450, 0, 0, 0, 0, 0, 0, 1])],
+                               "start int, regs array<int>")
+    addrs = F.array(*[F.lit(a) for a in (40001, 40002, 40003, 40010)])
+    m = df.select(N.decode_registers(F.col("start"), F.col("regs"), addrs).alias("m")).first().m
+    assert m == {40001: 724, 40002: 30, 40003: 1450, 40010: 1}

@@ -2,7 +2,6 @@ import time
 
 from pyspark.sql import functions as F
 
-from shopfloor import schema as S
 from shopfloor.operators import score as sc
 from shopfloor.sources import testdata as td
 from shopfloor.streaming import ingest, stateful
