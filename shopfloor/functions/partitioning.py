@@ -11,8 +11,14 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     Parquet row group). Inputs already split at least that finely -- any
     large table -- are returned unchanged, so this never adds a shuffle at
     scale. Apply to plain scans only: reading the partition count plans the
-    input, which runs no job for a scan (it could for joins under AQE)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
+    input, which runs no job for a scan (it could for joins under AQE).
+    Where the partition count is not observable (e.g. a Spark Connect
+    client) the input is returned unchanged."""
     if df.isStreaming:
         return df
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD / SparkContext access from this client
+        return df
+    return df.repartition(par) if n < par else df
