@@ -32,7 +32,7 @@ from shopfloor import schema as S
 from shopfloor.operators.dedup import first_arrivals, stamp
 from shopfloor.sinks import stores
 from shopfloor.streaming.accounting import batch_accounting
-from shopfloor.streaming.stateful import score_stream
+from shopfloor.streaming.stateful import regroup, score_stream
 
 
 def _stored_ids(spark: SparkSession, store_path: str, batch_id: int,
@@ -122,12 +122,11 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
     if checkpoint is None:
         from shopfloor.session import checkpoint_dir
         checkpoint = checkpoint_dir(readings.sparkSession).rstrip("/") + "/ingest"
-    scored = score_stream(stamp(readings, ingested_at, pipeline_version), window, configs,
-                          detector_version)
-    writer = (scored.writeStream.option("checkpointLocation", checkpoint)
+    signals = score_stream(stamp(readings, ingested_at, pipeline_version), window, configs)
+    writer = (signals.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, bid: process_batch(
-                  df, bid, store_path, wide_path, points_path, accounting_path,
-                  dedup_lookback_days, log_path, rejected_path)))
+                  regroup(df, detector_version), bid, store_path, wide_path, points_path,
+                  accounting_path, dedup_lookback_days, log_path, rejected_path)))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -1,17 +1,23 @@
-"""Streaming scoring (OP-29 on a stream): keyed state per machine.
+"""Streaming scoring (OP-29 on a stream): keyed state per (machine, metric).
 
 A row-count frame over arrival order is not an event-time window, so a
-stream cannot use the batch Window plan. Each machine keeps, in Spark's
-state store, the last ``window`` values of every metric (bounded: at most
-``window`` doubles per metric). Each micro-batch's rows of a machine are
-scored in ``seq`` order with numpy over that history, then appended to it --
-the same results as :func:`shopfloor.operators.score.score` over the whole
-sequence (checked by the batch = stream test).
+stream cannot use the batch Window plan. The rolling history is per
+(machine, metric), so that is the state key: each key keeps, in Spark's
+state store, its last ``window`` values (bounded). Readings are exploded to
+one row per metric value; each micro-batch's rows of a key are scored in
+``seq`` order with numpy over that history, then appended to it. The
+reading's own columns ride along on its first metric row only, and
+:func:`regroup` (inside ``foreachBatch``, a bounded batch aggregate over at
+most the reading's metric count rows) puts score = max and flags = union
+back on the reading -- the same results as
+:func:`shopfloor.operators.score.score` over the whole sequence (checked by
+the batch = stream tests).
 
-Scale: the shuffle is by ``machine_id`` (one group per machine per batch);
-a hot machine's rows in one micro-batch go to one task, bounded by the
-source's per-trigger limit (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``),
-and its state stays at ``window`` values per metric no matter how long it runs.
+Scale: the shuffle is by (machine, metric), so a hot machine's rows of one
+micro-batch are split across its metrics; one key's rows of a micro-batch go
+to one task, bounded by the source's per-trigger limit
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); state stays at
+``window`` values per key however long the stream runs.
 """
 
 from __future__ import annotations
@@ -21,26 +27,18 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shopfloor import schema as S
 from shopfloor.operators.score import resolve_configs
 
-STATE_SCHEMA = T.StructType([T.StructField("history", T.MapType(T.StringType(),
-                                                                  T.ArrayType(T.DoubleType())))])
-
-
-def _as_dict(m) -> dict:
-    if m is None:
-        return {}
-    if isinstance(m, dict):
-        return m
-    return dict(m)
+STATE_SCHEMA = T.StructType([T.StructField("history", T.ArrayType(T.DoubleType()))])
 
 
 def _score_value(v: float, hist: list, c: S.MetricConfig, window: int):
-    """Signals of one value against its metric's history (oldest first)."""
+    """Signals of one value against its key's history (oldest first)."""
     scores, flags = [], set()
     if c.min_value is not None and v < c.min_value:
         flags.add("OUT_OF_RANGE"); scores.append(S.OUT_OF_RANGE_LOW_SCORE)
@@ -66,45 +64,63 @@ def _score_value(v: float, hist: list, c: S.MetricConfig, window: int):
     return scores, flags
 
 
-def _processor(window: int, configs: Mapping[str, S.MetricConfig], detector_version: str,
-               out_cols: list[str]):
+def _processor(window: int, configs: Mapping[str, S.MetricConfig]):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        history = {k: list(v) for k, v in _as_dict(state.get[0]).items()} if state.exists else {}
+        metric = key[1]
+        history = list(state.get[0]) if state.exists else []
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
-        errors = batch["error"] if "error" in batch.columns else [None] * len(batch)
+        c = configs.get(metric, S.DEFAULT_METRIC_CONFIG) if metric is not None else None
         scores, flags = [], []
-        for m, err in zip(batch["metrics"], errors):
-            row_scores, row_flags = [], set()
-            if err is not None and not (isinstance(err, float) and np.isnan(err)):
-                # rejected message (dead letter): passed through, no state change
-                scores.append(0.0)
+        for v, skip in zip(batch["value"], batch["_skip"]):
+            if c is None or skip or v is None or (isinstance(v, float) and np.isnan(v)):
+                scores.append(None)
                 flags.append([])
                 continue
-            for name, v in _as_dict(m).items():
-                if v is None or (isinstance(v, float) and np.isnan(v)):
-                    continue
-                c = configs.get(name, S.DEFAULT_METRIC_CONFIG)
-                s, f = _score_value(float(v), history.setdefault(name, []), c, window)
-                row_scores += s
-                row_flags |= f
-            scores.append(round(max(row_scores), S.SCORE_DIGITS) if row_scores else 0.0)
-            flags.append(sorted(row_flags))
-        state.update(({k: list(map(float, v)) for k, v in history.items()},))
-        out = batch.assign(anomaly_score=scores, anomaly_flags=flags,
-                           detector_version=detector_version)
-        yield out[out_cols]
+            s, f = _score_value(float(v), history, c, window)
+            scores.append(max(s) if s else None)
+            flags.append(sorted(f))
+        if c is not None:
+            state.update(([float(x) for x in history],))
+        yield pd.DataFrame({"machine_id": batch["machine_id"], "seq": batch["seq"],
+                            "_score": scores, "_flags": flags, "_reading": batch["_reading"]})
     return fn
 
 
-def score_stream(readings: DataFrame, window: int = S.DEFAULT_WINDOW, configs=None,
-                 detector_version: str = S.DEFAULT_DETECTOR_VERSION) -> DataFrame:
-    """Streaming readings -> same rows with score, flags and detector
-    version, computed with per-machine state across micro-batches. Rows with
-    a non-null ``error`` (normalization rejects) pass through unscored and
-    leave the state untouched."""
+def score_stream(readings: DataFrame, window: int = S.DEFAULT_WINDOW, configs=None) -> DataFrame:
+    """Streaming readings -> per (reading, metric) signal rows with keyed
+    state; feed each micro-batch to :func:`regroup`. Rows with a non-null
+    ``error`` (normalization rejects) pass through unscored and leave the
+    state untouched."""
     cfgs = dict(resolve_configs(configs))
-    out_schema = T.StructType([f for f in readings.schema.fields])
-    out_cols = [f.name for f in out_schema.fields]
-    return readings.groupBy("machine_id").applyInPandasWithState(
-        _processor(window, cfgs, detector_version, out_cols), out_schema, STATE_SCHEMA,
-        "append", GroupStateTimeout.NoTimeout)
+    cols = readings.columns
+    has_error = "error" in cols
+    exploded = readings.select(
+        "machine_id", "seq", F.struct(*cols).alias("_r"),
+        (F.col("error").isNotNull() if has_error else F.lit(False)).alias("_skip"),
+        F.posexplode_outer("metrics").alias("_pos", "_k", "value"))
+    long = exploded.select(
+        "machine_id", "seq", "value", "_skip",
+        F.when(F.col("value").isNotNull(), F.col("_k")).alias("metric"),
+        F.when(F.col("_pos").isNull() | (F.col("_pos") == 0), F.col("_r")).alias("_reading"))
+    out_schema = T.StructType([
+        T.StructField("machine_id", T.StringType()), T.StructField("seq", T.LongType()),
+        T.StructField("_score", T.DoubleType()),
+        T.StructField("_flags", T.ArrayType(T.StringType())),
+        T.StructField("_reading", readings.select(F.struct(*cols).alias("r")).schema["r"].dataType)])
+    return long.groupBy("machine_id", "metric").applyInPandasWithState(
+        _processor(window, cfgs), out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def regroup(signals: DataFrame, detector_version: str = S.DEFAULT_DETECTOR_VERSION) -> DataFrame:
+    """Per-metric signal rows of a micro-batch -> scored readings (score =
+    max over the reading's metrics rounded to 4 digits, flags = sorted union).
+    A batch aggregate over at most the reading's metric count rows."""
+    agg = signals.groupBy("machine_id", "seq").agg(
+        F.max("_score").alias("_score"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_flags")))).alias("_flags"),
+        F.first("_reading", ignorenulls=True).alias("_reading"))
+    fields = [f.name for f in signals.schema["_reading"].dataType.fields]
+    repl = {"anomaly_score": F.round(F.coalesce(F.col("_score"), F.lit(0.0)), S.SCORE_DIGITS),
+            "anomaly_flags": F.col("_flags"), "detector_version": F.lit(detector_version)}
+    return agg.select(*[repl[f].alias(f) if f in repl else F.col(f"_reading.{f}").alias(f)
+                        for f in fields])
