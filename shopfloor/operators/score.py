@@ -24,7 +24,8 @@ then a per-reading aggregate that reuses the same partitioning: one Exchange.
 ``hot`` path (machines with more than ``hot_machine_rows`` readings): one
 machine may hold a third of all rows, so it cannot sit in one window task.
 Each value gets its exact position within its (machine, metric) sequence
-from per-bucket counts (bucket = seq range) plus a rank inside the bucket;
+from per-bucket counts plus a rank inside the bucket (buckets are seq ranges
+sized per machine to hold about ``bucket_rows`` of its rows);
 positions are cut into chunks of ``chunk_rows`` and the last H rows of each
 chunk are copied into the next chunk as a read-only halo (H = the longest
 look-back). Window frames inside a chunk then equal the frames over the whole
@@ -166,14 +167,19 @@ def _cold_path(narrow: DataFrame, window: int, configs) -> DataFrame:
     return _per_reading(sig, ["machine_id", "seq"])
 
 
-def _hot_path(narrow: DataFrame, window: int, configs, bucket_rows: int,
-              chunk_rows: int) -> DataFrame:
+def _hot_path(narrow: DataFrame, window: int, configs, spans: dict, chunk_rows: int) -> DataFrame:
+    """``spans``: machine -> (first seq, seq span per bucket), sized so one
+    bucket holds about ``bucket_rows`` of that machine's rows however thinly
+    its rows are spread over the global sequence."""
     long = _explode_metrics(narrow)
     empty = long.filter(F.col("metric").isNull()).select(
         "machine_id", "seq", *[F.lit(None).cast("double").alias(c) for c in SIGNAL_COLUMNS],
         *[F.lit(False).alias(c) for c in FLAG_BOOL_COLUMNS.values()])
+    first = F.create_map(*[x for m, (lo, _) in spans.items() for x in (F.lit(m), F.lit(lo))])
+    span = F.create_map(*[x for m, (_, sp) in spans.items() for x in (F.lit(m), F.lit(sp))])
+    m = F.col("machine_id")
     vals = (long.filter(F.col("metric").isNotNull())
-            .withColumn("_bucket", F.floor(F.col("seq") / F.lit(bucket_rows))))
+            .withColumn("_bucket", F.floor((F.col("seq") - first[m]) / span[m])))
     key = ["machine_id", "metric"]
     # Exact position = rows in earlier buckets + rank inside the bucket.
     counts = vals.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -212,18 +218,19 @@ def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     if hot_machine_rows is None:
         return _cold_path(narrow, window, cfgs)
     # Hot machines: a count aggregate (map-side combined), top-K of it
-    # collected -- at most ``max_hot_machines`` ids, a proven bound. Machines
+    # collected -- at most ``max_hot_machines`` rows, a proven bound. Machines
     # past K stay exact on the cold path. No hot machine -> cold plan only.
-    hot_ids = [r[0] for r in
-               narrow.groupBy("machine_id").agg(F.count(F.lit(1)).alias("_rows"))
-               .filter(F.col("_rows") > hot_machine_rows)
-               .orderBy(F.desc("_rows"), "machine_id").limit(max_hot_machines)
-               .select("machine_id").collect()]
-    if not hot_ids:
+    hot = (narrow.groupBy("machine_id")
+           .agg(F.count(F.lit(1)).alias("_rows"), F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
+           .filter(F.col("_rows") > hot_machine_rows)
+           .orderBy(F.desc("_rows"), "machine_id").limit(max_hot_machines).collect())
+    if not hot:
         return _cold_path(narrow, window, cfgs)
-    is_hot = F.col("machine_id").isin(hot_ids)
+    spans = {r.machine_id: (int(r._lo), max(1, -(-(int(r._hi) - int(r._lo) + 1) * bucket_rows // int(r._rows))))
+             for r in hot}
+    is_hot = F.col("machine_id").isin(list(spans))
     return (_cold_path(narrow.filter(~is_hot), window, cfgs)
-            .unionByName(_hot_path(narrow.filter(is_hot), window, cfgs, bucket_rows, chunk_rows)))
+            .unionByName(_hot_path(narrow.filter(is_hot), window, cfgs, spans, chunk_rows)))
 
 
 def annotate(readings: DataFrame, window: int = S.DEFAULT_WINDOW,

@@ -50,9 +50,10 @@ def q_score_readings(spark, sf):
 
 def q_score_readings_split(spark, sf):
     """Same scores through the hot-machine plan: every machine is treated as
-    hot (threshold below any machine's count), positions come from 2000-wide
-    seq buckets, frames run per 64-row chunk with halos. Whole tables."""
-    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, bucket_rows=2000, chunk_rows=64)
+    hot (threshold below any machine's count), positions come from buckets
+    of about 16 rows per machine, frames run per 64-row chunk with halos.
+    Whole tables."""
+    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, bucket_rows=16, chunk_rows=64)
     return scored.select("seq", "machine_id", "anomaly_score",
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
