@@ -153,7 +153,10 @@ def q_points_pivot(spark, sf):
 
 
 def q_metrics_view(spark, sf):
-    return Q.metrics_view(store(spark, sf), duplicates=None, failed=None)
+    """OP-46 with duplicates from the ingest accounting of all arrivals."""
+    arr = live_scored(spark, sf).withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ_SPAN))
+    acc = accounting.batch_accounting(arr, stored_ids=None, batch_col="batch_id")
+    return Q.metrics_view(store(spark, sf), accounting=acc)
 
 
 def q_wide_rows(spark, sf):

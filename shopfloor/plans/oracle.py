@@ -282,7 +282,8 @@ SQL = {
         "SELECT 'total_readings' AS metric, '' AS protocol, CAST(count(*) AS DOUBLE) AS value FROM store "
         "UNION ALL SELECT 'total_anomalies', '', CAST(count(*) FILTER (WHERE anomaly_flags <> '') AS DOUBLE) FROM store "
         "UNION ALL SELECT 'active_machines', '', CAST(count(DISTINCT machine_id) AS DOUBLE) FROM store "
-        "UNION ALL SELECT 'total_duplicates', '', CAST(0 AS DOUBLE) "
+        "UNION ALL SELECT 'total_duplicates', '', CAST((SELECT count(*) FROM live) - "
+        "(SELECT count(*) FROM store) AS DOUBLE) "
         "UNION ALL SELECT 'failed_events', '', CAST(0 AS DOUBLE) "
         "UNION ALL SELECT 'readings_per_protocol', source_protocol, CAST(count(*) AS DOUBLE) FROM store "
         "GROUP BY source_protocol)"),

@@ -170,18 +170,26 @@ def points_pivot(points: DataFrame, as_of, hours: int = 1,
             .agg(F.first("value")))
 
 
-def metrics_view(store: DataFrame, duplicates: int | Column | None = None,
-                 failed: int | Column | None = None) -> DataFrame:
-    """OP-46: operational figures as tall ``(metric, labels, value)`` rows."""
+def metrics_view(store: DataFrame, duplicates: int | None = None, failed: int | None = None,
+                 accounting: DataFrame | None = None) -> DataFrame:
+    """OP-46: operational figures as tall ``(metric, protocol, value)`` rows.
+
+    Store figures come from the store; duplicates come from the per-batch
+    accounting rows when given (the worker's counters), else the literal."""
     stats = pipeline_stats(store)
+    dup = F.lit(duplicates or 0).cast("double")
     base = stats.select(F.explode(F.array(
         F.struct(F.lit("total_readings").alias("metric"), F.col("total_readings").cast("double").alias("value")),
         F.struct(F.lit("total_anomalies").alias("metric"), F.col("total_anomalies").cast("double").alias("value")),
         F.struct(F.lit("active_machines").alias("metric"), F.col("active_machines").cast("double").alias("value")),
-        F.struct(F.lit("total_duplicates").alias("metric"), F.lit(duplicates or 0).cast("double").alias("value")),
         F.struct(F.lit("failed_events").alias("metric"), F.lit(failed or 0).cast("double").alias("value")),
     )).alias("m")).select("m.metric", F.lit("").alias("protocol"), "m.value")
+    if accounting is not None:
+        dups = accounting.agg(F.coalesce(F.sum("duplicates"), F.lit(0)).cast("double").alias("value"))
+    else:
+        dups = store.sparkSession.range(1).select(dup.alias("value"))
+    dups = dups.select(F.lit("total_duplicates").alias("metric"), F.lit("").alias("protocol"), "value")
     per_proto = protocol_counts(store).select(
         F.lit("readings_per_protocol").alias("metric"), F.col("source_protocol").alias("protocol"),
         F.col("readings").cast("double").alias("value"))
-    return base.unionByName(per_proto)
+    return base.unionByName(dups).unionByName(per_proto)
