@@ -175,11 +175,14 @@ def _hot_path(narrow: DataFrame, window: int, configs, spans: dict, chunk_rows:
     empty = long.filter(F.col("metric").isNull()).select(
         "machine_id", "seq", *[F.lit(None).cast("double").alias(c) for c in SIGNAL_COLUMNS],
         *[F.lit(False).alias(c) for c in FLAG_BOOL_COLUMNS.values()])
-    first = F.create_map(*[x for m, (lo, _) in spans.items() for x in (F.lit(m), F.lit(lo))])
-    span = F.create_map(*[x for m, (_, sp) in spans.items() for x in (F.lit(m), F.lit(sp))])
-    m = F.col("machine_id")
-    vals = (long.filter(F.col("metric").isNotNull())
-            .withColumn("_bucket", F.floor((F.col("seq") - first[m]) / span[m])))
+    # At most ``max_hot_machines`` rows: a broadcast with a proven size bound
+    # (a literal map lookup would scan all keys for every row).
+    span_df = F.broadcast(narrow.sparkSession.createDataFrame(
+        [(m, lo, sp) for m, (lo, sp) in spans.items()],
+        "machine_id string, _first long, _span long"))
+    vals = (long.filter(F.col("metric").isNotNull()).join(span_df, "machine_id")
+            .withColumn("_bucket", F.floor((F.col("seq") - F.col("_first")) / F.col("_span")))
+            .drop("_first", "_span"))
     key = ["machine_id", "metric"]
     # Exact position = rows in earlier buckets + rank inside the bucket.
     counts = vals.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
