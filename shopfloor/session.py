@@ -24,6 +24,22 @@ TUNING_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Spill-aware sizes for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at input / target (AQE then coalesces small ones
+    and splits skewed ones); scan splits stay at 256 MB; never fewer
+    partitions than cores."""
+    parts = max(cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        **TUNING_CONF,
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "shopfloor", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, use the cluster's session and call
