@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shopfloor import schema as S
+from shopfloor.functions.timefmt import iso_text
 from shopfloor.plans.queries import flags_text
 
-JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 # -- point store (OP-40) ---------------------------------------------------
@@ -139,16 +139,19 @@ def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None =
 # -- JSONL event log (OP-47, OP-48, OP-04) ---------------------------------
 
 def log_columns(readings: DataFrame) -> list[Column]:
+    """Reading columns in sorted key order; instants as UTC ISO text ending
+    in ``Z`` with a fraction only when non-zero (the JSON form other writers
+    of the log use)."""
     names = sorted(c for c in S.READING_COLUMNS if c in readings.columns)
-    return [F.col(c) for c in names]
+    return [F.regexp_replace(iso_text(F.col(c)), r"\+00:00$", "Z").alias(c)
+            if c in ("timestamp", "ingested_at") else F.col(c) for c in names]
 
 
 def write_event_log(readings: DataFrame, path: str, mode: str = "append") -> None:
     """OP-47: one JSON object per line, keys sorted, in append (seq) order
     within each file. OP-48 (replay export) is ``mode='overwrite'``."""
     (readings.select(*log_columns(readings)).sortWithinPartitions("seq")
-     .write.mode(mode).option("timestampFormat", JSON_TS_FORMAT)
-     .option("ignoreNullFields", "false").json(path))
+     .write.mode(mode).option("ignoreNullFields", "false").json(path))
 
 
 def read_event_log_stream(spark: SparkSession, path: str,

@@ -37,6 +37,7 @@ def test_log_roundtrip_and_dedup(spark, tmp_path):
             for ln in open(os.path.join(path, f)) if ln.strip()][0]
     keys = list(json.loads(line))
     assert keys == sorted(keys)
+    assert json.loads(line)["timestamp"] == "2024-03-08T12:00:00Z"
     back = stores.read_event_log(spark, path)
     stats = Q.pipeline_stats(back).first()
     assert (stats.total_readings, stats.total_anomalies, stats.active_machines) == (1, 1, 1)
