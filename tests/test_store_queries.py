@@ -155,3 +155,31 @@ def test_wide_table_lookback_prunes_old_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     stores.write_wide_table(later, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_import_log_in_the_other_writers_shape(spark, tmp_path):
+    """Lines as another writer of the log produces them: every named metric
+    key present (null when absent), raw payload as an object, Z instants,
+    no seq column. Import, query and replay them."""
+    def line(eid, temp, score, flags, ts):
+        metrics = {k: None for k in S.METRIC_COLUMNS}
+        metrics.update({"temperature": temp, "rpm": 1450.0})
+        return json.dumps({"anomaly_flags": flags, "anomaly_score": score, "detector_version": "rules-v1",
+                           "event_id": eid, "ingested_at": ts, "line_id": None, "machine_id": "CNC-001",
+                           "metrics": metrics, "pipeline_version": "phase3-runtime-v1", "plant_id": None,
+                           "raw_payload": {"temp": temp, "rpm": 1450}, "source_protocol": "mqtt",
+                           "status": "running", "timestamp": ts}, sort_keys=True)
+    lines = [line(f"id{i}", 70.0 + (i == 12) * 180.0, 0.0, [], f"2024-03-08T12:00:{i:02d}Z")
+             for i in range(13)]
+    lines.append(lines[3])                                   # a repeated id later in the log
+    path = tmp_path / "events.jsonl"
+    path.write_text("\n".join(lines) + "\n")
+    log = stores.read_event_log(spark, str(path))
+    store = dedup.first_arrivals(log)
+    assert store.count() == 13
+    r = store.filter(F.col("event_id") == "id0").first()
+    assert r.metrics["temperature"] == 70.0 and r.metrics["vibration"] is None
+    assert json.loads(r.raw_payload) == {"temp": 70.0, "rpm": 1450}
+    out = {x.event_id: x for x in R.replay_readings(store).collect()}
+    assert "OUT_OF_RANGE" in out["id12"].anomaly_flags       # 250 > 200, null metrics ignored
+    assert out["id0"].anomaly_score == 0.0
