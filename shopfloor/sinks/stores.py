@@ -136,6 +136,21 @@ def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None =
     return rows
 
 
+def write_wide_jdbc(readings: DataFrame, url: str, staging_table: str,
+                    properties: dict | None = None, num_partitions: int | None = None) -> None:
+    """OP-42 to a SQL database: append wide rows to a staging table with
+    Spark's JDBC writer (one connection per partition; ``num_partitions``
+    caps concurrent connections). Idempotency stays in the database: merge
+    staging into the hypertable with ``INSERT ... SELECT ... ON CONFLICT
+    (event_id) DO NOTHING``. Flags are written as comma text (JDBC has no
+    array type mapping). Not exercised by the tests: no database may run in
+    this environment."""
+    rows = to_wide(readings).withColumn("anomaly_flags", F.array_join("anomaly_flags", ","))
+    if num_partitions:
+        rows = rows.coalesce(num_partitions)
+    rows.write.mode("append").jdbc(url, staging_table, properties=properties or {})
+
+
 # -- JSONL event log (OP-47, OP-48, OP-04) ---------------------------------
 
 def log_columns(readings: DataFrame) -> list[Column]:
