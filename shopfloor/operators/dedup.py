@@ -14,16 +14,20 @@ def first_arrivals(batch: DataFrame, stored_ids: DataFrame | None = None) -> Dat
     """OP-13: keep the first arrival (lowest ``seq``) of every ``event_id``,
     and drop ids already stored.
 
-    Plan: ``min(seq)`` per id is combined map-side, so a flood of copies of
-    one id (a third of all rows, say) collapses before the shuffle; the
-    semi-join on ``(event_id, seq)`` then spreads that id's copies by seq.
-    A window ``row_number`` would pull all copies of an id into one task.
+    Plan: one aggregate, ``min_by(row, seq)`` per id. It is combined
+    map-side, so a flood of copies of one id (a third of all rows, say)
+    shrinks to one candidate per task before the single shuffle, and the
+    input is evaluated once. A window ``row_number`` would pull all copies of
+    an id into one task; a min(seq) + semi-join would evaluate the input
+    twice.
     """
-    firsts = batch.groupBy("event_id").agg(F.min("seq").alias("seq"))
-    kept = batch.join(firsts, ["event_id", "seq"], "left_semi")
+    cols = batch.columns
+    kept = (batch.groupBy("event_id")
+            .agg(F.min_by(F.struct(*cols), F.col("seq")).alias("_first"))
+            .select(*[F.col(f"_first.{c}").alias(c) for c in cols]))
     if stored_ids is not None:
         kept = kept.join(stored_ids.select("event_id").distinct(), "event_id", "left_anti")
-    return kept.select(*batch.columns)
+    return kept.select(*cols)
 
 
 def duplicates(batch: DataFrame, stored_ids: DataFrame | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ def test_recent_per_machine_is_group_limited_before_shuffle(spark):
 def test_dedup_uses_no_window_over_event_ids(spark):
     p = plan(dedup.first_arrivals(td.arrivals(spark, SF001)))
     assert "Window [" not in p and "row_number" not in p
-    assert "HashAggregate" in p     # min(seq) per id, map-side combined
+    assert "partial_min_by" in p    # first arrival per id, combined map-side before the shuffle
 
 
 def test_hot_path_windows_by_chunk(spark):
