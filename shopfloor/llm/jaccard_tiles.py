@@ -45,12 +45,27 @@ def _set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    place = ((shingles >> np.uint64(20)) % np.uint64(BITS)).astype(np.int64)
-    odd = np.bincount(place, minlength=BITS) & 1
+def signature(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parities of how many shingles fall on each bit; ``bits`` is a power of two."""
+    place = ((shingles >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def fine_signature(shingles: np.ndarray) -> bytes:
+    return signature(shingles, max(BITS, 1 << (len(shingles) - 1).bit_length())).tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Of two signatures; the longer is folded, which adds up the parities of its halves."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(batches):
     """(doc ids, shingle sets) of the batches' texts, slice by slice."""
     for batch, w in steps(batches):
@@ -61,7 +76,7 @@ def _sets(batches):
 def describe(docs: DataFrame) -> DataFrame:
     """A row per document (doc_id, n, set_id, signature) and, at the end of each task, a row for each
     counter class (``class`` not null) with its count in n."""
-    names = ["class", "doc_id", "n", "set_id", *SIGNATURE]
+    names = ["class", "doc_id", "n", "set_id", "fine", *SIGNATURE]
 
     def rows(batches):
         counts = np.zeros(COUNTERS, np.int64)
@@ -74,13 +89,15 @@ def describe(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(sets), pa.int32()), ids, pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([fine_signature(s) if len(s) else None for s in sets], pa.binary()),
                  *(pa.array(signatures[:, i], pa.int64()) for i in range(signatures.shape[1]))], names)
         used = np.flatnonzero(counts)
         gone = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), gone, pa.array(counts[used], pa.int64()), gone, *[gone] * len(SIGNATURE)], names)
+            [pa.array(used, pa.int32()), gone, pa.array(counts[used], pa.int64()), gone,
+             pa.nulls(len(used), pa.binary()), *[gone] * len(SIGNATURE)], names)
 
-    ddl = "class int, doc_id long, n long, set_id long, " + ", ".join(f"{s} long" for s in SIGNATURE)
+    ddl = "class int, doc_id long, n long, set_id long, fine binary, " + ", ".join(f"{s} long" for s in SIGNATURE)
     return id_and_bytes(docs).mapInArrow(rows, ddl)
 
 
@@ -129,10 +146,29 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return in_band & (100 * common >= percent * (n + m - common))
 
 
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of set ids that both bounds leave."""
+    x, y = sets.alias("x"), sets.alias("y")
+    both = pairs.join(x, F.col("a") == F.col("x.set_id")).join(y, F.col("b") == F.col("y.set_id"))
+    both = both.where(may_link("x", "y", percent)).select(
+        "a", "b", F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.fine").alias("f"), F.col("y.fine").alias("g"))
+
+    def bound(batches):
+        for batch in batches:
+            keep = []
+            for i, (n, m, f, g) in enumerate(zip(*(batch.column(c).to_pylist() for c in "nmfg"), strict=True)):
+                common = (n + m - differing_bits(f, g)) // 2
+                if 100 * common >= percent * (n + m - common):
+                    keep.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int32()))
+
+    return saved(both.mapInArrow(bound, "a long, b long"))
+
+
 def _described_sets(described: DataFrame) -> DataFrame:
-    """One row a set: set_id, n, signature and its smallest doc_id."""
+    """One row a set: set_id, n, signatures and its smallest doc_id."""
     return described.where("set_id is not null").groupBy("set_id").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), *(F.first(s).alias(s) for s in SIGNATURE))
+        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("fine").alias("fine"), *(F.first(s).alias(s) for s in SIGNATURE))
 
 
 def _texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -199,22 +235,20 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     first = rows.groupBy("shingle").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
     tiles = saved(rows.join(first.where("first < last"), "shingle").select("shingle", "set_id", "first").distinct())
     pairs = tiles.where("first <> set_id").select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
-    pairs = pairs.join(sets.alias("x"), F.col("a") == F.col("x.set_id")).join(
-        sets.alias("y"), F.col("b") == F.col("y.set_id")).where(may_link("x", "y", percent)).select("a", "b")
-    links = _verified(docs, saved(pairs), sets, percent)
+    links = _verified(docs, _bounded(pairs, sets, percent), sets, percent)
     labels = saved(components(links))
 
     # Pairs of a tile that have no label in common yet.
     marked = tiles.join(labels, tiles["set_id"] == labels["node"], "left").select(
         "shingle", "set_id", F.coalesce("label", "set_id").alias("label"))
     mixed = marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    marked = saved(marked.join(mixed.select("shingle"), "shingle").join(sets, "set_id"))
+    marked = saved(marked.join(mixed.select("shingle"), "shingle").join(sets.drop("fine"), "set_id"))
     x, y = marked.alias("x"), marked.alias("y")
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.set_id") < F.col("y.set_id"))
                    & (F.col("x.label") != F.col("y.label")) & may_link("x", "y", percent))
     pairs = pairs.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
     pairs = pairs.join(links, ["a", "b"], "left_anti")
-    more = _verified(docs, saved(pairs), sets, percent)
+    more = _verified(docs, _bounded(pairs, sets, percent), sets, percent)
     labels = saved(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)))
 
     rooted = described.join(labels, F.col("set_id") == F.col("node"), "left").select(
