@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor import schema as S
+from shopfloor.functions.eventid import ensure_event_id
+
+ID_COLUMNS = ("machine_id", "plant_id", "line_id", "source_protocol", "timestamp", "metrics", "status")
 
 
 def first_arrivals(batch: DataFrame, stored_ids: DataFrame | None = None) -> DataFrame:
@@ -20,14 +23,21 @@ def first_arrivals(batch: DataFrame, stored_ids: DataFrame | None = None) -> Dat
     input is evaluated once. A window ``row_number`` would pull all copies of
     an id into one task; a min(seq) + semi-join would evaluate the input
     twice.
+
+    An empty or missing id is filled from the reading's content first; a row
+    that still has none is nobody's copy and is kept.
     """
     cols = batch.columns
+    if set(ID_COLUMNS) <= set(cols):
+        batch = batch.withColumn("event_id", ensure_event_id(exact=False))
+    unknown = batch.filter(F.col("event_id").isNull())
+    batch = batch.filter(F.col("event_id").isNotNull())
     kept = (batch.groupBy("event_id")
             .agg(F.min_by(F.struct(*cols), F.col("seq")).alias("_first"))
             .select(*[F.col(f"_first.{c}").alias(c) for c in cols]))
     if stored_ids is not None:
         kept = kept.join(stored_ids.select("event_id").distinct(), "event_id", "left_anti")
-    return kept.select(*cols)
+    return kept.select(*cols).unionByName(unknown.select(*cols))
 
 
 def duplicates(batch: DataFrame, stored_ids: DataFrame | None = None) -> DataFrame:
@@ -56,6 +66,7 @@ def manual_ingest(readings: DataFrame, ingested_at: dt.datetime | None = None,
     :func:`first_arrivals`."""
     now = F.lit(ingested_at).cast("timestamp") if ingested_at is not None else F.current_timestamp()
     out = readings.withColumns({
+        "event_id": ensure_event_id(exact=False),
         "pipeline_version": F.coalesce(F.nullif(F.col("pipeline_version"), F.lit("")),
                                        F.lit(S.MANUAL_INGEST_PIPELINE_VERSION)),
         "detector_version": F.coalesce(F.nullif(F.col("detector_version"), F.lit("")),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from shopfloor import schema as S
 from shopfloor.functions import jsonval as J
 from shopfloor.functions.eventid import event_id, event_id_jvm
-from shopfloor.functions.joins import checked_broadcast
 from shopfloor.functions.timefmt import MAX_EPOCH_SECONDS, parse_iso
 from shopfloor.functions.topic import topic_matches, topic_parts
 
@@ -145,7 +144,7 @@ def attach_registry(polls: DataFrame, registry: DataFrame) -> DataFrame:
     """OP-07: polls exist only for registered devices -> inner equi-join on
     ``machine_id``; the registry is broadcast only after a bounded size check."""
     reg = registry.select("machine_id", "plant_id", "line_id", "register_addresses", "nodes")
-    return polls.join(checked_broadcast(reg), "machine_id", "inner")
+    return polls.join(reg, "machine_id", "inner")
 
 
 # -- Modbus (OP-06, OP-10a) ------------------------------------------------

@@ -24,16 +24,16 @@ then a per-reading aggregate that reuses the same partitioning: one Exchange.
 ``hot`` path (machines with more than ``hot_machine_rows`` readings): one
 machine may hold a third of all rows, so it cannot sit in one window task.
 Each value gets its exact position within its (machine, metric) sequence
-from per-bucket counts plus a rank inside the bucket (buckets are seq ranges
-sized per machine to hold about ``bucket_rows`` of its rows);
-positions are cut into chunks of ``chunk_rows`` and the last H rows of each
+from per-bucket counts plus a rank inside the bucket; buckets are cut at
+quantiles of the machine's own ``seq``, so gaps and clumps don't matter.
+Positions are cut into chunks of ``chunk_rows`` and the last H rows of each
 chunk are copied into the next chunk as a read-only halo (H = the longest
 look-back). Window frames inside a chunk then equal the frames over the whole
 sequence, and every step is partitioned by (machine, metric, bucket|chunk).
-The hot-machine list is a top-K of a count aggregate (at most
-``max_hot_machines`` ids, a proven bound on what reaches the driver); machines
-beyond K stay exact on the cold path. With no hot machine only the cold plan
-is built.
+
+Which machines are hot is a count aggregate inside the same plan: nothing is
+collected, no number of hot machines is too large, and building the plan runs
+no job. Both paths give the same scores; a null machine is a machine.
 """
 
 from __future__ import annotations
@@ -167,30 +167,31 @@ def _cold_path(narrow: DataFrame, window: int, configs) -> DataFrame:
     return _per_reading(sig, ["machine_id", "seq"])
 
 
-def _hot_path(narrow: DataFrame, window: int, configs, spans: dict, chunk_rows: int) -> DataFrame:
-    """``spans``: machine -> (first seq, seq span per bucket), sized so one
-    bucket holds about ``bucket_rows`` of that machine's rows however thinly
-    its rows are spread over the global sequence."""
+def _same_machine(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
+
+
+def _hot_path(narrow: DataFrame, window: int, configs, buckets: int, chunk_rows: int) -> DataFrame:
     long = _explode_metrics(narrow)
     empty = long.filter(F.col("metric").isNull()).select(
         "machine_id", "seq", *[F.lit(None).cast("double").alias(c) for c in SIGNAL_COLUMNS],
         *[F.lit(False).alias(c) for c in FLAG_BOOL_COLUMNS.values()])
-    # At most ``max_hot_machines`` rows: a broadcast with a proven size bound
-    # (a literal map lookup would scan all keys for every row).
-    span_df = F.broadcast(narrow.sparkSession.createDataFrame(
-        [(m, lo, sp) for m, (lo, sp) in spans.items()],
-        "machine_id string, _first long, _span long"))
-    vals = (long.filter(F.col("metric").isNotNull()).join(span_df, "machine_id")
-            .withColumn("_bucket", F.floor((F.col("seq") - F.col("_first")) / F.col("_span")))
-            .drop("_first", "_span"))
+    cuts = narrow.groupBy(F.col("machine_id").alias("_cut_machine")).agg(
+        F.percentile_approx("seq", [i / buckets for i in range(1, buckets)], 10_000).alias("_cuts"))
+    vals = (long.filter(F.col("metric").isNotNull())
+            .join(cuts, _same_machine("machine_id", "_cut_machine"))
+            .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("seq"))))
+            .drop("_cuts", "_cut_machine"))
     key = ["machine_id", "metric"]
     # Exact position = rows in earlier buckets + rank inside the bucket.
     counts = vals.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(
+    offsets = counts.select(
+        F.col("machine_id").alias("_om"), F.col("metric").alias("_ok"), F.col("_bucket").alias("_ob"),
+        F.coalesce(F.sum("_cnt").over(
             Window.partitionBy(*key).orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_cnt")
-    pos = (vals.join(offsets, key + ["_bucket"])
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    pos = (vals.join(offsets, _same_machine("machine_id", "_om") & (F.col("metric") == F.col("_ok"))
+                     & (F.col("_bucket") == F.col("_ob")))
            .withColumn("_pos", F.col("_off") + F.row_number().over(
                Window.partitionBy(*key, "_bucket").orderBy("seq")) - 1))
     halo = lookback(window, configs)
@@ -209,8 +210,8 @@ def _hot_path(narrow: DataFrame, window: int, configs, spans: dict, chunk_rows:
 
 def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
           configs: Mapping[str, S.MetricConfig] | None = None,
-          hot_machine_rows: int | None = 5_000_000, max_hot_machines: int = 10_000,
-          bucket_rows: int = 1_000_000, chunk_rows: int = 1_000_000) -> DataFrame:
+          hot_machine_rows: int | None = 5_000_000, buckets: int = 64,
+          chunk_rows: int = 1_000_000) -> DataFrame:
     """Score readings -> ``(machine_id, seq, anomaly_score, anomaly_flags)``.
 
     ``readings`` needs ``machine_id``, a unique ``seq`` and ``metrics``.
@@ -220,20 +221,11 @@ def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     narrow = readings.select("machine_id", "seq", "metrics")
     if hot_machine_rows is None:
         return _cold_path(narrow, window, cfgs)
-    # Hot machines: a count aggregate (map-side combined), top-K of it
-    # collected -- at most ``max_hot_machines`` rows, a proven bound. Machines
-    # past K stay exact on the cold path. No hot machine -> cold plan only.
-    hot = (narrow.groupBy("machine_id")
-           .agg(F.count(F.lit(1)).alias("_rows"), F.min("seq").alias("_lo"), F.max("seq").alias("_hi"))
-           .filter(F.col("_rows") > hot_machine_rows)
-           .orderBy(F.desc("_rows"), "machine_id").limit(max_hot_machines).collect())
-    if not hot:
-        return _cold_path(narrow, window, cfgs)
-    spans = {r.machine_id: (int(r._lo), max(1, -(-(int(r._hi) - int(r._lo) + 1) * bucket_rows // int(r._rows))))
-             for r in hot}
-    is_hot = F.col("machine_id").isin(list(spans))
-    return (_cold_path(narrow.filter(~is_hot), window, cfgs)
-            .unionByName(_hot_path(narrow.filter(is_hot), window, cfgs, spans, chunk_rows)))
+    hot = (narrow.groupBy(F.col("machine_id").alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
+           .filter(F.col("_rows") > hot_machine_rows).select("_hot"))
+    rest = narrow.join(hot, _same_machine("machine_id", "_hot"), "left_anti")
+    split = narrow.join(hot, _same_machine("machine_id", "_hot"), "left_semi")
+    return _cold_path(rest, window, cfgs).unionByName(_hot_path(split, window, cfgs, buckets, chunk_rows))
 
 
 def annotate(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
@@ -248,8 +240,10 @@ def annotate(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     scored = score(readings, window, configs, **plan)
     cols = [c for c in readings.columns
             if c not in ("anomaly_score", "anomaly_flags", "detector_version")]
+    scored = scored.select(F.col("machine_id").alias("_machine"), F.col("seq").alias("_seq"),
+                           "anomaly_score", "anomaly_flags")
     return (readings.select(*cols)
-            .join(scored, ["machine_id", "seq"], "inner")
+            .join(scored, (F.col("seq") == F.col("_seq")) & _same_machine("machine_id", "_machine"))
             .withColumn("detector_version", F.lit(detector_version))
             .select(*[c for c in S.READING_COLUMNS if c in cols
                       or c in ("anomaly_score", "anomaly_flags", "detector_version")],

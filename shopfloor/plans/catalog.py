@@ -50,10 +50,10 @@ def q_score_readings(spark, sf):
 
 def q_score_readings_split(spark, sf):
     """Same scores through the hot-machine plan: every machine is treated as
-    hot (threshold below any machine's count), positions come from buckets
-    of about 16 rows per machine, frames run per 64-row chunk with halos.
+    hot (threshold below any machine's count), positions come from 16
+    buckets per machine, frames run per 64-row chunk with halos.
     Whole tables."""
-    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, bucket_rows=16, chunk_rows=64)
+    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, buckets=16, chunk_rows=64)
     return scored.select("seq", "machine_id", "anomaly_score",
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
@@ -121,6 +121,12 @@ def q_recent_anomalies(spark, sf):
     return _flags(r.select("seq", "event_id", "machine_id", "anomaly_score", "anomaly_flags"))
 
 
+def q_recent_anomalies_retained(spark, sf):
+    """The same for a store that remembers only its newest 1000 flagged readings."""
+    r = Q.recent_anomalies(store(spark, sf), limit=500, min_score=0.5, retention=1000)
+    return _flags(r.select("seq", "event_id", "machine_id", "anomaly_score", "anomaly_flags"))
+
+
 def q_cursor_tail(spark, sf):
     r = Q.readings_after(store(spark, sf), CURSOR_EVENT, limit=S.TAIL_PAGE)
     return r.select("seq", "event_id", "machine_id")
@@ -149,7 +155,8 @@ def q_sql_anomalies(spark, sf):
 
 def q_points_pivot(spark, sf):
     p = Q.points_pivot(stores.point_fields_long(store(spark, sf)), AS_OF, hours=24 * 40)
-    return p.withColumn("time", F.unix_micros("time")).withColumnRenamed("time", "ts_us")
+    return p.select("event_id", "machine_id", F.unix_micros("time").alias("ts_us"), *S.METRIC_COLUMNS,
+                    "anomaly_score", F.size("extra_fields").cast("long").alias("n_extra"))
 
 
 def q_metrics_view(spark, sf):
@@ -243,6 +250,7 @@ QUERIES = {
     "recent_readings": q_recent_readings,
     "latest_reading": q_latest_reading,
     "recent_anomalies": q_recent_anomalies,
+    "recent_anomalies_retained": q_recent_anomalies_retained,
     "cursor_tail": q_cursor_tail,
     "replay_window": q_replay_window,
     "replay_summary": q_replay_summary,

@@ -246,8 +246,11 @@ SQL = {
         f"SELECT machine_id, seq, event_id, status, {_iso('\"timestamp\"')} AS \"timestamp\", anomaly_score, "
         "anomaly_flags FROM store QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY seq DESC) = 1"),
     "recent_anomalies": _with(
+        "SELECT seq, event_id, machine_id, anomaly_score, anomaly_flags FROM store "
+        "WHERE anomaly_flags <> '' AND anomaly_score >= CAST(0.5 AS DOUBLE) ORDER BY seq DESC LIMIT 500"),
+    "recent_anomalies_retained": _with(
         f"SELECT seq, event_id, machine_id, anomaly_score, anomaly_flags FROM "
-        f"(SELECT * FROM store WHERE anomaly_flags <> '' ORDER BY seq DESC LIMIT {S.RETENTION_ANOMALIES}) "
+        f"(SELECT * FROM store WHERE anomaly_flags <> '' ORDER BY seq DESC LIMIT 1000) "
         f"WHERE anomaly_score >= {_d(0.5)} ORDER BY seq DESC LIMIT 500"),
     "cursor_tail": _with(
         "SELECT seq, event_id, machine_id FROM store WHERE seq > COALESCE((SELECT max(seq) FROM store "
@@ -272,11 +275,10 @@ SQL = {
         f"WHERE anomaly_score >= {_d(0.5)} AND \"timestamp\" > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 72 HOUR "
         "ORDER BY anomaly_score DESC, \"timestamp\" DESC, seq DESC LIMIT 500"),
     "points_pivot": _with(
-        "SELECT machine_id, epoch_us(\"timestamp\") AS ts_us, "
-        + ", ".join(f"max({m}) AS {m}" for m in METRICS)
-        + ", max(anomaly_score) AS anomaly_score FROM store "
+        "SELECT event_id, machine_id, epoch_us(\"timestamp\") AS ts_us, "
+        + ", ".join(METRICS) + ", anomaly_score, CAST(0 AS BIGINT) AS n_extra FROM store "
         "WHERE \"timestamp\" >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 960 HOUR "
-        "AND \"timestamp\" <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY machine_id, \"timestamp\""),
+        "AND \"timestamp\" <= TIMESTAMP '2024-01-31 00:00:00'"),
     "metrics_view": _with(
         "SELECT metric, protocol, value FROM ("
         "SELECT 'total_readings' AS metric, '' AS protocol, CAST(count(*) AS DOUBLE) AS value FROM store "

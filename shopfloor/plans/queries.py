@@ -103,9 +103,10 @@ def latest_reading(store: DataFrame, machine_id: str | None = None) -> DataFrame
 
 def recent_anomalies(store: DataFrame, limit: int = S.DEFAULT_QUERY_LIMIT,
                      min_score: float = 0.0,
-                     retention: int | None = S.RETENTION_ANOMALIES) -> DataFrame:
-    """OP-36: flagged readings, newest ``retention`` of them, then score >=
-    ``min_score``, newest first, top ``limit`` (distributed top-N)."""
+                     retention: int | None = None) -> DataFrame:
+    """OP-36: flagged readings with score >= ``min_score``, newest first, top
+    ``limit`` (distributed top-N). ``retention`` limits the choice to the
+    newest flagged readings, as a store that forgets older ones does."""
     flagged = store.filter(has_flags())
     if retention is not None:
         flagged = flagged.orderBy(F.desc("seq")).limit(retention)
@@ -159,15 +160,18 @@ def sql_anomalies(store: DataFrame, as_of, threshold: float = S.ANOMALY_THRESHOL
 def points_pivot(points: DataFrame, as_of, hours: int = 1,
                  machine_id: str | None = None, fields: list[str] | None = None) -> DataFrame:
     """OP-45: long points (one row per field) of the last ``hours`` pivoted
-    to one row per (machine, time). ``fields`` fixes the pivot columns (no
-    extra distinct pass); default = the numeric metric fields."""
+    to one row per event. ``fields`` fixes the pivot columns (no extra
+    distinct pass; default = the numeric metric fields); the values of all
+    other fields are kept in the map ``extra_fields``."""
     start = _ts(as_of) - F.make_interval(hours=F.lit(hours))
     p = points.filter((F.col("time") >= start) & (F.col("time") <= _ts(as_of)))
     if machine_id is not None:
         p = p.filter(F.col("machine_id") == machine_id)
     names = fields or list(S.METRIC_COLUMNS) + ["anomaly_score"]
-    return (p.groupBy("machine_id", "time").pivot("field", names)
-            .agg(F.first("value")))
+    values = [F.max(F.when(F.col("field") == n, F.col("value"))).alias(n) for n in names]
+    others = F.collect_set(F.when(~F.col("field").isin(names), F.struct("field", "value")))
+    return (p.groupBy("event_id", "machine_id", "time")
+            .agg(*values, F.map_from_entries(others).alias("extra_fields")))
 
 
 def metrics_view(store: DataFrame, duplicates: int | None = None, failed: int | None = None,

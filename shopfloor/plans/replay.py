@@ -32,12 +32,6 @@ def replay_readings(store: DataFrame, machine_id: str | None = None, since=None,
     sel = sel.withColumns({"anomaly_score": F.lit(0.0),
                            "anomaly_flags": F.array().cast("array<string>"),
                            "pipeline_version": F.lit(pipeline_version)})
-    hot_rows = plan.get("hot_machine_rows", 5_000_000)
-    caps = [c for c in (limit, retention if machine_id else None) if c is not None]
-    if caps and hot_rows is not None and min(caps) <= hot_rows:
-        # At most ``bound`` rows are scored, so no machine can be hot: skip
-        # the hot-machine pre-pass (a proven bound, not a guess).
-        plan = {**plan, "hot_machine_rows": None}
     return annotate(sel, window, configs, detector_version, **plan)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from shopfloor import schema as S
 from shopfloor.functions.timefmt import iso_text
+from shopfloor.operators.dedup import first_arrivals
 from shopfloor.plans.queries import flags_text
 
 
@@ -47,15 +48,16 @@ def to_points(readings: DataFrame) -> DataFrame:
 
 
 def point_fields_long(readings: DataFrame) -> DataFrame:
-    """Numeric point fields in long form ``(machine_id, time, field, value)``
+    """Numeric point fields in long form ``(event_id, machine_id,
+    time, field, value)``
     -- the shape a time-series store returns before a pivot (OP-45)."""
     entries = F.concat(
         F.map_entries(F.map_filter("metrics", lambda k, v: v.isNotNull())),
         F.array(F.struct(F.lit("anomaly_score").alias("key"),
                          F.col("anomaly_score").alias("value"))))
-    return (readings.select("machine_id", F.col("timestamp").alias("time"),
+    return (readings.select("event_id", "machine_id", F.col("timestamp").alias("time"),
                             F.explode(entries).alias("e"))
-            .select("machine_id", "time", F.col("e.key").alias("field"),
+            .select("event_id", "machine_id", "time", F.col("e.key").alias("field"),
                     F.col("e.value").alias("value")))
 
 
@@ -92,36 +94,46 @@ def write_points(readings: DataFrame, path: str, mode: str = "append") -> None:
 # -- SQL store (OP-41, OP-42) ----------------------------------------------
 
 def to_wide(readings: DataFrame) -> DataFrame:
-    """OP-41: the SQL-store row; extra metric names are dropped (fixed columns)."""
+    """OP-41: the SQL-store row: fixed metric columns, all other metrics in ``extra_metrics``."""
     return readings.select(
         "event_id", "ingested_at", F.col("timestamp").alias("time"), "machine_id",
         "plant_id", "line_id", F.col("source_protocol").alias("protocol"), "status",
         *[F.col("metrics")[m].alias(m) for m in S.METRIC_COLUMNS],
         F.coalesce(F.col("anomaly_score"), F.lit(0.0)).alias("anomaly_score"),
         F.coalesce(F.col("anomaly_flags"), F.array().cast("array<string>")).alias("anomaly_flags"),
-        "pipeline_version", "detector_version")
+        "pipeline_version", "detector_version",
+        F.map_filter("metrics", lambda k, v: ~k.isin(*S.METRIC_COLUMNS) & v.isNotNull()).alias("extra_metrics"))
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+NO_TABLE_YET = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None while nothing has been written there; any other fault is raised."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() not in NO_TABLE_YET:
+            raise
         return None
 
 
-def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None = None) -> DataFrame:
-    """OP-42: append wide rows not yet in the table (by ``event_id``),
-    partitioned by event date and clustered by machine and time inside files
-    so row-group statistics prune machine/time filters. Returns what was
-    appended (lazily; the write itself is done).
+def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None = None,
+                     files_per_day: int = 64) -> DataFrame:
+    """OP-42: append wide rows not yet in the table (by ``event_id``; of
+    several in the batch the first arrival), partitioned by event date and
+    clustered by machine and time inside files so row-group statistics prune
+    machine/time filters. A day's rows are dealt to up to ``files_per_day``
+    tasks by machine and id, so neither a full day nor a hot machine is one
+    task's. Returns what was appended (lazily; the write itself is done).
 
     The anti-join reads only the id column of the stored table; with
     ``lookback_days`` only the ``event_date`` partitions from that many days
     before the batch's earliest date (partition pruning) -- for ids known
     not to re-arrive later than that. Default: every partition (exact)."""
     spark = readings.sparkSession
-    rows = to_wide(readings).withColumn("event_date", F.to_date("time"))
-    existing = _read_or_none(spark, path)
+    rows = to_wide(first_arrivals(readings)).withColumn("event_date", F.to_date("time"))
+    existing = read_or_none(spark, path)
     if existing is not None:
         ids = existing
         if lookback_days is not None:
@@ -129,9 +141,8 @@ def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None =
             if lo is not None:
                 ids = ids.filter(F.col("event_date") >= F.date_sub(F.lit(lo), lookback_days))
         rows = rows.join(ids.select("event_id"), "event_id", "left_anti")
-    else:
-        rows = rows.dropDuplicates(["event_id"])
-    (rows.repartition("event_date").sortWithinPartitions("machine_id", "time")
+    part = F.pmod(F.xxhash64("machine_id", "event_id"), F.lit(files_per_day))
+    (rows.repartition("event_date", part).sortWithinPartitions("machine_id", "time")
      .write.mode("append").partitionBy("event_date").parquet(path))
     return rows
 

@@ -9,19 +9,12 @@ inference, so a stream's schema never drifts.
 from __future__ import annotations
 
 import json
-import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor import schema as S
-from shopfloor.functions.partitioning import spread_small_input
-
-try:  # YAML registries are optional; JSON always works.
-    import yaml
-    HAS_YAML = True
-except ImportError:  # pragma: no cover
-    HAS_YAML = False
 
 SCHEMAS = {"mqtt": S.MQTT_RAW_SCHEMA, "modbus": S.MODBUS_RAW_SCHEMA, "opcua": S.OPCUA_RAW_SCHEMA}
 
@@ -36,7 +29,7 @@ def read_raw(spark: SparkSession, kind: str, path: str, fmt: str = "parquet",
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.load(path)
-    return spread_small_input(spark.read.schema(schema).format(fmt).load(path))
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_mqtt_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
@@ -56,23 +49,33 @@ def read_mqtt_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
         F.col("timestamp").alias("arrived_at"))
 
 
-def _load_registry_file(path: str | None) -> dict:
-    if not path or not os.path.exists(path):
+def _yaml(text: str) -> dict | None:
+    import yaml  # only registries in YAML need it; without it this raises
+    return yaml.safe_load(text)
+
+
+REGISTRY_FORMATS = {".json": json.loads, ".yaml": _yaml, ".yml": _yaml}
+
+
+def _registry(path: str | None) -> dict:
+    """The registry's content by the file's suffix; nothing if there is no file."""
+    file = Path(path) if path else None
+    if file is None or not file.is_file():
         return {}
-    with open(path, encoding="utf-8") as fh:
-        if path.lower().endswith(".json") or not HAS_YAML:
-            return json.load(fh) or {}
-        return yaml.safe_load(fh) or {}
+    parse = REGISTRY_FORMATS.get(file.suffix.lower())
+    if parse is None:
+        raise ValueError(f"registry {path}: one of {', '.join(REGISTRY_FORMATS)} expected")
+    return parse(file.read_text(encoding="utf-8")) or {}
 
 
 def load_registry(spark: SparkSession, path: str | None) -> tuple[DataFrame, dict | None]:
     """OP-07: registry file -> (device rows, MQTT source settings or None).
 
     The file is configuration (a handful of devices), read on the driver;
-    missing path or file -> no devices. ``.json`` (or no YAML library) reads
-    as JSON, anything else as YAML. Device defaults: port 502, unit 1, poll
+    missing path or file -> no devices. JSON or YAML by the
+    suffix. Device defaults: port 502, unit 1, poll
     interval 1.0 s, no address list (= the default register set)."""
-    payload = _load_registry_file(path)
+    payload = _registry(path)
     rows = []
     for d in payload.get("modbus_devices", []) or []:
         rows.append((d["machine_id"], "modbus", d.get("host"), None, int(d.get("port", 502)),

@@ -1,7 +1,7 @@
 """Live ingest as a Structured Streaming job (OP-13, 14, 29, 37, 42, 47, 49).
 
 ``readStream`` (landed raw messages or canonical readings) -> normalize ->
-stamp -> keyed-state scoring -> ``foreachBatch``:
+stamp -> ``foreachBatch``, which scores with the tail of earlier batches, then:
 
 1. persist the batch once (several sinks read it);
 2. first arrivals: dedup inside the batch and against ids stored by earlier
@@ -26,13 +26,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from shopfloor import schema as S
 from shopfloor.operators.dedup import first_arrivals, stamp
 from shopfloor.sinks import stores
 from shopfloor.streaming.accounting import batch_accounting
-from shopfloor.streaming.stateful import regroup, score_stream
+from shopfloor.streaming.stateful import score_batch
 
 
 def _stored_ids(spark: SparkSession, store_path: str, batch_id: int,
@@ -40,9 +39,8 @@ def _stored_ids(spark: SparkSession, store_path: str, batch_id: int,
     """Ids stored by *earlier* batches. The store is partitioned by
     ``batch_id``; excluding this batch's own partition makes a retried batch
     see exactly what its first attempt saw (partition pruning, no scan)."""
-    try:
-        st = spark.read.parquet(store_path)
-    except AnalysisException:
+    st = stores.read_or_none(spark, store_path)
+    if st is None:
         return None
     st = st.filter(F.col("batch_id") < F.lit(batch_id))
     if since_date is not None:
@@ -121,12 +119,21 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
     """
     if checkpoint is None:
         from shopfloor.session import checkpoint_dir
-        checkpoint = checkpoint_dir(readings.sparkSession).rstrip("/") + "/ingest"
-    signals = score_stream(stamp(readings, ingested_at, pipeline_version), window, configs)
-    writer = (signals.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: process_batch(
-                  regroup(df, detector_version), bid, store_path, wide_path, points_path,
-                  accounting_path, dedup_lookback_days, log_path, rejected_path)))
+        name = store_path.rstrip("/").rsplit("/", 1)[-1]
+        checkpoint = f"{checkpoint_dir(readings.sparkSession).rstrip('/')}/ingest-{name}"
+    tail_path = f"{store_path.rstrip('/')}_tail"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # scored, and read for the new tail
+        try:
+            scored = score_batch(batch, batch_id, tail_path, window, configs, detector_version)
+            process_batch(scored, batch_id, store_path, wide_path, points_path, accounting_path,
+                          dedup_lookback_days, log_path, rejected_path)
+        finally:
+            batch.unpersist()
+
+    stamped = stamp(readings, ingested_at, pipeline_version)
+    writer = stamped.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -1,126 +1,69 @@
-"""Streaming scoring (OP-29 on a stream): keyed state per (machine, metric).
+"""Streaming scoring (OP-29 on a stream) with the batch plan's own expressions.
 
-A row-count frame over arrival order is not an event-time window, so a
-stream cannot use the batch Window plan. The rolling history is per
-(machine, metric), so that is the state key: each key keeps, in Spark's
-state store, its last ``window`` values (bounded). Readings are exploded to
-one row per metric value; each micro-batch's rows of a key are scored in
-``seq`` order with numpy over that history, then appended to it. The
-reading's own columns ride along on its first metric row only, and
-:func:`regroup` (inside ``foreachBatch``, a bounded batch aggregate over at
-most the reading's metric count rows) puts score = max and flags = union
-back on the reading -- the same results as
-:func:`shopfloor.operators.score.score` over the whole sequence (checked by
-the batch = stream tests).
+A row-count frame over arrival order is not an event-time window. Each
+micro-batch is scored together with the last values of every (machine,
+metric) that earlier batches left in the tail table: the tail rows come first
+in each sequence, the same window frames run over both, and only the batch's
+rows are returned. The new tail -- the last ``lookback`` values of each
+sequence, so its size depends on the number of sequences alone -- is written
+to the batch's own ``batch_id`` folder. A retried batch reads the tail of the
+batch before it again and replaces its own, so it gives the same rows.
 
-Scale: the shuffle is by (machine, metric), so a hot machine's rows of one
-micro-batch are split across its metrics; one key's rows of a micro-batch go
-to one task, bounded by the source's per-trigger limit
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); state stays at
-``window`` values per key however long the stream runs.
+Readings are the stored order's ``seq``, rising from batch to batch. Rows with
+a non-null ``error`` are returned unscored and don't enter a sequence.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shopfloor import schema as S
-from shopfloor.operators.score import resolve_configs
-
-STATE_SCHEMA = T.StructType([T.StructField("history", T.ArrayType(T.DoubleType()))])
-
-
-def _score_value(v: float, hist: list, c: S.MetricConfig, window: int):
-    """Signals of one value against its key's history (oldest first)."""
-    scores, flags = [], set()
-    if c.min_value is not None and v < c.min_value:
-        flags.add("OUT_OF_RANGE"); scores.append(S.OUT_OF_RANGE_LOW_SCORE)
-    elif c.max_value is not None and v > c.max_value:
-        flags.add("OUT_OF_RANGE"); scores.append(S.OUT_OF_RANGE_HIGH_SCORE)
-    if len(hist) >= S.ZSCORE_MIN_VALUES:
-        h = np.asarray(hist, dtype=float)
-        mean = h.mean()
-        std = float(np.sqrt(((h - mean) ** 2).mean()))
-        z = abs(v - mean) if std < S.ZERO_STD else abs(v - mean) / std
-        thr = c.zscore_threshold
-        if z > thr * S.SPIKE_FACTOR:
-            flags.add("SPIKE"); scores.append(min(1.0, z / (thr * S.SPIKE_SCALE)))
-        elif z > thr:
-            flags.add("DRIFT"); scores.append(min(S.DRIFT_CAP, z / (thr * S.DRIFT_SCALE)))
-    hist.append(v)
-    del hist[:-window]
-    fw = c.flatline_window
-    if len(hist) >= fw:
-        recent = hist[-fw:]
-        if max(recent) - min(recent) < c.flatline_tolerance:
-            flags.add("FLATLINE"); scores.append(S.FLATLINE_SCORE)
-    return scores, flags
-
-
-def _processor(window: int, configs: Mapping[str, S.MetricConfig]):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        metric = key[1]
-        history = list(state.get[0]) if state.exists else []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
-        c = configs.get(metric, S.DEFAULT_METRIC_CONFIG) if metric is not None else None
-        scores, flags = [], []
-        for v, skip in zip(batch["value"], batch["_skip"]):
-            if c is None or skip or v is None or (isinstance(v, float) and np.isnan(v)):
-                scores.append(None)
-                flags.append([])
-                continue
-            s, f = _score_value(float(v), history, c, window)
-            scores.append(max(s) if s else None)
-            flags.append(sorted(f))
-        if c is not None:
-            state.update(([float(x) for x in history],))
-        yield pd.DataFrame({"machine_id": batch["machine_id"], "seq": batch["seq"],
-                            "_score": scores, "_flags": flags, "_reading": batch["_reading"]})
-    return fn
+from shopfloor.operators.score import (
+    _explode_metrics,
+    _per_reading,
+    _signals,
+    lookback,
+    resolve_configs,
+)
+from shopfloor.sinks.stores import read_or_none
 
 
-def score_stream(readings: DataFrame, window: int = S.DEFAULT_WINDOW, configs=None) -> DataFrame:
-    """Streaming readings -> per (reading, metric) signal rows with keyed
-    state; feed each micro-batch to :func:`regroup`. Rows with a non-null
-    ``error`` (normalization rejects) pass through unscored and leave the
-    state untouched."""
-    cfgs = dict(resolve_configs(configs))
-    cols = readings.columns
-    has_error = "error" in cols
-    exploded = readings.select(
-        "machine_id", "seq", F.struct(*cols).alias("_r"),
-        (F.col("error").isNotNull() if has_error else F.lit(False)).alias("_skip"),
-        F.posexplode_outer("metrics").alias("_pos", "_k", "value"))
-    long = exploded.select(
-        "machine_id", "seq", "value", "_skip",
-        F.when(F.col("value").isNotNull(), F.col("_k")).alias("metric"),
-        F.when(F.col("_pos").isNull() | (F.col("_pos") == 0), F.col("_r")).alias("_reading"))
-    out_schema = T.StructType([
-        T.StructField("machine_id", T.StringType()), T.StructField("seq", T.LongType()),
-        T.StructField("_score", T.DoubleType()),
-        T.StructField("_flags", T.ArrayType(T.StringType())),
-        T.StructField("_reading", readings.select(F.struct(*cols).alias("r")).schema["r"].dataType)])
-    return long.groupBy("machine_id", "metric").applyInPandasWithState(
-        _processor(window, cfgs), out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def _tail_before(spark, path: str, batch_id: int) -> DataFrame | None:
+    """Tail rows that the latest earlier batch has left; folder names alone are looked at for that."""
+    table = read_or_none(spark, path)
+    if table is None:
+        return None
+    table = table.filter(F.col("batch_id") < batch_id)
+    latest = table.agg(F.max("batch_id")).first()[0]
+    return None if latest is None else table.filter(F.col("batch_id") == latest)
 
 
-def regroup(signals: DataFrame, detector_version: str = S.DEFAULT_DETECTOR_VERSION) -> DataFrame:
-    """Per-metric signal rows of a micro-batch -> scored readings (score =
-    max over the reading's metrics rounded to 4 digits, flags = sorted union).
-    A batch aggregate over at most the reading's metric count rows."""
-    agg = signals.groupBy("machine_id", "seq").agg(
-        F.max("_score").alias("_score"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_flags")))).alias("_flags"),
-        F.first("_reading", ignorenulls=True).alias("_reading"))
-    fields = [f.name for f in signals.schema["_reading"].dataType.fields]
-    repl = {"anomaly_score": F.round(F.coalesce(F.col("_score"), F.lit(0.0)), S.SCORE_DIGITS),
-            "anomaly_flags": F.col("_flags"), "detector_version": F.lit(detector_version)}
-    return agg.select(*[repl[f].alias(f) if f in repl else F.col(f"_reading.{f}").alias(f)
-                        for f in fields])
+def score_batch(batch: DataFrame, batch_id: int, tail_path: str, window: int = S.DEFAULT_WINDOW,
+                configs=None, detector_version: str = S.DEFAULT_DETECTOR_VERSION) -> DataFrame:
+    """One micro-batch of readings -> the same readings scored; writes the new tail."""
+    cfgs = resolve_configs(configs)
+    keep = lookback(window, cfgs)
+    is_error = F.col("error").isNotNull() if "error" in batch.columns else F.lit(False)
+    long = _explode_metrics(batch.filter(~is_error)).withColumn("_now", F.lit(True))
+    tail = _tail_before(batch.sparkSession, tail_path, batch_id)
+    if tail is not None:
+        long = long.unionByName(tail.select("machine_id", "seq", "metric", "value").withColumn("_now", F.lit(False)))
+    key = ["machine_id", "metric"]
+    newest = Window.partitionBy(*key).orderBy(F.desc("seq"))
+    kept = (long.filter(F.col("metric").isNotNull()).withColumn("_rank", F.row_number().over(newest))
+            .filter(F.col("_rank") <= keep).select(*key, "seq", "value"))
+    (kept.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(tail_path))
+    signals = _signals(long, key, "seq", window, cfgs).filter("_now").drop("_now")
+    scored = _per_reading(signals, ["machine_id", "seq"]).select(
+        F.col("machine_id").alias("_machine"), F.col("seq").alias("_seq"),
+        F.col("anomaly_score").alias("_score"), F.col("anomaly_flags").alias("_flags"))
+    cols = batch.columns
+    joined = batch.join(scored, (F.col("seq") == F.col("_seq"))
+                        & F.col("machine_id").eqNullSafe(F.col("_machine")), "left")
+    new = {"anomaly_score": F.coalesce("_score", F.lit(0.0)),
+           "anomaly_flags": F.coalesce("_flags", F.array().cast("array<string>")),
+           "detector_version": F.lit(detector_version)}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in cols],
+                         *[v.alias(c) for c, v in new.items() if c not in cols])

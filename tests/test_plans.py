@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from shopfloor.functions.joins import checked_broadcast
 from shopfloor.operators import dedup
 from shopfloor.operators import score as sc
 from shopfloor.plans import queries as Q
@@ -27,15 +26,17 @@ def test_dedup_uses_no_window_over_event_ids(spark):
 
 
 def test_hot_path_windows_by_chunk(spark):
-    p = plan(sc.score(td.arrivals(spark, SF001), hot_machine_rows=1, bucket_rows=500, chunk_rows=64))
+    p = plan(sc.score(td.arrivals(spark, SF001), hot_machine_rows=1, buckets=8, chunk_rows=64))
     assert "_chunk" in p and "_bucket" in p
 
 
-def test_registry_broadcast_only_when_small(spark):
-    small = td.device_registry(spark, SF001)
-    assert "broadcast" in str(checked_broadcast(small, max_rows=10_000)._jdf.queryExecution()
-                              .logical().toString()).lower()
-    assert checked_broadcast(small, max_rows=1) is small
+def test_building_a_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    arrivals = td.arrivals(spark, SF001)    # reading the file's schema is a job
+    spark.sparkContext.setJobGroup("plan-only", "")
+    sc.annotate(arrivals)
+    assert not tracker.getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_replay_machine_filter_reaches_the_scan(spark, tmp_path):

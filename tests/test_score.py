@@ -36,14 +36,14 @@ def test_hot_path_matches_loop_with_tiny_chunks(spark):
     want = score_rows(_rows(readings))
     # Every machine is "hot"; buckets and chunks far smaller than a machine's
     # history so the halo logic carries every frame across boundaries.
-    got = _collect(sc.score(readings, hot_machine_rows=1, bucket_rows=9, chunk_rows=70))
+    got = _collect(sc.score(readings, hot_machine_rows=1, buckets=8, chunk_rows=70))
     _compare(got, want)
 
 
 def test_mixed_hot_and_cold(spark):
     readings = td.arrivals(spark, SF01)
     want = score_rows(_rows(readings))
-    got = _collect(sc.score(readings, hot_machine_rows=75, bucket_rows=20, chunk_rows=64))
+    got = _collect(sc.score(readings, hot_machine_rows=75, buckets=8, chunk_rows=64))
     _compare(got, want)
 
 
@@ -55,7 +55,7 @@ def test_small_window_and_custom_config(spark):
     got = _collect(sc.score(readings, window=12, configs=cfg, hot_machine_rows=None))
     _compare(got, want)
     got = _collect(sc.score(readings, window=12, configs=cfg, hot_machine_rows=1,
-                            bucket_rows=5, chunk_rows=20))
+                            buckets=8, chunk_rows=20))
     _compare(got, want)
 
 

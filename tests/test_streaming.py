@@ -24,8 +24,9 @@ def test_stream_equals_batch(spark, tmp_path):
     _land_in_chunks(spark, arr, src)
     stream = spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = str(tmp_path / "scored")
-    q = (stateful.score_stream(stream).writeStream
-         .foreachBatch(lambda df, bid: stateful.regroup(df).write.mode("append").parquet(out))
+    tail = str(tmp_path / "tail")
+    q = (stream.writeStream
+         .foreachBatch(lambda df, bid: stateful.score_batch(df, bid, tail).write.mode("append").parquet(out))
          .option("checkpointLocation", str(tmp_path / "ck")).start())
     q.processAllAvailable()
     assert len(q.recentProgress) >= 3      # one micro-batch per landed file
