@@ -157,7 +157,7 @@ def best_threshold(odds: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_chain(x: np.ndarray, labels: np.ndarray, categories: tuple[str, ...], known: Known) -> Chain:
-    fold = np.arange(len(x)) % FOLDS
+    fold = np.random.default_rng(5).permutation(len(x)) % FOLDS
     weights, thresholds, unseen = [], [], np.zeros((len(x), len(categories)))
     for c in range(len(categories)):
         full = np.concatenate([x, unseen[:, :c]], axis=1)
