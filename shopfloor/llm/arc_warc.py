@@ -55,7 +55,7 @@ class ArcRecord:
 
 
 def gzip_member(data: bytes) -> bytes:
-    z = zlib.compressobj(1, zlib.DEFLATED, 31)
+    z = zlib.compressobj(4, zlib.DEFLATED, 31)
     return z.compress(data) + z.flush()
 
 
@@ -228,8 +228,8 @@ def pages_to_arc(pages: DataFrame, path: str) -> None:
 
 
 def arc_records(files: DataFrame, contents: bool) -> DataFrame:
-    """uri, ip, date, page_id, payload_bytes, digest (of the payload) and, if asked, message of all
-    records but the version blocks."""
+    """uri, ip, date, page_id, payload_bytes, digest (of the payload) and, if asked, message (deflated, as
+    it is shuffled) of all records but the version blocks."""
     def rows(batches):
         for batch in batches:
             for data in batch.column("content"):
@@ -243,7 +243,7 @@ def arc_records(files: DataFrame, contents: bool) -> DataFrame:
                     page = http.get("x-page-id")
                     row = (record.fields["url"], record.fields["ip"], record.fields["date"],
                            None if page is None else int(page), len(payload), hashlib.sha1(payload).hexdigest(),
-                           record.content if contents else None)
+                           zlib.compress(record.content, 3) if contents else None)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
                     size += len(record.content)
@@ -262,7 +262,7 @@ def arc_records(files: DataFrame, contents: bool) -> DataFrame:
 
 
 def _convert(row: dict) -> bytes:
-    page_id, digest, message = row["page_id"], row["digest"], row["message"]
+    page_id, digest, message = row["page_id"], row["digest"], zlib.decompress(row["message"])
     fields = [("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", timestamp(row["date"])),
               ("WARC-Target-URI", row["uri"]), ("WARC-IP-Address", row["ip"]),
               ("WARC-Payload-Digest", base32(digest))]
