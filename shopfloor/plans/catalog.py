@@ -8,16 +8,22 @@ instants) and named exactly like the DuckDB oracle in
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor import schema as S
+from shopfloor.functions.eventid import event_id
 from shopfloor.functions.timefmt import iso_text
 from shopfloor.operators import dedup, normalize
 from shopfloor.operators import score as sc
 from shopfloor.plans import queries as Q
 from shopfloor.plans import replay as R
+from shopfloor.session import checkpoint_dir
 from shopfloor.sinks import stores
+from shopfloor.sources import raw
 from shopfloor.sources import testdata as td
 from shopfloor.streaming import accounting
 
@@ -25,6 +31,7 @@ AS_OF = "2024-01-31 00:00:00"
 CURSOR_EVENT = "E-5000"
 REPLAY_SINCE = "2024-01-10T00:00:00"
 REPLAY_UNTIL = "2024-01-20T00:00:00"
+STAMPED_AT = dt.datetime(2024, 2, 1, 12, tzinfo=dt.timezone.utc)
 BATCH_SEQ_SPAN = 2000   # accounting: arrivals grouped into micro-batches by seq
 
 
@@ -38,6 +45,23 @@ def store(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.first_arrivals(live_scored(spark, sf))
 
 
+def _fresh_folder(spark: SparkSession) -> str:
+    """A folder of its own for a query that writes, where all executors see it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/queries/{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The reading store as a table that was written once, for queries that read it several times."""
+    path = _fresh_folder(spark)
+    df = store(spark, sf)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _metrics(col: str = "metrics") -> list:
+    return [F.col(col)[m].alias(m) for m in S.METRIC_COLUMNS]
+
+
 def _flags(df: DataFrame) -> DataFrame:
     return df.withColumn("anomaly_flags", Q.flags_text())
 
@@ -58,6 +82,18 @@ def q_score_readings_split(spark, sf):
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
 
+def q_score_skewed(spark, sf):
+    """A third of all arrivals on one machine, some on a null machine, and an
+    arrival order in two clumps far apart; split and unsplit machines."""
+    eid = F.floor(F.col("seq") / 2)
+    skewed = td.arrivals(spark, sf).withColumns({
+        "machine_id": F.when(eid % 3 == 0, "M-HOT").when(eid % 25 == 1, None).otherwise(F.col("machine_id")),
+        "seq": F.col("seq") + F.when(F.col("seq") % 4000 >= 2000, F.lit(1 << 40)).otherwise(F.lit(0))})
+    scored = sc.score(skewed, hot_machine_rows=200, buckets=16, chunk_rows=64)
+    return scored.select("seq", "machine_id", "anomaly_score",
+                         F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
+
+
 def q_dedup_store(spark, sf):
     return _flags(store(spark, sf).select("seq", "event_id", "machine_id", "pipeline_version",
                                           "anomaly_score", "anomaly_flags"))
@@ -69,7 +105,7 @@ def q_public_view(spark, sf):
     return v.select("seq", "event_id", "machine_id", "plant_id", "line_id", "source_protocol",
                     "timestamp", "ingested_at", "status", "anomaly_score",
                     F.array_join("anomaly_flags", ",").alias("anomaly_flags"),
-                    "pipeline_version", "detector_version")
+                    "pipeline_version", "detector_version", *_metrics())
 
 
 def q_manual_ingest(spark, sf):
@@ -133,13 +169,13 @@ def q_cursor_tail(spark, sf):
 
 
 def q_replay_window(spark, sf):
-    r = R.replay_readings(store(spark, sf), since=REPLAY_SINCE, until=REPLAY_UNTIL)
+    r = R.replay_readings(stored(spark, sf), since=REPLAY_SINCE, until=REPLAY_UNTIL)
     return _flags(r.select("seq", "machine_id", "anomaly_score", "anomaly_flags",
                            "pipeline_version", "detector_version"))
 
 
 def q_replay_summary(spark, sf):
-    return R.replay_summary(R.replay_readings(store(spark, sf)))
+    return R.replay_summary(R.replay_readings(stored(spark, sf)))
 
 
 def q_sql_recent(spark, sf):
@@ -163,7 +199,7 @@ def q_metrics_view(spark, sf):
     """OP-46 with duplicates from the ingest accounting of all arrivals."""
     arr = live_scored(spark, sf).withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ_SPAN))
     acc = accounting.batch_accounting(arr, stored_ids=None, batch_col="batch_id")
-    return Q.metrics_view(store(spark, sf), accounting=acc)
+    return Q.metrics_view(stored(spark, sf), accounting=acc)
 
 
 def q_wide_rows(spark, sf):
@@ -183,6 +219,7 @@ def q_point_tags(spark, sf):
                     F.col("tags")["status"].alias("status_tag"),
                     F.col("fields.anomaly_flags").alias("flags_field"),
                     F.size("metric_fields").cast("long").alias("n_metric_fields"),
+                    F.col("fields.anomaly_score").alias("score_field"), *_metrics("metric_fields"),
                     (F.unix_micros("time") * 1000).alias("time_ns"))
 
 
@@ -194,17 +231,65 @@ def q_ingest_accounting(spark, sf):
 def q_event_id_groups(spark, sf):
     """OP-11: ids computed from canonical content over all arrivals must group
     readings exactly like their content does: (copies per id, ids)."""
-    from shopfloor.functions.eventid import event_id
     ids = td.arrivals(spark, sf).select(event_id().alias("eid"))
     return (ids.groupBy("eid").agg(F.count(F.lit(1)).alias("copies"))
             .groupBy("copies").agg(F.count(F.lit(1)).alias("ids")))
 
 
+def q_event_ids(spark, sf):
+    """OP-11: the id text of every arrival, made from its content."""
+    return td.arrivals(spark, sf).select("seq", event_id().alias("event_id"))
+
+
+def q_wide_append_twice(spark, sf):
+    """OP-42: one protocol's arrivals appended, then all of them; the table has each id once."""
+    path = _fresh_folder(spark)
+    arrivals = live_scored(spark, sf)
+    stores.write_wide_table(arrivals.filter(F.col("source_protocol") == "mqtt"), path)
+    stores.write_wide_table(arrivals, path)
+    return spark.read.parquet(path).select(
+        "event_id", F.unix_micros("time").alias("ts_us"), "machine_id", "protocol", "status", *S.METRIC_COLUMNS,
+        "anomaly_score", F.array_join("anomaly_flags", ",").alias("anomaly_flags"), "pipeline_version")
+
+
+def q_log_round_trip(spark, sf):
+    """OP-47 and OP-04: the store written as a JSONL log and read back."""
+    path = _fresh_folder(spark)
+    stores.write_event_log(store(spark, sf), path)
+    back = stores.read_event_log(spark, path)
+    return back.select("seq", "event_id", "machine_id", iso_text(F.col("timestamp")).alias("timestamp"),
+                       *_metrics(), "status", "anomaly_score",
+                       F.array_join("anomaly_flags", ",").alias("anomaly_flags"), "pipeline_version")
+
+
+def q_replay_export(spark, sf):
+    """OP-48: the lines that a replay of the window exports, read back."""
+    path = _fresh_folder(spark)
+    stores.write_event_log(R.replay_readings(stored(spark, sf), since=REPLAY_SINCE, until=REPLAY_UNTIL),
+                           path, mode="overwrite")
+    return _flags(stores.read_event_log(spark, path).select(
+        "seq", "machine_id", "anomaly_score", "anomaly_flags", "pipeline_version", "detector_version"))
+
+
+def q_raw_to_scored(spark, sf):
+    """OP-01, 08, 09, 14, 29: messages landed as files, read as raw frames, those of the default
+    topic filter normalized, stamped and scored."""
+    path = _fresh_folder(spark)
+    landed = td.mqtt_messages(spark, sf).withColumn("topic", F.regexp_replace("topic", "^/|/$", ""))
+    landed.write.parquet(path)
+    good, _ = normalize.split_errors(
+        normalize.normalize_mqtt(raw.read_raw(spark, "mqtt", path), S.DEFAULT_TOPIC_FILTER))
+    scored = sc.annotate(dedup.stamp(good, STAMPED_AT, "raw-1"))
+    return _flags(scored.select(
+        "seq", "machine_id", F.unix_micros("timestamp").alias("ts_us"), "status", "event_id",
+        F.unix_micros("ingested_at").alias("ingested_us"), "pipeline_version", "anomaly_score", "anomaly_flags"))
+
+
 def q_normalize_mqtt(spark, sf):
     good, _ = normalize.split_errors(normalize.normalize_mqtt(td.mqtt_messages(spark, sf)))
     return normalize.wide_metrics(good).select(
         "arrival_seq", "machine_id", "plant_id", "line_id", "status",
-        F.unix_micros("timestamp").alias("ts_us"), *S.METRIC_COLUMNS)
+        F.unix_micros("timestamp").alias("ts_us"), "event_id", *S.METRIC_COLUMNS)
 
 
 def q_mqtt_rejects(spark, sf):
@@ -216,13 +301,15 @@ def q_normalize_modbus(spark, sf):
     polls = normalize.attach_registry(td.modbus_polls(spark, sf), td.device_registry(spark, sf))
     good = normalize.normalize_modbus(polls)
     return normalize.wide_metrics(good).select(
-        "arrival_seq", "machine_id", "plant_id", "line_id", "status", *S.METRIC_COLUMNS)
+        "arrival_seq", "machine_id", "plant_id", "line_id", "status",
+        F.unix_micros("timestamp").alias("ts_us"), "event_id", *S.METRIC_COLUMNS)
 
 
 def q_normalize_opcua(spark, sf):
     good = normalize.normalize_opcua(td.opcua_polls(spark, sf))
     return normalize.wide_metrics(good).select(
-        "arrival_seq", "machine_id", "status", *S.METRIC_COLUMNS)
+        "arrival_seq", "machine_id", "status", F.unix_micros("timestamp").alias("ts_us"), "event_id",
+        *S.METRIC_COLUMNS)
 
 
 def q_normalize_union(spark, sf):
@@ -239,6 +326,7 @@ def q_normalize_union(spark, sf):
 QUERIES = {
     "score_readings": q_score_readings,
     "score_readings_split": q_score_readings_split,
+    "score_skewed": q_score_skewed,
     "dedup_store": q_dedup_store,
     "public_view": q_public_view,
     "manual_ingest": q_manual_ingest,
@@ -262,6 +350,11 @@ QUERIES = {
     "point_tags": q_point_tags,
     "ingest_accounting": q_ingest_accounting,
     "event_id_groups": q_event_id_groups,
+    "event_ids": q_event_ids,
+    "wide_append_twice": q_wide_append_twice,
+    "log_round_trip": q_log_round_trip,
+    "replay_export": q_replay_export,
+    "raw_to_scored": q_raw_to_scored,
     "normalize_mqtt": q_normalize_mqtt,
     "mqtt_rejects": q_mqtt_rejects,
     "normalize_modbus": q_normalize_modbus,

@@ -60,6 +60,16 @@ def _iso(col: str) -> str:
             f"|| '+00:00')")
 
 
+def _event_id(protocol: str, time: str) -> str:
+    """sha256 of the canonical JSON text: keys in order, null metrics left out."""
+    text = lambda c: f"COALESCE('\"' || {c} || '\"', 'null')"
+    metrics = ", ".join(f"'\"{m}\":' || CAST({m} AS VARCHAR)" for m in sorted(METRICS))
+    return (f"sha256('{{\"line_id\":' || {text('line_id')} || ',\"machine_id\":' || {text('machine_id')} || "
+            f"',\"metrics\":{{' || concat_ws(',', {metrics}) || '}},\"plant_id\":' || {text('plant_id')} || "
+            f"',\"source_protocol\":\"' || {protocol} || '\",\"status\":\"' || status || "
+            f"'\",\"timestamp\":\"' || {_iso(time)} || '\"}}')")
+
+
 def _cfg_values() -> str:
     rows = []
     for name, c in S.DEFAULT_METRIC_CONFIGS.items():
@@ -145,7 +155,7 @@ mq_good AS (
     CASE WHEN uid % 11 = 0 THEN NULL ELSE 'L' || CAST(uid % 7 AS VARCHAR) END AS line_id,
     CASE kind WHEN 0 THEN 'running' WHEN 1 THEN 'idle' WHEN 4 THEN 'fault'
               WHEN 7 THEN 'maintenance' ELSE 'unknown' END AS status,
-    epoch_us(date_trunc('second', ts)) AS ts_us,
+    epoch_us(date_trunc('second', ts)) AS ts_us, date_trunc('second', ts) AS seen,
     CASE WHEN kind IN (0, 1, 2) THEN val END AS temperature,
     CASE WHEN kind = 1 THEN CAST(0.5 AS DOUBLE) END AS vibration,
     CASE WHEN kind = 4 THEN val END AS rpm,
@@ -167,7 +177,7 @@ dev AS (
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
 mb_raw AS (
-  SELECT l_orderkey * 8 + l_linenumber AS arrival_seq, l_suppkey,
+  SELECT l_orderkey * 8 + l_linenumber AS arrival_seq, l_suppkey, CAST(l_shipdate AS TIMESTAMP) AS seen,
          CAST(floor(l_quantity) AS INTEGER) AS r1,
          CAST(floor(l_discount * 1000 + 0.5) AS INTEGER) AS r2,
          CAST(l_partkey % 10000 AS INTEGER) AS r3,
@@ -177,7 +187,7 @@ mb_raw AS (
   FROM lineitem WHERE l_orderkey % 50 <> 0
 ),
 mb AS (
-  SELECT arrival_seq, 'S-' || CAST(l_suppkey AS VARCHAR) AS machine_id, plant_id, line_id,
+  SELECT arrival_seq, seen, epoch_us(seen) AS ts_us, 'S-' || CAST(l_suppkey AS VARCHAR) AS machine_id, plant_id, line_id,
     CASE code WHEN 0 THEN 'idle' WHEN 1 THEN 'running' WHEN 2 THEN 'fault'
               WHEN 3 THEN 'maintenance' ELSE 'unknown' END AS status,
     CAST(r1 AS DOUBLE) * {_d(0.1)} AS temperature,
@@ -196,7 +206,8 @@ mb AS (
 def _opcua_ctes() -> str:
     return f"""
 ua AS (
-  SELECT eid AS arrival_seq, 'O-' || CAST(uid % 40 AS VARCHAR) AS machine_id,
+  SELECT eid AS arrival_seq, 'O-' || CAST(uid % 40 AS VARCHAR) AS machine_id, ts AS seen, epoch_us(ts) AS ts_us,
+    CAST(NULL AS VARCHAR) AS plant_id, CAST(NULL AS VARCHAR) AS line_id,
     CASE et WHEN 'error' THEN 'fault' WHEN 'view' THEN 'idle' ELSE 'running' END AS status,
     CASE WHEN k % 5 = 0 THEN CAST(k AS DOUBLE) ELSE val END AS temperature,
     CAST(NULL AS DOUBLE) AS vibration,
@@ -215,13 +226,22 @@ _M = ", ".join(METRICS)
 SQL = {
     "score_readings": _with("SELECT seq, machine_id, anomaly_score, anomaly_flags FROM a_scores"),
     "score_readings_split": _with("SELECT seq, machine_id, anomaly_score, anomaly_flags FROM a_scores"),
+    "score_skewed": _with(
+        "SELECT seq, NULLIF(machine_id, '') AS machine_id, anomaly_score, anomaly_flags FROM k_scores",
+        BASE + """,
+skewed AS (
+  SELECT * REPLACE (
+    CASE WHEN (seq // 2) % 3 = 0 THEN 'M-HOT' WHEN (seq // 2) % 25 = 1 THEN '' ELSE machine_id END AS machine_id,
+    seq + CASE WHEN seq % 4000 >= 2000 THEN 1099511627776 ELSE 0 END AS seq) FROM arrivals
+),
+""" + scoring("skewed", "k")),
     "dedup_store": _with("SELECT seq, event_id, machine_id, pipeline_version, anomaly_score, "
                          "anomaly_flags FROM store"),
     "public_view": _with(
         f"SELECT seq, event_id, machine_id, plant_id, line_id, source_protocol, "
         f"{_iso('\"timestamp\"')} AS \"timestamp\", {_iso('\"timestamp\"')} AS ingested_at, status, "
-        f"anomaly_score, anomaly_flags, pipeline_version, '{S.DEFAULT_DETECTOR_VERSION}' AS detector_version "
-        "FROM store"),
+        f"anomaly_score, anomaly_flags, pipeline_version, '{S.DEFAULT_DETECTOR_VERSION}' AS detector_version, "
+        f"{_M} FROM store"),
     "manual_ingest": _with(
         f"SELECT seq, event_id, '{S.MANUAL_INGEST_PIPELINE_VERSION}' AS pipeline_version, "
         f"'{S.DEFAULT_DETECTOR_VERSION}' AS detector_version, anomaly_score, "
@@ -298,7 +318,7 @@ SQL = {
         "COALESCE(NULLIF(line_id, ''), 'unknown') AS line_tag, source_protocol AS protocol_tag, status AS status_tag, "
         "CASE WHEN anomaly_flags = '' THEN 'none' ELSE anomaly_flags END AS flags_field, "
         "CAST(" + " + ".join(f"CASE WHEN {m} IS NULL THEN 0 ELSE 1 END" for m in METRICS)
-        + " AS BIGINT) AS n_metric_fields, epoch_us(\"timestamp\") * 1000 AS time_ns FROM store"),
+        + " AS BIGINT) AS n_metric_fields, anomaly_score AS score_field, " + _M + ", epoch_us(\"timestamp\") * 1000 AS time_ns FROM store"),
     "ingest_accounting": _with(
         "SELECT batch_id, count(*) AS received, count(*) FILTER (WHERE is_new) AS processed, "
         "count(*) FILTER (WHERE NOT is_new) AS duplicates, "
@@ -311,17 +331,33 @@ SQL = {
         "SELECT copies, count(*) AS ids FROM (SELECT count(*) AS copies FROM arrivals GROUP BY "
         f"machine_id, plant_id, line_id, source_protocol, \"timestamp\", {_M}, status) GROUP BY copies",
         BASE),
+    "event_ids": _with(
+        f"SELECT seq, {_event_id('source_protocol', '\"timestamp\"')} AS event_id FROM arrivals", BASE),
+    "wide_append_twice": _with(
+        f"SELECT event_id, epoch_us(\"timestamp\") AS ts_us, machine_id, source_protocol AS protocol, status, {_M}, "
+        "anomaly_score, anomaly_flags, pipeline_version FROM store"),
+    "log_round_trip": _with(
+        f"SELECT seq, event_id, machine_id, {_iso('\"timestamp\"')} AS \"timestamp\", {_M}, status, anomaly_score, "
+        "anomaly_flags, pipeline_version FROM store"),
+    "raw_to_scored": _with(
+        f"SELECT q.seq, q.machine_id, q.ts_us, q.status, {_event_id("'mqtt'", 'seen')} AS event_id, "
+        "epoch_us(TIMESTAMP '2024-02-01 12:00:00') AS ingested_us, 'raw-1' AS pipeline_version, "
+        "s.anomaly_score, s.anomaly_flags FROM landed q JOIN q_scores s USING (machine_id, seq)",
+        BASE + "," + _mqtt_ctes() + ",\nlanded AS (SELECT *, arrival_seq AS seq FROM mq_good "
+        "WHERE machine_id <> 'unknown'),\n" + scoring("landed", "q")),
     "normalize_mqtt": _with(
-        f"SELECT arrival_seq, machine_id, plant_id, line_id, status, ts_us, {_M} FROM mq_good",
+        f"SELECT arrival_seq, machine_id, plant_id, line_id, status, ts_us, {_event_id('\'mqtt\'', 'seen')} AS event_id, "
+        f"{_M} FROM mq_good",
         BASE + "," + _mqtt_ctes()),
     "mqtt_rejects": _with(
         "SELECT eid AS arrival_seq, 'payload is not a JSON object' AS error FROM ev WHERE k % 8 IN (5, 6)",
         BASE),
     "normalize_modbus": _with(
-        f"SELECT arrival_seq, machine_id, plant_id, line_id, status, {_M} FROM mb",
+        f"SELECT arrival_seq, machine_id, plant_id, line_id, status, ts_us, {_event_id('\'modbus\'', 'seen')} AS event_id, "
+        f"{_M} FROM mb",
         BASE + "," + _modbus_ctes()),
     "normalize_opcua": _with(
-        f"SELECT arrival_seq, machine_id, status, {_M} FROM ua", BASE + "," + _opcua_ctes()),
+        f"SELECT arrival_seq, machine_id, status, ts_us, {_event_id('\'opcua\'', 'seen')} AS event_id, {_M} FROM ua", BASE + "," + _opcua_ctes()),
     "normalize_union": _with(
         "SELECT source_protocol, status, count(*) AS readings, CAST(sum(n_metrics) AS BIGINT) AS metric_values "
         "FROM (SELECT 'mqtt' AS source_protocol, status, n_metrics FROM mq_good "
@@ -329,3 +365,4 @@ SQL = {
         "UNION ALL SELECT 'opcua', status, n_metrics FROM ua) GROUP BY source_protocol, status",
         BASE + "," + _mqtt_ctes() + "," + _modbus_ctes() + "," + _opcua_ctes()),
 }
+SQL["replay_export"] = SQL["replay_window"]
