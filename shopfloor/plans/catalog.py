@@ -196,10 +196,8 @@ def q_points_pivot(spark, sf):
 
 
 def q_metrics_view(spark, sf):
-    """OP-46 with duplicates from the ingest accounting of all arrivals."""
-    arr = live_scored(spark, sf).withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ_SPAN))
-    acc = accounting.batch_accounting(arr, stored_ids=None, batch_col="batch_id")
-    return Q.metrics_view(stored(spark, sf), accounting=acc)
+    """OP-46 with duplicates and failures from the ingest accounting."""
+    return Q.metrics_view(stored(spark, sf), accounting=q_ingest_accounting(spark, sf))
 
 
 def q_wide_rows(spark, sf):
@@ -224,8 +222,11 @@ def q_point_tags(spark, sf):
 
 
 def q_ingest_accounting(spark, sf):
-    arr = live_scored(spark, sf).withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ_SPAN))
-    return accounting.batch_accounting(arr, stored_ids=None, batch_col="batch_id")
+    """OP-37: batches of all arrivals, and of the MQTT messages that fail to normalize."""
+    _, bad = normalize.split_errors(normalize.normalize_mqtt(td.mqtt_messages(spark, sf)))
+    bad = bad.select((F.col("arrival_seq") * 2).alias("seq"), "error")
+    arr = live_scored(spark, sf).unionByName(bad, allowMissingColumns=True)
+    return accounting.batch_accounting(arr.withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ_SPAN)))
 
 
 def q_event_id_groups(spark, sf):

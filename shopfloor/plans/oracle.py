@@ -306,7 +306,7 @@ skewed AS (
         "UNION ALL SELECT 'active_machines', '', CAST(count(DISTINCT machine_id) AS DOUBLE) FROM store "
         "UNION ALL SELECT 'total_duplicates', '', CAST((SELECT count(*) FROM live) - "
         "(SELECT count(*) FROM store) AS DOUBLE) "
-        "UNION ALL SELECT 'failed_events', '', CAST(0 AS DOUBLE) "
+        "UNION ALL SELECT 'failed_events', '', CAST((SELECT count(*) FROM ev WHERE k % 8 IN (5, 6)) AS DOUBLE) "
         "UNION ALL SELECT 'readings_per_protocol', source_protocol, CAST(count(*) AS DOUBLE) FROM store "
         "GROUP BY source_protocol)"),
     "wide_rows": _with(
@@ -320,13 +320,18 @@ skewed AS (
         "CAST(" + " + ".join(f"CASE WHEN {m} IS NULL THEN 0 ELSE 1 END" for m in METRICS)
         + " AS BIGINT) AS n_metric_fields, anomaly_score AS score_field, " + _M + ", epoch_us(\"timestamp\") * 1000 AS time_ns FROM store"),
     "ingest_accounting": _with(
+        "SELECT b.*, COALESCE(f.failed, 0) AS failed, f.last_error FROM ("
         "SELECT batch_id, count(*) AS received, count(*) FILTER (WHERE is_new) AS processed, "
         "count(*) FILTER (WHERE NOT is_new) AS duplicates, "
         "count(*) FILTER (WHERE is_new AND anomaly_flags <> '') AS anomalies, "
         + ", ".join(f"count(*) FILTER (WHERE is_new AND source_protocol = '{p}') AS {p}" for p in S.PROTOCOLS)
-        + ", arg_max(event_id, seq) FILTER (WHERE is_new) AS last_event_id FROM ("
+        + ", arg_max(event_id, seq) FILTER (WHERE is_new) AS last_event_id, "
+        "arg_max(pipeline_version, seq) FILTER (WHERE is_new) AS pipeline_version, "
+        "'rules-v1' AS detector_version FROM ("
         "SELECT *, CAST(floor(seq / 2000) AS BIGINT) AS batch_id, "
-        "row_number() OVER (PARTITION BY event_id ORDER BY seq) = 1 AS is_new FROM live) GROUP BY batch_id"),
+        "row_number() OVER (PARTITION BY event_id ORDER BY seq) = 1 AS is_new FROM live) GROUP BY batch_id) b LEFT JOIN ("
+        "SELECT CAST(floor(eid * 2 / 2000) AS BIGINT) AS batch_id, count(*) AS failed, "
+        "'payload is not a JSON object' AS last_error FROM ev WHERE k % 8 IN (5, 6) GROUP BY 1) f USING (batch_id)"),
     "event_id_groups": _with(
         "SELECT copies, count(*) AS ids FROM (SELECT count(*) AS copies FROM arrivals GROUP BY "
         f"machine_id, plant_id, line_id, source_protocol, \"timestamp\", {_M}, status) GROUP BY copies",

@@ -38,6 +38,12 @@ def public_view(readings: DataFrame) -> DataFrame:
         *([c for c in ("seq",) if c in readings.columns]))
 
 
+def append_order(store: DataFrame) -> Column:
+    """What the store's rows are ordered by: ``(batch_id, seq)`` if it has
+    batches (several counters may feed one store), else ``seq``."""
+    return F.struct("batch_id", "seq") if "batch_id" in store.columns else F.col("seq")
+
+
 def anomalous(store: DataFrame, threshold: float = S.ANOMALY_THRESHOLD) -> DataFrame:
     """OP-16: readings with score >= threshold."""
     return store.filter(is_anomalous(threshold))
@@ -55,7 +61,7 @@ def pipeline_stats(store: DataFrame, anomaly_retention: int | None = None) -> Da
         F.count(F.lit(1)).alias("total_readings"),
         n_anom.cast("long").alias("total_anomalies"),
         F.count_distinct("machine_id").alias("active_machines"),
-        F.max_by("event_id", "seq").alias("last_event_id"))
+        F.max_by(F.col("event_id"), append_order(store)).alias("last_event_id"))
 
 
 def protocol_counts(store: DataFrame) -> DataFrame:
@@ -69,7 +75,7 @@ def machine_list(store: DataFrame, retention: int | None = None) -> DataFrame:
     ``max_by`` is a partial aggregate: each map task keeps one candidate per
     machine, so a hot machine costs no more shuffle than a cold one."""
     latest = F.max_by(F.struct("plant_id", "line_id", "source_protocol", "status",
-                               "timestamp", "event_id"), "seq")
+                               "timestamp", "event_id"), append_order(store))
     n = F.count(F.lit(1))
     if retention is not None:
         n = F.least(n, F.lit(retention))
@@ -88,11 +94,12 @@ def recent_readings(store: DataFrame, limit: int = S.DEFAULT_QUERY_LIMIT,
                     machine_id: str | None = None) -> DataFrame:
     """OP-34: newest ``limit`` readings per machine by append order, newest
     first (``rank`` 1 = newest). One machine: a filter + top-N."""
+    newest = append_order(store).desc()
     if machine_id is not None:
         return (store.filter(F.col("machine_id") == machine_id)
-                .orderBy(F.desc("seq")).limit(limit)
-                .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("seq")))))
-    w = Window.partitionBy("machine_id").orderBy(F.desc("seq"))
+                .orderBy(newest).limit(limit)
+                .withColumn("rank", F.row_number().over(Window.orderBy(newest))))
+    w = Window.partitionBy("machine_id").orderBy(newest)
     return store.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
 
@@ -107,11 +114,12 @@ def recent_anomalies(store: DataFrame, limit: int = S.DEFAULT_QUERY_LIMIT,
     """OP-36: flagged readings with score >= ``min_score``, newest first, top
     ``limit`` (distributed top-N). ``retention`` limits the choice to the
     newest flagged readings, as a store that forgets older ones does."""
+    newest = append_order(store).desc()
     flagged = store.filter(has_flags())
     if retention is not None:
-        flagged = flagged.orderBy(F.desc("seq")).limit(retention)
+        flagged = flagged.orderBy(newest).limit(retention)
     return (flagged.filter(F.col("anomaly_score") >= F.lit(float(min_score)))
-            .orderBy(F.desc("seq")).limit(limit))
+            .orderBy(newest).limit(limit))
 
 
 def readings_after(store: DataFrame, event_id: str | None = None,
@@ -119,13 +127,12 @@ def readings_after(store: DataFrame, event_id: str | None = None,
     """OP-38: next ``limit`` readings after the cursor id in append order;
     unknown or absent id -> from the start. The cursor position is a scalar
     subquery (one value), not a join."""
-    if event_id is None:
-        after = store
-    else:
-        start = (store.filter(F.col("event_id") == event_id)
-                 .agg(F.coalesce(F.max("seq"), F.lit(-1).cast("long"))).scalar())
-        after = store.filter(F.col("seq") > start)
-    return after.orderBy("seq").limit(limit)
+    order = append_order(store)
+    after = store
+    if event_id is not None:
+        start = store.filter(F.col("event_id") == event_id).agg(F.max(order)).scalar()
+        after = store.filter(start.isNull() | (order > start))
+    return after.orderBy(order).limit(limit)
 
 
 def readings_between(store: DataFrame, machine_id: str | None = None,
@@ -140,11 +147,11 @@ def readings_between(store: DataFrame, machine_id: str | None = None,
 def sql_recent(store: DataFrame, machine_id: str | None = None,
                limit: int = S.SQL_RECENT_LIMIT) -> DataFrame:
     """OP-43: newest ``limit`` rows by event time (not append order) per
-    machine; ``seq`` breaks timestamp ties."""
+    machine; append order breaks timestamp ties."""
     if machine_id is not None:
         return (store.filter(F.col("machine_id") == machine_id)
-                .orderBy(F.desc("timestamp"), F.desc("seq")).limit(limit))
-    w = Window.partitionBy("machine_id").orderBy(F.desc("timestamp"), F.desc("seq"))
+                .orderBy(F.desc("timestamp"), append_order(store).desc()).limit(limit))
+    w = Window.partitionBy("machine_id").orderBy(F.desc("timestamp"), append_order(store).desc())
     return store.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
 
@@ -154,7 +161,7 @@ def sql_anomalies(store: DataFrame, as_of, threshold: float = S.ANOMALY_THRESHOL
     (exclusive start), highest score first, then newest; top ``limit``."""
     start = _ts(as_of) - F.make_interval(hours=F.lit(hours))
     return (store.filter(is_anomalous(threshold) & (F.col("timestamp") > start))
-            .orderBy(F.desc("anomaly_score"), F.desc("timestamp"), F.desc("seq")).limit(limit))
+            .orderBy(F.desc("anomaly_score"), F.desc("timestamp"), append_order(store).desc()).limit(limit))
 
 
 def points_pivot(points: DataFrame, as_of, hours: int = 1,
@@ -178,22 +185,30 @@ def metrics_view(store: DataFrame, duplicates: int | None = None, failed: int |
                  accounting: DataFrame | None = None) -> DataFrame:
     """OP-46: operational figures as tall ``(metric, protocol, value)`` rows.
 
-    Store figures come from the store; duplicates come from the per-batch
-    accounting rows when given (the worker's counters), else the literal."""
-    stats = pipeline_stats(store)
-    dup = F.lit(duplicates or 0).cast("double")
-    base = stats.select(F.explode(F.array(
-        F.struct(F.lit("total_readings").alias("metric"), F.col("total_readings").cast("double").alias("value")),
-        F.struct(F.lit("total_anomalies").alias("metric"), F.col("total_anomalies").cast("double").alias("value")),
-        F.struct(F.lit("active_machines").alias("metric"), F.col("active_machines").cast("double").alias("value")),
-        F.struct(F.lit("failed_events").alias("metric"), F.lit(failed or 0).cast("double").alias("value")),
-    )).alias("m")).select("m.metric", F.lit("").alias("protocol"), "m.value")
+    Duplicates and failed events come from the per-batch accounting rows when
+    given (the worker's counters), else from the literals. The store is read
+    once: counts per machine and protocol, rolled up to totals and protocols;
+    an empty store gives zeros."""
+    session = store.sparkSession
+    counts = store.groupBy("machine_id", "source_protocol").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(has_flags()).alias("flagged"))
+    none = session.range(1).select(F.lit(None).cast("string").alias("machine_id"), F.lit(None).cast("string").alias(
+        "source_protocol"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("flagged"))
+    rolled = counts.unionByName(none).rollup("source_protocol").agg(
+        F.grouping("source_protocol").alias("is_total"), F.sum("n").alias("n"),
+        F.sum("flagged").alias("flagged"), F.count_distinct("machine_id").alias("machines"))
+    rolled = rolled.filter((F.col("is_total") == 1) | (F.col("n") > 0))
+
+    def figure(name: str, value: Column, protocol: Column = F.lit("")) -> Column:
+        return F.struct(F.lit(name).alias("metric"), protocol.alias("protocol"), value.cast("double").alias("value"))
+    of_store = rolled.select(F.explode(F.when(F.col("is_total") == 1, F.array(
+        figure("total_readings", F.col("n")), figure("total_anomalies", F.col("flagged")),
+        figure("active_machines", F.col("machines"))))
+        .otherwise(F.array(figure("readings_per_protocol", F.col("n"), F.col("source_protocol"))))).alias("m")).select("m.*")
     if accounting is not None:
-        dups = accounting.agg(F.coalesce(F.sum("duplicates"), F.lit(0)).cast("double").alias("value"))
+        work = accounting.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("duplicates", "failed")])
     else:
-        dups = store.sparkSession.range(1).select(dup.alias("value"))
-    dups = dups.select(F.lit("total_duplicates").alias("metric"), F.lit("").alias("protocol"), "value")
-    per_proto = protocol_counts(store).select(
-        F.lit("readings_per_protocol").alias("metric"), F.col("source_protocol").alias("protocol"),
-        F.col("readings").cast("double").alias("value"))
-    return base.unionByName(dups).unionByName(per_proto)
+        work = session.range(1).select(F.lit(duplicates or 0).alias("duplicates"), F.lit(failed or 0).alias("failed"))
+    of_work = work.select(F.explode(F.array(figure("total_duplicates", F.col("duplicates")),
+                                            figure("failed_events", F.col("failed")))).alias("m")).select("m.*")
+    return of_store.unionByName(of_work)

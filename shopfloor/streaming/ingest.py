@@ -84,7 +84,7 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
         stored = _stored_ids(spark, store_path, batch_id, since)
         fresh = first_arrivals(batch, stored).persist()
         if accounting_path:
-            acc = batch_accounting(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
+            acc = batch_accounting(cached.withColumn("batch_id", F.lit(batch_id).cast("long")),
                                    batch_col="batch_id", kept=fresh).drop("batch_id")
             _overwrite_batch(acc, batch_id, accounting_path)
         if wide_path:
