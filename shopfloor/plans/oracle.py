@@ -9,9 +9,12 @@ columns the raw payloads were made of.
 
 from __future__ import annotations
 
-from shopfloor import schema as S
-
-METRICS = S.METRIC_COLUMNS
+# Fixed values of the domain, written out here so that a wrong constant in
+# the library can't make both sides agree.
+METRICS = ("temperature", "vibration", "rpm", "pressure", "power_kw", "current_a", "voltage_v", "humidity", "flow_rate")
+LIMITS = (  # metric, lowest, highest, z threshold
+    ("temperature", 0, 200, 3.0), ("vibration", 0, 5.0, 3.5), ("rpm", 0, 10000, 3.0), ("pressure", 0, 500, 3.0),
+    ("power_kw", 0, 100, 3.0), ("current_a", 0, 200, 3.0), ("voltage_v", 200, 500, 2.5))
 
 
 def _d(x) -> str:
@@ -43,7 +46,7 @@ orig AS (
          CASE et WHEN 'click' THEN 'running' WHEN 'view' THEN 'idle'
                  WHEN 'purchase' THEN 'maintenance' WHEN 'error' THEN 'fault'
                  ELSE 'unknown' END AS status,
-         '{S.DEFAULT_PIPELINE_VERSION}' AS pipeline_version,
+         'phase3-runtime-v1' AS pipeline_version,
          eid * 2 AS seq
   FROM ev
 ),
@@ -72,16 +75,15 @@ def _event_id(protocol: str, time: str) -> str:
 
 def _cfg_values() -> str:
     rows = []
-    for name, c in S.DEFAULT_METRIC_CONFIGS.items():
-        rows.append(f"('{name}', {_d(c.min_value)}, {_d(c.max_value)}, {_d(c.zscore_threshold)})")
+    for name, low, high, threshold in LIMITS:
+        rows.append(f"('{name}', {_d(low)}, {_d(high)}, {_d(threshold)})")
     return ", ".join(rows)
 
 
-def scoring(src: str, p: str, window: int = S.DEFAULT_WINDOW) -> str:
+def scoring(src: str, p: str, window: int = 60) -> str:
     """CTEs ``{p}_scores(machine_id, seq, anomaly_score, anomaly_flags)``
     scoring every row of CTE ``src`` with fresh state."""
-    d = S.DEFAULT_METRIC_CONFIG
-    fw = d.flatline_window
+    fw = 10  # values in a flat run
     unpivot = "\n  UNION ALL\n  ".join(
         f"SELECT machine_id, seq, '{m}' AS metric, {m} AS value FROM {src} WHERE {m} IS NOT NULL"
         for m in METRICS)
@@ -98,9 +100,9 @@ def scoring(src: str, p: str, window: int = S.DEFAULT_WINDOW) -> str:
          fw AS (PARTITION BY machine_id, metric ORDER BY seq ROWS BETWEEN {fw - 1} PRECEDING AND CURRENT ROW)
 ),
 {p}_z AS (
-  SELECT w.*, c.lo, c.hi, COALESCE(c.thr, {_d(d.zscore_threshold)}) AS thr,
-         CASE WHEN n >= {S.ZSCORE_MIN_VALUES} THEN
-           CASE WHEN sd < {S.ZERO_STD!r} THEN abs(value - mean) ELSE abs(value - mean) / sd END END AS z
+  SELECT w.*, c.lo, c.hi, COALESCE(c.thr, {_d(3)}) AS thr,
+         CASE WHEN n >= 10 THEN
+           CASE WHEN sd < 1e-09 THEN abs(value - mean) ELSE abs(value - mean) / sd END END AS z
   FROM {p}_w w LEFT JOIN {p}_cfg c ON c.metric = w.metric
 ),
 {p}_sig AS (
@@ -109,11 +111,11 @@ def scoring(src: str, p: str, window: int = S.DEFAULT_WINDOW) -> str:
          WHEN hi IS NOT NULL AND value > hi THEN {_d(0.9)} END AS s_range,
     CASE WHEN z > thr * {_d(1.5)} THEN least({_d(1.0)}, z / (thr * {_d(3.0)}))
          WHEN z > thr THEN least({_d(0.7)}, z / (thr * {_d(2.0)})) END AS s_z,
-    CASE WHEN {window} >= {fw} AND fn >= {fw} AND fspan < {_d(d.flatline_tolerance)} THEN {_d(0.4)} END AS s_flat,
+    CASE WHEN {window} >= {fw} AND fn >= {fw} AND fspan < {_d(0.0001)} THEN {_d(0.4)} END AS s_flat,
     COALESCE((lo IS NOT NULL AND value < lo) OR (hi IS NOT NULL AND value > hi), false) AS f_range,
     COALESCE(z > thr * {_d(1.5)}, false) AS f_spike,
     COALESCE(z > thr AND NOT (z > thr * {_d(1.5)}), false) AS f_drift,
-    COALESCE({window} >= {fw} AND fn >= {fw} AND fspan < {_d(d.flatline_tolerance)}, false) AS f_flat
+    COALESCE({window} >= {fw} AND fn >= {fw} AND fspan < {_d(0.0001)}, false) AS f_flat
   FROM {p}_z
 ),
 {p}_scores AS (
@@ -240,11 +242,11 @@ skewed AS (
     "public_view": _with(
         f"SELECT seq, event_id, machine_id, plant_id, line_id, source_protocol, "
         f"{_iso('\"timestamp\"')} AS \"timestamp\", {_iso('\"timestamp\"')} AS ingested_at, status, "
-        f"anomaly_score, anomaly_flags, pipeline_version, '{S.DEFAULT_DETECTOR_VERSION}' AS detector_version, "
+        f"anomaly_score, anomaly_flags, pipeline_version, 'rules-v1' AS detector_version, "
         f"{_M} FROM store"),
     "manual_ingest": _with(
-        f"SELECT seq, event_id, '{S.MANUAL_INGEST_PIPELINE_VERSION}' AS pipeline_version, "
-        f"'{S.DEFAULT_DETECTOR_VERSION}' AS detector_version, anomaly_score, "
+        f"SELECT seq, event_id, 'manual-ingest' AS pipeline_version, "
+        f"'rules-v1' AS detector_version, anomaly_score, "
         "CAST(NULL AS VARCHAR) AS error FROM live"),
     "pipeline_stats": _with(
         "SELECT count(*) AS total_readings, count(*) FILTER (WHERE anomaly_flags <> '') AS total_anomalies, "
@@ -252,7 +254,7 @@ skewed AS (
     "protocol_counts": _with("SELECT source_protocol, count(*) AS readings FROM store GROUP BY source_protocol"),
     "active_machines": _with("SELECT DISTINCT machine_id FROM arrivals", BASE),
     "anomalous_readings": _with(f"SELECT seq, machine_id, anomaly_score FROM store "
-                                f"WHERE anomaly_score >= {_d(S.ANOMALY_THRESHOLD)}"),
+                                f"WHERE anomaly_score >= {_d(0.5)}"),
     "machine_list": _with(
         "SELECT machine_id, arg_max(plant_id, seq) AS plant_id, arg_max(line_id, seq) AS line_id, "
         "arg_max(source_protocol, seq) AS protocol, arg_max(status, seq) AS status, "
@@ -261,7 +263,7 @@ skewed AS (
     "recent_readings": _with(
         f"SELECT machine_id, seq, rank, event_id, {_iso('\"timestamp\"')} AS \"timestamp\", anomaly_score "
         "FROM (SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY seq DESC) AS rank FROM store) "
-        f"WHERE rank <= {S.DEFAULT_QUERY_LIMIT}"),
+        f"WHERE rank <= 50"),
     "latest_reading": _with(
         f"SELECT machine_id, seq, event_id, status, {_iso('\"timestamp\"')} AS \"timestamp\", anomaly_score, "
         "anomaly_flags FROM store QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY seq DESC) = 1"),
@@ -274,22 +276,22 @@ skewed AS (
         f"WHERE anomaly_score >= {_d(0.5)} ORDER BY seq DESC LIMIT 500"),
     "cursor_tail": _with(
         "SELECT seq, event_id, machine_id FROM store WHERE seq > COALESCE((SELECT max(seq) FROM store "
-        f"WHERE event_id = 'E-5000'), -1) ORDER BY seq LIMIT {S.TAIL_PAGE}"),
+        f"WHERE event_id = 'E-5000'), -1) ORDER BY seq LIMIT 100"),
     "replay_window": _with(
         f"SELECT s.seq, s.machine_id, s.anomaly_score, s.anomaly_flags, "
-        f"'{S.REPLAY_PIPELINE_VERSION}' AS pipeline_version, '{S.REPLAY_DETECTOR_VERSION}' AS detector_version "
+        f"'replay-v1' AS pipeline_version, 'rules-replay-v1' AS detector_version "
         "FROM r_scores s",
         STORE + ",\nsel AS (SELECT * FROM store WHERE \"timestamp\" >= TIMESTAMP '2024-01-10 00:00:00' "
         "AND \"timestamp\" <= TIMESTAMP '2024-01-20 00:00:00'),\n" + scoring("sel", "r")),
     "replay_summary": _with(
         "SELECT count(*) AS replayed, count(*) FILTER (WHERE anomaly_flags <> '') AS anomalies, "
-        f"CAST(NULL AS VARCHAR) AS machine_id, '{S.REPLAY_DETECTOR_VERSION}' AS detector_version, "
+        f"CAST(NULL AS VARCHAR) AS machine_id, 'rules-replay-v1' AS detector_version, "
         "CAST(NULL AS VARCHAR) AS output_path, CAST(0 AS BIGINT) AS exported FROM r_scores",
         STORE + ",\n" + scoring("store", "r")),
     "sql_recent": _with(
         "SELECT machine_id, seq, rank FROM (SELECT machine_id, seq, row_number() OVER "
         "(PARTITION BY machine_id ORDER BY \"timestamp\" DESC, seq DESC) AS rank FROM store) "
-        f"WHERE rank <= {S.SQL_RECENT_LIMIT}"),
+        f"WHERE rank <= 100"),
     "sql_anomalies": _with(
         "SELECT seq, machine_id, anomaly_score, epoch_us(\"timestamp\") AS ts_us FROM store "
         f"WHERE anomaly_score >= {_d(0.5)} AND \"timestamp\" > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 72 HOUR "
@@ -312,7 +314,7 @@ skewed AS (
     "wide_rows": _with(
         f"SELECT event_id, epoch_us(\"timestamp\") AS ts_us, machine_id, plant_id, line_id, "
         f"source_protocol AS protocol, status, {_M}, anomaly_score, anomaly_flags, pipeline_version, "
-        f"'{S.DEFAULT_DETECTOR_VERSION}' AS detector_version FROM store"),
+        f"'rules-v1' AS detector_version FROM store"),
     "point_tags": _with(
         "SELECT event_id, 'machine_readings' AS measurement, COALESCE(NULLIF(plant_id, ''), 'unknown') AS plant_tag, "
         "COALESCE(NULLIF(line_id, ''), 'unknown') AS line_tag, source_protocol AS protocol_tag, status AS status_tag, "
@@ -324,7 +326,7 @@ skewed AS (
         "SELECT batch_id, count(*) AS received, count(*) FILTER (WHERE is_new) AS processed, "
         "count(*) FILTER (WHERE NOT is_new) AS duplicates, "
         "count(*) FILTER (WHERE is_new AND anomaly_flags <> '') AS anomalies, "
-        + ", ".join(f"count(*) FILTER (WHERE is_new AND source_protocol = '{p}') AS {p}" for p in S.PROTOCOLS)
+        + ", ".join(f"count(*) FILTER (WHERE is_new AND source_protocol = '{p}') AS {p}" for p in ("mqtt", "modbus", "opcua"))
         + ", arg_max(event_id, seq) FILTER (WHERE is_new) AS last_event_id, "
         "arg_max(pipeline_version, seq) FILTER (WHERE is_new) AS pipeline_version, "
         "'rules-v1' AS detector_version FROM ("
