@@ -4,12 +4,16 @@ Each source gets a share of all words by its weight, at most CAP times its own w
 goes to the others by weight until none is above. A document's expected copies are target / words of
 its source, times its rate if a rate column is named. The whole copies are certain. The rest is its
 inclusion probability p for one copy more: documents are ranked by (u / (1 - u)) / (p / (1 - p)), with
-u drawn from a digest of the id, and taken in this order while their words fit into what the target
-leaves; of the others one document more is taken if that comes nearer to the target.
+u drawn from a digest of the id, and taken in this order; one whose words don't fit into what the target
+leaves is passed over and the next ones are tried, to the last. Of those passed over one more is taken
+if that comes nearer to the target. Where ending at the first that doesn't fit, with one more of the
+others, comes nearer than going on, the order ends there. With ``fill=False`` the order ends at the first that doesn't fit,
+which misses the target by up to half of the longest document; ``SQL`` has this rule.
 
 DataFrame functions only. Ranking doesn't gather a source: keys are cut into ranges of about
 RANGE_ROWS documents, sums by range find the one in which the target is reached, and only that one is
-sorted. The table of sources (one row each, from an aggregation) is ranked in one window.
+sorted; going on after it is the same again over the ranges behind and the documents that still fit, in
+as many rounds as it takes. The table of sources (one row each, from an aggregation) is ranked in one window.
 
 Cases: null text has no words; null is a source of its own, the last; null doc_id ranks as the smallest
 id; rows with equal id, source and size are taken or left together; words that don't exist make empty
@@ -18,6 +22,8 @@ targets; an empty table gives none; extra columns are kept by ``mixed``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,8 +98,59 @@ def _after(limit: str) -> Column:
         (F.col("id") > at) | (F.col("id") == at) & (F.col("size") > size))
 
 
-def decide(sizes: DataFrame, weights=WEIGHTS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
-    """What rows of (source, id, size, rate) need to know: (sources, limits), both a row a source."""
+def _filled(left: DataFrame, state: DataFrame) -> DataFrame:
+    """Those of ``left`` that are taken if each one that fits is, in order: of, id, size, place, words.
+
+    ``state`` has of, rest, used and done, the last range that was gone through. A round takes all that
+    fit up to the range in which they no longer do, and goes through that one row by row. The driver
+    gets one row a round."""
+    rounds = []
+    while True:
+        now = left.join(state.withColumnRenamed("of", "s"), F.col("of").eqNullSafe(F.col("s"))).drop("s").where(
+            "range > done and used + words <= rest")
+        upto = F.col("used") + F.sum("words").over(Window.partitionBy("of").orderBy("range"))
+        by_range = now.groupBy("of", "range", "rest", "used").agg(F.sum("words").alias("words")).withColumn("upto", upto)
+        reached = saved(by_range.groupBy("of", "rest", "used").agg(
+            F.min(F.when(F.col("upto") > F.col("rest"), F.col("range"))).alias("at"),
+            F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("before")))
+        if reached.isEmpty():
+            break
+        ends = reached.select(F.col("of").alias("s"), "at", F.coalesce("before", "used").alias("before"))
+        now = now.join(ends, F.col("of").eqNullSafe(F.col("s"))).drop("s")
+        unit = F.struct("place", "id", "size", "words")
+        start = F.struct(F.col("before").alias("used"),
+                         F.array().cast("array<struct<place:double,id:long,size:long,words:long>>").alias("taken"))
+
+        def step(done: Column, x: Column) -> Column:
+            more = F.struct((done["used"] + x["words"]).alias("used"), F.concat(done["taken"], F.array(x)).alias("taken"))
+            return F.when(more["used"] <= F.col("rest"), more).otherwise(done)
+
+        inside = now.where("range = at").groupBy("of", "rest", "before").agg(F.sort_array(F.collect_list(unit)).alias("units"))
+        inside = inside.select("of", F.explode(F.aggregate("units", start, step)["taken"]).alias("unit"))
+        whole = now.where("at is null or range < at").select("of", unit.alias("unit"))
+        rounds.append(saved(whole.union(inside).select("of", "unit.*")))
+        sums = rounds[-1].groupBy(F.col("of").alias("s")).agg(F.sum("words").alias("words"))
+        state = reached.where("at is not null").join(sums, F.col("of").eqNullSafe(F.col("s"))).select(
+            "of", "rest", (F.col("used") + F.col("words")).alias("used"), F.col("at").alias("done"))
+    none = left.where(F.lit(False)).select("of", "place", "id", "size", "words")
+    return reduce(DataFrame.union, rounds, none)
+
+
+def _nearest(limits: DataFrame, left_out: DataFrame) -> DataFrame:
+    """of, last, limit, the row of ``left_out`` that comes nearer to the target (more) and how far from it
+    the source ends (away)."""
+    short = F.col("rest") - F.col("used")
+    away = F.abs(short - F.col("words"))
+    nearer = left_out.where(away < short).groupBy(F.col("of").alias("s")).agg(
+        F.min(F.struct(away.alias("away"), "place", "id", "size")).alias("more"))
+    return limits.join(nearer, F.col("of").eqNullSafe(F.col("s")), "left").select(
+        "of", "last", "limit", "more", F.coalesce("more.away", short).alias("away"))
+
+
+def decide(sizes: DataFrame, weights=WEIGHTS, seed: str = SEED,
+           fill: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """What rows of (source, id, size, rate) need to know: (sources, limits), both a row a source, and
+    the rows (of, id, size, place) that are taken after the first that didn't fit."""
     plain = targets(sizes, weights)
     weighted = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rate")).alias("weighted"))
     weighted = weighted.withColumnRenamed("source", "of")
@@ -122,17 +179,31 @@ def decide(sizes: DataFrame, weights=WEIGHTS, seed: str = SEED) -> tuple[DataFra
     fits = inside.withColumn("upto", running).where("upto <= rest").groupBy("source").agg(
         F.max(F.struct("place", "id", "size")).alias("limit"), F.max("upto").alias("taken"))
     limits = reached.join(fits.withColumnRenamed("source", "s"), F.col("of").eqNullSafe(F.col("s")), "left").select(
-        "of", "rest", "last", "limit", (F.col("rest") - F.coalesce("taken", "before")).alias("short"))
+        "of", "rest", "last", "limit", F.coalesce("taken", "before").alias("used"))
     limits = saved(limits)
 
     left_out = units.where("key is not null").join(limits, units["source"].eqNullSafe(limits["of"])).where(
         F.col("last").isNotNull() & ~_chosen())
-    away = F.abs(F.col("short") - F.col("words"))
-    nearer = left_out.where(away < F.col("short")).groupBy("of").agg(
-        F.min(F.struct(away.alias("away"), "place", "id", "size")).alias("more"))
-    limits = limits.join(nearer.withColumnRenamed("of", "s"), F.col("of").eqNullSafe(F.col("s")), "left").select(
-        "of", "last", "limit", "more")
-    return sources, saved(limits)
+    filled = None
+    if fill:
+        left = saved(left_out.where("words > 0 and used + words <= rest").groupBy("of", "range", "place", "id", "size").agg(
+            F.sum("words").alias("words")))
+        every = saved(_filled(left, limits.select("of", "rest", "used", F.lit(-1).cast("long").alias("done"))))
+        sums = every.groupBy(F.col("of").alias("s")).agg(F.sum("words").alias("more"))
+        full = limits.join(sums, F.col("of").eqNullSafe(F.col("s")), "left").select(
+            "of", "rest", "last", "limit", (F.col("used") + F.coalesce("more", F.lit(0))).alias("used"))
+        f, u = every.alias("f"), left_out.drop("rest", "last", "limit", "used").alias("u")
+        over = u.join(f, [F.col("u.of").eqNullSafe(F.col("f.of")), *(F.col(f"u.{c}") == F.col(f"f.{c}") for c in ("id", "size", "place"))],
+                      "left_anti")
+        stop, full = _nearest(limits, left_out).alias("a"), _nearest(full, over.join(
+            full.withColumnRenamed("of", "s"), F.col("of").eqNullSafe(F.col("s"))).drop("s")).alias("b")
+        both = stop.join(full, F.col("a.of").eqNullSafe(F.col("b.of")))
+        better = F.coalesce(F.col("b.away") < F.col("a.away"), F.lit(False))
+        limits = saved(both.select("a.of", "a.last", "a.limit", better.alias("better"),
+                                   F.when(better, F.col("b.more")).otherwise(F.col("a.more")).alias("more")))
+        filled = saved(every.join(limits.where("better").select(F.col("of").alias("s")), F.col("of").eqNullSafe(F.col("s"))).drop("s"))
+        return sources, limits.drop("better"), filled
+    return sources, saved(_nearest(limits, left_out).drop("away")), filled
 
 
 def _chosen() -> Column:
@@ -141,12 +212,16 @@ def _chosen() -> Column:
     return F.col("last").isNull() | (F.col("range") < F.col("last")) | in_last
 
 
-def _with_copies(rows: DataFrame, sources: DataFrame, limits: DataFrame, seed: str) -> DataFrame:
-    rows = _keyed(rows, sources, seed)
+def _with_copies(rows: DataFrame, sources: DataFrame, limits: DataFrame, filled: DataFrame | None, seed: str) -> DataFrame:
+    rows = _keyed(rows, sources, seed).withColumn("filled", F.lit(False))
+    if filled is not None:
+        f, same = filled.alias("f"), [F.col(f"r.{c}") == F.col(f"f.{c}") for c in ("id", "size", "place")]
+        rows = rows.alias("r").join(f, [F.col("r.source").eqNullSafe(F.col("f.of")), *same], "left").select(
+            *(F.col(f"r.{c}") for c in rows.columns if c != "filled"), F.col("f.words").isNotNull().alias("filled"))
     rows = rows.join(limits, rows["source"].eqNullSafe(limits["of"])).drop("of")
     more = F.coalesce((F.col("id") == F.col("more.id")) & (F.col("size") == F.col("more.size"))
                       & (F.col("place") == F.col("more.place")), F.lit(False))
-    extra = F.col("key").isNotNull() & (_chosen() | more)
+    extra = F.col("key").isNotNull() & (_chosen() | F.col("filled") | more)
     return rows.withColumn("copies", (F.col("whole") + extra.cast("long")).cast("long"))
 
 
@@ -155,22 +230,22 @@ def _parts(docs: DataFrame, rate: str | None) -> dict[str, Column]:
             "size": word_count(F.col("text")), "rate": F.col(rate).cast("double") if rate else F.lit(1.0)}
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, rate: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, rate: str | None = None, fill: bool = True) -> DataFrame:
     """doc_id, size, source_size, target, copies and taken (words with repeats) of every document."""
     sizes = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                               *(c.alias(name) for name, c in _parts(docs, rate).items())))
-    sources, limits = decide(sizes, weights, seed)
-    rows = _with_copies(sizes, sources, limits, seed)
+    sources, limits, filled = decide(sizes, weights, seed, fill)
+    rows = _with_copies(sizes, sources, limits, filled, seed)
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies",
                        (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, rate: str | None = None) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, rate: str | None = None, fill: bool = True) -> DataFrame:
     """The mix: rows of ``docs``, all columns, each as often as it is taken."""
     sizes = saved(docs.select(*(c.alias(name) for name, c in _parts(docs, rate).items())))
-    sources, limits = decide(sizes, weights, seed)
+    sources, limits, filled = decide(sizes, weights, seed, fill)
     rows = docs.select(F.struct("*").alias(f"{_PREFIX}row"), *(c.alias(name) for name, c in _parts(docs, rate).items()))
-    rows = _with_copies(rows, sources, limits, seed).where("copies > 0")
+    rows = _with_copies(rows, sources, limits, filled, seed).where("copies > 0")
     rows = rows.select(f"{_PREFIX}row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return rows.select(*(F.col(f"{_PREFIX}row")[name].alias(name) for name in docs.columns))
 

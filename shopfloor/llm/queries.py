@@ -66,6 +66,12 @@ def op8_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the rule of its SQL, which ends at the first document that doesn't fit."""
+    return pareto_mix.mix(documents(spark, sf_dir), fill=False)
+
+
+def op9_pareto_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix as the pipeline takes it, filled up past documents that don't fit."""
     return pareto_mix.mix(documents(spark, sf_dir))
 
 
@@ -75,6 +81,6 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_bands, op2_line_winnow, op3_multi_index, op4_token_count, op5_preference, op6_arc_warc,
-    op7_jaccard_tiles, op8_classifier_chain, op9_pareto_mix, op10_bpe_transducer)}
+    op7_jaccard_tiles, op8_classifier_chain, op9_pareto_mix, op9_pareto_fill, op10_bpe_transducer)}
 
 SQL = {"op5_preference": preference.SQL, "op6_arc_warc": arc_warc.SQL, "op9_pareto_mix": pareto_mix.SQL}
