@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shopfloor.llm.components import components
 from shopfloor.llm.text import id_and_bytes, saved, shingle_set, split_words, steps, texts
@@ -225,8 +226,8 @@ def _set_of(text: pa.Array) -> np.ndarray:
     return shingle_set(split_words(*texts(text)).hashes(lower=True))
 
 
-def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, set_id and component_id (smallest doc_id that links reach) of each document."""
+def _rooted(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, n_shingles, set_id and root (a set_id that stands for the group) of each document."""
     described = saved(describe(docs))
     rows = saved(prefixes(docs, rarity(described), percent))
     described = described.where("class is null")
@@ -251,20 +252,49 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     more = _verified(docs, _bounded(pairs, sets, percent), sets, percent)
     labels = saved(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)))
 
-    rooted = described.join(labels, F.col("set_id") == F.col("node"), "left").select(
+    return described.join(labels, F.col("set_id") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("label", "set_id").alias("root"))
+
+
+def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, set_id and component_id (smallest doc_id that links reach) of each document."""
+    rooted = _rooted(docs, percent)
     lowest = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(lowest, "root", "left").select(
         "doc_id", "n_shingles", "set_id",
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _with_set_id(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with their set_id as ``__set``; null without words."""
+    names = docs.columns
+
+    def rows(batches):
+        for batch in batches:
+            both = pa.RecordBatch.from_arrays(
+                [pa.nulls(batch.num_rows, pa.int64()), batch.column(names.index("text")).cast(pa.large_binary())],
+                ["doc_id", "text"])
+            ids = [_set_id(s) if len(s) else None for _, sets in _sets(iter([both])) for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], [*names, "__set"])
+
+    return docs.mapInArrow(rows, StructType([*docs.schema.fields, StructField("__set", LongType())]))
+
+
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that represent their group: the smallest doc_id; all columns as they were.
-
-    Documents without words stay. Of repeated rows with the chosen id one stays, of those with null ids
-    and nothing to go by, all."""
-    found = similar_documents(docs, percent)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    rows = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    return rows.select(*docs.columns)
+    """The rows of ``docs`` that represent their group, all columns as they were: of each group one row,
+    that with the smallest doc_id (null last) and, of one id's texts, the smallest set_id.
+
+    Documents without words all stay. Of several rows with the chosen id and set, the one with the least
+    values stays; rows are told apart by their text, not by their id."""
+    found = _rooted(docs, percent).where("root is not null")
+    counted = found.groupBy("root", "doc_id", "set_id").agg(F.count(F.lit(1)).alias("rows"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id", "rows")
+    chosen = saved(counted.groupBy("root").agg(F.min(key).alias("k")).select(
+        F.col("k.set_id").alias("__chosen"), F.col("k.doc_id").alias("__id"), F.col("k.rows").alias("__rows")))
+    tagged, whole = _with_set_id(docs), F.struct(*docs.columns)
+    kept = tagged.join(chosen, (F.col("__set") == F.col("__chosen")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    values = [f.name for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    several = kept.where("__rows > 1").groupBy("__set").agg(
+        F.min_by(whole, F.struct(*values)).alias("row")).select("row.*")
+    return tagged.where("__set is null").select(*docs.columns).union(
+        kept.where("__rows = 1").select(*docs.columns)).union(several)
