@@ -14,13 +14,16 @@ from shopfloor.llm import (
     arc_warc,
     bpe_transducer,
     classifier_chain,
+    filter_audit,
     jaccard_tiles,
     line_winnow,
     multi_index,
     pareto_mix,
+    prefix_bpe,
     preference,
     quality_bands,
     token_count,
+    whitening,
 )
 from shopfloor.llm.text import documents
 
@@ -79,8 +82,22 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_bands, op2_line_winnow, op3_multi_index, op4_token_count, op5_preference, op6_arc_warc,
-    op7_jaccard_tiles, op8_classifier_chain, op9_pareto_mix, op9_pareto_fill, op10_bpe_transducer)}
+    op7_jaccard_tiles, op8_classifier_chain, op9_pareto_mix, op9_pareto_fill, op10_bpe_transducer,
+    op11_prefix_bpe, op12_filter_audit, op13_whitening)}
 
-SQL = {"op5_preference": preference.SQL, "op6_arc_warc": arc_warc.SQL, "op9_pareto_mix": pareto_mix.SQL}
+SQL = {"op5_preference": preference.SQL, "op6_arc_warc": arc_warc.SQL, "op9_pareto_mix": pareto_mix.SQL,
+       "op12_filter_audit": filter_audit.SQL}
