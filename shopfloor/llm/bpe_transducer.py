@@ -7,7 +7,8 @@ prefixes form a tree. A state is the part of the tree that can still matter: pre
 vocabulary entry can reach beyond the bytes read, with their last token and place in the trie of the
 vocabulary, and the paths between them. What all live prefixes share has no alternative any more and
 is emitted; so tokens leave after a lookahead of less than the longest token. States and transitions
-are made when first needed, numbered, and kept in a table that is emptied when full.
+are made when first needed, numbered, and kept in a table that is emptied when it has MAX_BYTES, also
+within a piece.
 
 Decoding. A state machine over bytes tells complete characters from unfinished ones; each step of
 ``Utf8Stream`` takes a token and returns the characters complete by then.
@@ -24,16 +25,17 @@ import hashlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from shopfloor.llm.text import id_and_bytes
 from shopfloor.llm.pretoken import split
-from shopfloor.llm.token_count import Remembered
+from shopfloor.llm.remembered import Remembered
+from shopfloor.llm.text import id_and_bytes
 
-MAX_STATES = 300_000
+MAX_BYTES = 128 << 20
+#: About what a state and its transitions take, and each prefix in it.
+STATE_BYTES, PREFIX_BYTES = 500, 130
 DEAD = -1
 NEVER = 1 << 60
 
@@ -41,8 +43,8 @@ NEVER = 1 << 60
 class Transducer:
     """Ids of a piece by merge ranks (bytes -> rank; the rank is the id)."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int], max_bytes: int = MAX_BYTES):
+        self.ranks, self.max_bytes = ranks, max_bytes
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.edges: tuple[dict, dict] = ({}, {})
         self.child: dict[int, int] = {}
@@ -61,6 +63,9 @@ class Transducer:
                     self.inner.append(False)
                 node = self.child[key]
             self.token_at[node] = rank
+        self.states, self.number = [], {}
+        self.table: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state << 8 | byte
+        self.ends: dict[int, tuple[int, ...]] = {}
         self.clear()
 
     def merge(self, text: bytes) -> list[int]:
@@ -78,10 +83,17 @@ class Transducer:
 
         A state lists prefixes, oldest first: the place in the trie of what follows it, the last token
         and the parent's index, DEAD where there is none."""
-        start = ((0, DEAD, DEAD),)
-        self.states, self.number = [start], {start: 0}
-        self.table: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state << 8 | byte
-        self.ends: dict[int, tuple[int, ...]] = {}
+        for known in (self.states, self.number, self.table, self.ends):
+            known.clear()
+        self.bytes = 0
+        self.numbered(((0, DEAD, DEAD),))
+
+    def numbered(self, key: tuple) -> int:
+        to = self.number.setdefault(key, len(self.states))
+        if to == len(self.states):
+            self.states.append(key)
+            self.bytes += STATE_BYTES + PREFIX_BYTES * len(key)
+        return to
 
     def edge(self, token: int, last: bool) -> list[tuple[int, int]]:
         """The symbols that stand at a token's end (or beginning) while it is merged from bytes, each with
@@ -157,11 +169,10 @@ class Transducer:
             else:
                 kept.append((node, token, place[parent]))
             place[i] = len(kept) - 1
-        key = tuple(kept)
-        to = self.number.setdefault(key, len(self.states))
-        if to == len(self.states):
-            self.states.append(key)
-        out = self.table[state << 8 | byte] = (to, tuple(emitted))
+        if self.bytes > self.max_bytes:
+            self.clear()  # also the number of the state left; the one entered gets a new one
+            return self.numbered(tuple(kept)), tuple(emitted)
+        out = self.table[state << 8 | byte] = (self.numbered(tuple(kept)), tuple(emitted))
         return out
 
     def end(self, state: int) -> tuple[int, ...]:
@@ -179,8 +190,6 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.states) > self.max_states:
-            self.clear()
         state, out, known = 0, [], self.table.get
         for b in piece:
             state, emitted = known(state << 8 | b) or self.step(state, b)
@@ -193,11 +202,13 @@ class Transducer:
 class Codec:
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
-        self.ids = Remembered(lambda piece: tuple(self.transducer.encode(piece.encode())), 500_000)
+        self.ids = Remembered(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes())
 
     def encode(self, text: str) -> array:
         """Ids of a text: each match of the pattern by itself, without special tokens."""
-        return array("I", chain.from_iterable(map(self.ids.__getitem__, split(text))))
+        ids = array("I")
+        ids.frombytes(b"".join(map(self.ids.__getitem__, split(text))))
+        return ids
 
     def decode(self, ids: Sequence[int], block: int = 4096) -> Iterator[bytes]:
         """Parts of the text, each of complete characters."""

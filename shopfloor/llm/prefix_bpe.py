@@ -10,7 +10,7 @@ ids. No merge is carried out; each symbol looks at the entries that end there on
 
 Before that a text is cut at special tokens' strings, normalised (NFC, white space, lower case) and
 split by the vocabulary's pattern. All of these work on runs without white space alone, so a worker
-remembers the ids of short runs and pieces, each in at most REMEMBERED_BYTES.
+remembers the ids of short runs and pieces, each in a bounded number of bytes.
 
 Cases: null text counts as empty (no ids); bytes of a text that aren't UTF-8 are taken as U+FFFD; a
 special token's string inside a text is that token; rows with null doc_id and repeated rows are encoded
@@ -31,11 +31,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from shopfloor.llm.remembered import Remembered
 from shopfloor.llm.text import id_and_bytes
 from shopfloor.llm.token_count import byte_symbols
 
-REMEMBERED_BYTES = 64 << 20
-LONGEST_REMEMBERED = 64
 BLOCK_RUNS = 1 << 16
 MAX_TESTS, MAX_PLACES = 500_000, 200_000
 ROOT = 0
@@ -253,30 +252,6 @@ class PrefixEncoder:
         return out
 
 
-class Remembered:
-    """Bytes by short string, in at most about ``limit`` bytes: what wasn't asked for lately goes first."""
-
-    def __init__(self, make, limit: int = REMEMBERED_BYTES):
-        self.make, self.limit = make, limit // 2
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.size = 0
-
-    def __getitem__(self, key: str) -> bytes:
-        known = self.new.get(key)
-        if known is not None:
-            return known
-        known = self.old.get(key)
-        if known is None:
-            known = self.make(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if self.size > self.limit:
-                self.old, self.new, self.size = self.new, {}, 0
-            self.new[key] = known
-            self.size += 190 + len(key) * (1 if key.isascii() else 4) + len(known)
-        return known
-
-
 class Tokenizer:
     def __init__(self, file: dict):
         model, vocabulary = file["model"], file["model"]["vocab"]

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shopfloor.llm import filter_audit, prefix_bpe, queries, whitening
+from shopfloor.llm import filter_audit, prefix_bpe, queries, remembered, whitening
 from tests.conftest import SF001
 from tests.oracle_compare import compare
 
@@ -57,7 +57,7 @@ def test_every_character_goes_the_library_s_way(library):
 
 def test_what_is_remembered_stays_bounded_and_right(library):
     mine = prefix_bpe.load(PATH)
-    small = prefix_bpe.Remembered(lambda p: bytes(p, "utf-8"), limit=4000)
+    small = remembered.Remembered(lambda p: bytes(p, "utf-8"), limit=4000)
     for _ in range(5000):
         key = str(RNG.randrange(300))
         assert small[key] == key.encode()

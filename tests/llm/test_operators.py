@@ -156,8 +156,10 @@ def test_transducer_equals_the_library_and_decodes(docs, none, texts):
     for t in texts:
         assert list(codec.encode(t)) == library.encode_ordinary(t)
         assert b"".join(codec.decode(codec.encode(t), block=3)) == t.encode()
-    small = bpe_transducer.Transducer(ranks, max_states=40)  # the table is emptied again and again
+    small = bpe_transducer.Transducer(ranks, max_bytes=20_000)  # the table is emptied again and again
     assert all(small.encode(p.encode()) == library.encode_ordinary(p) for p in pretoken.split(" ".join(texts[20:60])))
+    long = "".join(RNG.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))  # and within one piece
+    assert small.encode(long.encode()) == library.encode_ordinary(long) and small.bytes < 40_000
     rows = []
     for r in ROWS:
         ids = np.array(library.encode_ordinary(r[1] or ""), "<u4")
