@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.llm.text import shared_folder
+from shopfloor.llm.text import saved, shared_folder
 
 ARCHIVE_BYTES = 8 << 20
 REVISIT_BYTES = 1000
@@ -214,7 +214,7 @@ def write_archives(rows: DataFrame, path: str) -> None:
 
 
 def archive_files(spark, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("content")
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def pages_to_arc(pages: DataFrame, path: str) -> None:
@@ -227,50 +227,50 @@ def pages_to_arc(pages: DataFrame, path: str) -> None:
     write_archives(pages.mapInArrow(rows, "archive binary"), path)
 
 
-def arc_records(files: DataFrame, contents: bool) -> DataFrame:
-    """uri, ip, date, page_id, payload_bytes, digest (of the payload) and, if asked, message (deflated, as
-    it is shuffled) of all records but the version blocks."""
+def arc_contents(data: bytes) -> Iterator[ArcRecord]:
+    """All records of an archive but the version block."""
+    return (record for record in read_arc(data) if not record.fields["url"].startswith("filedesc:"))
+
+
+def arc_parts(record: ArcRecord) -> tuple[int | None, bytes]:
+    """Page id and payload of a record."""
+    if not record.content.startswith(b"HTTP/"):
+        return None, record.content
+    _, http, payload = http_parts(record.content)
+    page = http.get("x-page-id")
+    return None if page is None else int(page), payload
+
+
+def arc_records(files: DataFrame) -> DataFrame:
+    """path, place (in the archive), page_id, payload_bytes and digest (of the payload) of all records."""
+    names = ["path", "place", "page_id", "payload_bytes", "digest"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+
     def rows(batches):
         for batch in batches:
-            for data in batch.column("content"):
-                out: list[list] = [[] for _ in range(7)]
-                size = 0
-                for record in read_arc(data.as_py()):
-                    if record.fields["url"].startswith("filedesc:"):
-                        continue
-                    _, http, payload = (http_parts(record.content) if record.content.startswith(b"HTTP/")
-                                        else (b"", {}, record.content))
-                    page = http.get("x-page-id")
-                    row = (record.fields["url"], record.fields["ip"], record.fields["date"],
-                           None if page is None else int(page), len(payload), hashlib.sha1(payload).hexdigest(),
-                           zlib.compress(record.content, 3) if contents else None)
+            for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                out: list[list] = [[] for _ in names]
+                for place, record in enumerate(arc_contents(data.as_py())):
+                    page, payload = arc_parts(record)
+                    row = (path, place, page, len(payload), hashlib.sha1(payload).hexdigest())
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-                    size += len(record.content)
-                    if size > ARCHIVE_BYTES:
-                        yield batch_of(out)
-                        out, size = [[] for _ in range(7)], 0
-                yield batch_of(out)
-
-    def batch_of(out):
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.string(), pa.large_binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)],
-                                          ["uri", "ip", "date", "page_id", "payload_bytes", "digest", "message"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
-    return files.mapInArrow(rows, "uri string, ip string, date string, page_id long, payload_bytes long, "
-                                  "digest string, message binary")
+    return files.mapInArrow(rows, "path string, place int, page_id long, payload_bytes long, digest string")
 
 
-def _convert(row: dict) -> bytes:
-    page_id, digest, message = row["page_id"], row["digest"], zlib.decompress(row["message"])
-    fields = [("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", timestamp(row["date"])),
-              ("WARC-Target-URI", row["uri"]), ("WARC-IP-Address", row["ip"]),
+def _convert(record: ArcRecord, response: int | None) -> bytes:
+    """A WARC record; a revisit of the response with that page id, if there is one."""
+    page_id, payload = arc_parts(record)
+    digest, message = hashlib.sha1(payload).hexdigest(), record.content
+    fields = [("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", timestamp(record.fields["date"])),
+              ("WARC-Target-URI", record.fields["url"]), ("WARC-IP-Address", record.fields["ip"]),
               ("WARC-Payload-Digest", base32(digest))]
     if not message.startswith(b"HTTP/"):
         return warc_record("resource", [*fields, ("Content-Type", "application/octet-stream")], message)
     fields.append(("Content-Type", "application/http;msgtype=response"))
-    response = row["response_id"]
-    if response is None or page_id == response:
+    if response is None:
         return warc_record("response", fields, message)
     fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(response, digest))]
     return warc_record("revisit", fields, http_parts(message)[0])
@@ -278,12 +278,16 @@ def _convert(row: dict) -> bytes:
 
 def arc_to_warc(spark, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
     """Converts all archives of a folder. Of equal payloads of ``least`` bytes or more, the record with
-    the largest page id is a response and the others revisit it."""
+    the largest page id is a response and the others revisit it.
+
+    Only digests meet by payload; which records of an archive are revisits comes to the archive by its
+    path, so a common payload is in no task's way."""
     files = archive_files(spark, arc_path)
-    payloads = arc_records(files, contents=False).where(F.col("payload_bytes") >= least).groupBy("digest")
-    responses = payloads.agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("n"))
-    responses = responses.where("n > 1 and response_id is not null").drop("n")
-    records = arc_records(files, contents=True).join(responses, "digest", "left")
+    records = saved(arc_records(files)).where(F.col("payload_bytes") >= least)
+    responses = records.groupBy("digest").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n"))
+    responses = saved(responses.where("n > 1 and response is not null").drop("n"))
+    revisits = records.join(responses, "digest").where(~F.col("page_id").eqNullSafe(F.col("response")))
+    revisits = saved(revisits.groupBy("path").agg(F.collect_list(F.struct("place", "response")).alias("revisits")))
 
     def rows(batches):
         info = b"software: arc converter\r\nformat: WARC File Format 1.1\r\n"
@@ -294,11 +298,18 @@ def arc_to_warc(spark, arc_path: str, warc_path: str, least: int = REVISIT_BYTES
                 ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(name, str(n))}>"), ("WARC-Date", timestamp(CAPTURED)),
                 ("Content-Type", "application/warc-fields")], info)
 
-        records = ({k: batch.column(k)[i].as_py() for k in batch.schema.names}
-                   for batch in batches for i in range(batch.num_rows))
-        return _one_by_one(archives(records, begin, lambda row, n, offset: _convert(row)))
+        def converted():
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    found = batch.column("revisits")[i].as_py() or []
+                    response = {r["place"]: r["response"] for r in found}
+                    for place, record in enumerate(arc_contents(batch.column("content")[i].as_py())):
+                        yield _convert(record, response.get(place))
+
+        return _one_by_one(archives(converted(), begin, lambda record, n, offset: record))
 
-    write_archives(records.mapInArrow(rows, "archive binary"), warc_path)
+    marked = files.join(revisits, "path", "left")
+    write_archives(marked.select("content", "revisits").mapInArrow(rows, "archive binary"), warc_path)
 
 
 def warc_records(files: DataFrame) -> DataFrame:
@@ -337,12 +348,13 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     folder = f"{shared_folder(spark)}/archives/{uuid.uuid4().hex}"
     pages_to_arc(pages, f"{folder}/arc")
     arc_to_warc(spark, f"{folder}/arc", f"{folder}/warc")
-    records = warc_records(archive_files(spark, f"{folder}/warc"))
+    records = saved(warc_records(archive_files(spark, f"{folder}/warc")))
     # the identifier has the digest in it, so only records with a page can be referred to
-    referred = records.where("record_type = 'response' and payload_bytes >= 1000").select(
-        F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to")).distinct()
-    return records.join(referred, "refers", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    referred = saved(records.where(f"record_type = 'response' and payload_bytes >= {REVISIT_BYTES}").select(
+        F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to")).distinct())
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    others = records.where("refers is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return others.select(*columns).union(records.where("refers is not null").join(referred, "refers", "left").select(*columns))
 
 
 SQL = """
