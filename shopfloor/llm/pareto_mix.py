@@ -7,8 +7,8 @@ inclusion probability p for one copy more: documents are ranked by (u / (1 - u))
 u drawn from a digest of the id, and taken in this order; one whose words don't fit into what the target
 leaves is passed over and the next ones are tried, to the last. Of those passed over one more is taken
 if that comes nearer to the target. Where ending at the first that doesn't fit, with one more of the
-others, comes nearer than going on, the order ends there. With ``fill=False`` the order ends at the first that doesn't fit,
-which misses the target by up to half of the longest document; ``SQL`` has this rule.
+others, comes nearer than going on, the order ends there. With ``fill=False`` the order always ends at the first that doesn't
+fit, which misses the target by up to half of the longest document.
 
 DataFrame functions only. Ranking doesn't gather a source: keys are cut into ranges of about
 RANGE_ROWS documents, sums by range find the one in which the target is reached, and only that one is
@@ -251,7 +251,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, rate: str | None =
 
 
 SQL = """
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, COALESCE(doc_id, -9223372036854775808) AS id,
          CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -270,17 +270,30 @@ e AS (SELECT d.*, g.source_size, g.target,
 p AS (SELECT *, CAST(floor(expected) AS BIGINT) AS whole, expected - floor(expected) AS p FROM e),
 k AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) * (p / (1 - p)) / (1 + (u / (1 - u)) / (p / (1 - p)) * (p / (1 - p))) END AS place FROM p),
 r AS (SELECT *, target - SUM(whole * size) OVER (PARTITION BY source) AS rest,
-         SUM(size) OVER (PARTITION BY source, id, size) AS words,
-         SUM(size) OVER (PARTITION BY source ORDER BY place NULLS LAST, id, size) AS upto FROM k),
-x AS (SELECT *, place IS NOT NULL AND upto <= rest AS chosen FROM r),
-y AS (SELECT *, rest - COALESCE(MAX(CASE WHEN chosen THEN upto END) OVER (PARTITION BY source), 0) AS short FROM x),
-z AS (SELECT *, CASE WHEN place IS NOT NULL AND NOT chosen AND abs(short - words) < short THEN
-         ROW_NUMBER() OVER (PARTITION BY source, place IS NOT NULL AND NOT chosen AND abs(short - words) < short
-                            ORDER BY abs(short - words), place, id, size) END AS nearest FROM y),
-q AS (SELECT *, MAX(CASE WHEN nearest = 1 THEN id END) OVER (PARTITION BY source) AS more_id,
-         MAX(CASE WHEN nearest = 1 THEN size END) OVER (PARTITION BY source) AS more_size FROM z)
-SELECT doc_id, source, size, source_size, target,
-       CAST(whole + CASE WHEN chosen OR (nearest IS NOT NULL AND id = more_id AND size = more_size) THEN 1 ELSE 0 END AS BIGINT) AS copies,
-       CAST((whole + CASE WHEN chosen OR (nearest IS NOT NULL AND id = more_id AND size = more_size) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM q
+         DENSE_RANK() OVER (ORDER BY source NULLS LAST) AS grp FROM k),
+units AS (SELECT grp, place, id, size, MAX(rest) AS rest, SUM(size) AS words,
+            ROW_NUMBER() OVER (PARTITION BY grp ORDER BY place, id, size) AS nth FROM r WHERE place IS NOT NULL GROUP BY grp, place, id, size),
+-- in order: stopped is whether one before it didn't fit, taken whether it fits itself
+walk AS (
+  SELECT grp, nth, words <= rest AS taken, FALSE AS stopped, CASE WHEN words <= rest THEN words ELSE 0 END AS used,
+         words > rest AS past FROM units WHERE nth = 1
+  UNION ALL
+  SELECT u.grp, u.nth, w.used + u.words <= u.rest AND (u.words > 0 OR NOT w.past), w.past,
+         CASE WHEN w.used + u.words <= u.rest THEN w.used + u.words ELSE w.used END, w.past OR w.used + u.words > u.rest
+  FROM walk w JOIN units u ON u.grp = w.grp AND u.nth = w.nth + 1),
+walked AS (SELECT u.*, w.taken, w.taken AND NOT w.stopped AS in_front, w.used FROM units u JOIN walk w USING (grp, nth)),
+sums AS (SELECT *, rest - COALESCE(MAX(CASE WHEN in_front THEN used END) OVER (PARTITION BY grp), 0) AS short_front,
+           rest - MAX(used) OVER (PARTITION BY grp) AS short_on FROM walked),
+near AS (SELECT *,
+  CASE WHEN NOT in_front AND abs(short_front - words) < short_front THEN abs(short_front - words) END AS away_front,
+  CASE WHEN NOT taken AND abs(short_on - words) < short_on THEN abs(short_on - words) END AS away_on FROM sums),
+ends AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY away_front NULLS LAST, place, id, size) AS nth_front,
+  ROW_NUMBER() OVER (PARTITION BY grp ORDER BY away_on NULLS LAST, place, id, size) AS nth_on,
+  COALESCE(MIN(away_on) OVER (PARTITION BY grp), short_on) < COALESCE(MIN(away_front) OVER (PARTITION BY grp), short_front) AS goes_on FROM near),
+extra AS (SELECT grp, id, size, place,
+  CASE WHEN goes_on THEN taken OR (away_on IS NOT NULL AND nth_on = 1)
+       ELSE in_front OR (away_front IS NOT NULL AND nth_front = 1) END AS more FROM ends)
+SELECT r.doc_id, r.source, r.size, r.source_size, r.target, CAST(r.whole + COALESCE(CAST(e.more AS BIGINT), 0) AS BIGINT) AS copies,
+       CAST((r.whole + COALESCE(CAST(e.more AS BIGINT), 0)) * r.size AS BIGINT) AS taken
+FROM r LEFT JOIN extra e ON e.grp = r.grp AND e.id = r.id AND e.size = r.size AND e.place = r.place
 """

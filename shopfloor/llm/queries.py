@@ -69,12 +69,11 @@ def op8_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the rule of its SQL, which ends at the first document that doesn't fit."""
-    return pareto_mix.mix(documents(spark, sf_dir), fill=False)
+    return pareto_mix.mix(documents(spark, sf_dir))
 
 
 def op9_pareto_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix as the pipeline takes it, filled up past documents that don't fit."""
+    """The same rule, under the name that it had beside a shorter one."""
     return pareto_mix.mix(documents(spark, sf_dir))
 
 
@@ -100,4 +99,5 @@ QUERIES = {f.__name__: f for f in (
     op11_prefix_bpe, op12_filter_audit, op13_whitening)}
 
 SQL = {"op5_preference": preference.SQL, "op6_arc_warc": arc_warc.SQL, "op9_pareto_mix": pareto_mix.SQL,
+       "op9_pareto_fill": pareto_mix.SQL,
        "op12_filter_audit": filter_audit.SQL}
