@@ -1,8 +1,9 @@
 """Jaccard join of documents' word shingles: size-banded tiles, bitmap bounds, exact intersection.
 
 Two sets with a Jaccard similarity of t or more share one of their rarest (1 - t) n + 1 shingles and
-differ in size by a factor of 1 / t at most. So every set enters the tiles of its rarest shingles; in a
-tile it meets sets in its size band only. Each set has a signature of 512 bits, the parities of its
+differ in size by a factor of 1 / t at most. So every set enters the tiles of its rarest shingles, each a
+shingle and a size band, and is compared in those of its own band and of the bands below that a similar
+set can be in; a tile above TILE_ROWS is divided into blocks, which its visitors all go through. Each set has a signature of 512 bits, the parities of its
 shingles' hashes: bits in which two signatures differ count shingles that are in one set alone, so the
 intersection can't be above (n + m - differing bits) / 2. Pairs that this bound leaves are compared
 exactly, as sorted arrays.
@@ -13,10 +14,10 @@ with different labels remain in a tile, so that groups of near copies aren't com
 order of rarity comes from counts of all shingles in COUNTERS classes; any order gives the same links.
 
 Cases: null and empty texts have no shingles and link with nothing; shorter texts than a shingle are
-one shingle; a null doc_id is never the smallest of its group (null only if all are), and a set that
-only rows with null doc_id have links with equal ones alone; repeated rows
-give a row each; an empty table gives none; other columns are left out. Shingles and sets are told
-apart by 64 bit hashes.
+one shingle; a null doc_id is never the smallest of its group (null only if all are), but its text links
+like any other; repeated rows give a row each, and so do several texts under one id, each in the group of
+its own text; an empty table gives none; other columns are left out. Shingles and sets are told apart by
+64 bit hashes; texts are fetched by their set, so ids play no part in what links.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ BITS = 512
 SIGNATURE = [f"s{i}" for i in range(BITS // 64)]
 FILTER_BITS = 1 << 24
 SEEN_SETS = 100_000
+TILE_ROWS = 512
 
 
 def _class(shingles: np.ndarray) -> np.ndarray:
@@ -119,15 +121,12 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
     order = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def rows(batches):
-        seen: set[int] = set()
+        seen = Seen()
         for _, sets in _sets(batches):
             shingles, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for s in sets:
-                if not len(s) or (key := _set_id(s)) in seen:
+                if not len(s) or not seen.new(key := _set_id(s)):
                     continue
-                if len(seen) >= SEEN_SETS:
-                    seen.clear()
-                seen.add(key)
                 first = np.argsort(order.value[_class(s)], kind="stable")[:prefix_size(len(s), percent)]
                 shingles.append(s[first])
                 owners.append(np.full(len(first), key))
@@ -172,35 +171,59 @@ def _described_sets(described: DataFrame) -> DataFrame:
         F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("fine").alias("fine"), *(F.first(s).alias(s) for s in SIGNATURE))
 
 
-def _texts_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """set_id and text of the sets; ``sets`` has set_id and a document of each.
+class Seen:
+    """Set ids a task has had lately, to leave out most repetitions; a bounded number."""
+
+    def __init__(self):
+        self.ids: set[int] = set()
+
+    def new(self, key: int) -> bool:
+        if key in self.ids:
+            return False
+        if len(self.ids) >= SEEN_SETS:
+            self.ids.clear()
+        self.ids.add(key)
+        return True
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """set_id and a text of each of the set ids in ``wanted``, which are distinct.
 
     A filter of FILTER_BITS bits, whatever the number of sets, keeps most other texts from being shuffled."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
-    maps = sets.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("part")).agg(
+    spot = F.pmod(F.xxhash64("set_id"), F.lit(FILTER_BITS)) + 1
+    maps = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect()
     every = np.zeros((FILTER_BITS // 32768 + 1, 4096), np.uint8)
     for row in maps:
         every[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     bits = docs.sparkSession.sparkContext.broadcast(every)
 
+    def tagged(batches):
+        seen = Seen()
+        for batch, w in steps(batches):
+            hashes = w.hashes(lower=True)
+            sets = [shingle_set(hashes[a:b]) for a, b in zip(w.first, w.first[1:], strict=False)]
+            at = [i for i, s in enumerate(sets) if len(s) and seen.new(_set_id(sets[i]))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_id(sets[i]) for i in at], pa.int64()), batch.column("text").take(pa.array(at, pa.int32()))],
+                ["set_id", "text"])
+
     def likely(batches):
         for batch in batches:
             at = batch.column("spot").to_numpy() - 1
             part, position = at // 32768 + 1, at % 32768  # as bitmap_bucket_number counts
             keep = bits.value[part, position // 8] >> (position % 8).astype(np.uint8) & 1
-            yield batch.filter(pa.array(keep.astype(bool)))
+            yield batch.filter(pa.array(keep.astype(bool))).select(["set_id", "text"])
 
-    rows = id_and_bytes(docs).where("doc_id is not null").withColumn("spot", spot)
-    rows = rows.mapInArrow(likely, "doc_id long, text binary, spot long").drop("spot")
-    return rows.join(sets.select("doc_id", "set_id").where("doc_id is not null"), "doc_id").select("set_id", "text")
+    ddl = "set_id long, text binary"
+    rows = id_and_bytes(docs).mapInArrow(tagged, ddl).withColumn("spot", spot).mapInArrow(likely, ddl)
+    return rows.join(wanted, "set_id").dropDuplicates(["set_id"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) of the pairs of set ids whose sets are similar, by intersecting sorted arrays."""
-    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    found = saved(_texts_of(docs, saved(sets.join(ids, "set_id").select("set_id", "doc_id")))
-                  .dropDuplicates(["set_id"]))
+    wanted = saved(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct())
+    found = saved(_texts_of(docs, wanted))
     both = pairs.join(found.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(found.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -226,43 +249,73 @@ def _set_of(text: pa.Array) -> np.ndarray:
     return shingle_set(split_words(*texts(text)).hashes(lower=True))
 
 
-def _rooted(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n_shingles, set_id and root (a set_id that stands for the group) of each document."""
+def band(n: Column, percent: int) -> Column:
+    """Size band; sets in bands more than one apart differ by more than the factor 100 / percent."""
+    return F.floor(F.log(n) / F.log(F.lit(100.0 / percent))).cast("int")
+
+
+def _unlike_pairs(marked: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the sets that share a tile, have different labels and pass both bounds.
+
+    ``marked``: shingle, set_id, label, n and signatures of sets in tiles with more than one label."""
+    marked = marked.withColumn("band", band(F.col("n"), percent))
+    blocks = saved(marked.groupBy("shingle", "band").agg(
+        F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("blocks")))
+    tiles = marked.join(blocks, ["shingle", "band"]).withColumn(
+        "block", F.pmod(F.xxhash64("set_id"), "blocks").cast("int")).drop("blocks")
+    least = F.ceil(F.col("n") * percent / 100)
+    visits = marked.withColumn("band", F.explode(F.sequence(band(least, percent), F.col("band"))))
+    visits = visits.join(blocks, ["shingle", "band"]).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    x, y = tiles.alias("x"), visits.alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("shingle", "band", "block")]
+    smaller = F.struct("x.n", "x.set_id") < F.struct("y.n", "y.set_id")
+    pairs = x.join(y, [*same, smaller, F.col("x.label") != F.col("y.label"), may_link("x", "y", percent)])
+    return pairs.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
+
+
+def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and set_id of each document (null without words); and of each set its root (a set_id that
+    stands for the group) and the smallest doc_id of the group. Both are written tables.
+
+    Tables on either side of a join on a key that may be common are written first, so that the join reads
+    plain shuffles, which adaptive execution can split."""
     described = saved(describe(docs))
     rows = saved(prefixes(docs, rarity(described), percent))
     described = described.where("class is null")
     sets = saved(_described_sets(described))
 
     first = rows.groupBy("shingle").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
-    tiles = saved(rows.join(first.where("first < last"), "shingle").select("shingle", "set_id", "first").distinct())
-    pairs = tiles.where("first <> set_id").select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = _verified(docs, _bounded(pairs, sets, percent), sets, percent)
+    first = saved(first.where("first < last").select("shingle", "first"))
+    tiles = saved(rows.join(first, "shingle").select("shingle", "set_id", "first").distinct())
+    pairs = tiles.where("first <> set_id").select(
+        F.least("first", "set_id").alias("a"), F.greatest("first", "set_id").alias("b")).distinct()
+    links = _verified(docs, _bounded(pairs, sets, percent), percent)
     labels = saved(components(links))
 
     # Pairs of a tile that have no label in common yet.
-    marked = tiles.join(labels, tiles["set_id"] == labels["node"], "left").select(
-        "shingle", "set_id", F.coalesce("label", "set_id").alias("label"))
-    mixed = marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    marked = saved(marked.join(mixed.select("shingle"), "shingle").join(sets.drop("fine"), "set_id"))
-    x, y = marked.alias("x"), marked.alias("y")
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.set_id") < F.col("y.set_id"))
-                   & (F.col("x.label") != F.col("y.label")) & may_link("x", "y", percent))
-    pairs = pairs.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
-    pairs = pairs.join(links, ["a", "b"], "left_anti")
-    more = _verified(docs, _bounded(pairs, sets, percent), sets, percent)
+    marked = saved(tiles.join(labels, tiles["set_id"] == labels["node"], "left").select(
+        "shingle", "set_id", F.coalesce("label", "set_id").alias("label")))
+    mixed = saved(marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                  .where("low < high").select("shingle"))
+    marked = saved(marked.join(mixed, "shingle").join(sets.drop("fine", "doc_id"), "set_id"))
+    pairs = _unlike_pairs(marked, percent).join(links, ["a", "b"], "left_anti")
+    more = _verified(docs, _bounded(pairs, sets, percent), percent)
     labels = saved(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)))
 
-    return described.join(labels, F.col("set_id") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("label", "set_id").alias("root"))
+    rooted = saved(sets.select("set_id", "doc_id").join(labels, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "doc_id", F.coalesce("label", "set_id").alias("root")))
+    lowest = saved(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    by_set = saved(rooted.join(lowest, "root").select("set_id", "root", "component_id"))
+    return described.select("doc_id", F.col("n").alias("n_shingles"), "set_id"), by_set
 
 
 def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, set_id and component_id (smallest doc_id that links reach) of each document."""
-    rooted = _rooted(docs, percent)
-    lowest = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(lowest, "root", "left").select(
-        "doc_id", "n_shingles", "set_id",
-        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    described, by_set = _grouped(docs, percent)
+    columns = ["doc_id", "n_shingles", "set_id", "component_id"]
+    return described.where("set_id is not null").join(by_set, "set_id").select(*columns).union(
+        described.where("set_id is null").withColumn("component_id", F.col("doc_id")).select(*columns))
 
 
 def _with_set_id(docs: DataFrame) -> DataFrame:
@@ -286,15 +339,20 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Documents without words all stay. Of several rows with the chosen id and set, the one with the least
     values stays; rows are told apart by their text, not by their id."""
-    found = _rooted(docs, percent).where("root is not null")
-    counted = found.groupBy("root", "doc_id", "set_id").agg(F.count(F.lit(1)).alias("rows"))
+    described, by_set = _grouped(docs, percent)
+    counted = saved(described.where("set_id is not null").groupBy("doc_id", "set_id").agg(F.count(F.lit(1)).alias("rows")))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id", "rows")
-    chosen = saved(counted.groupBy("root").agg(F.min(key).alias("k")).select(
+    chosen = saved(counted.join(by_set, "set_id").groupBy("root").agg(F.min(key).alias("k")).select(
         F.col("k.set_id").alias("__chosen"), F.col("k.doc_id").alias("__id"), F.col("k.rows").alias("__rows")))
-    tagged, whole = _with_set_id(docs), F.struct(*docs.columns)
-    kept = tagged.join(chosen, (F.col("__set") == F.col("__chosen")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    # Documents without words have no set: they are dealt out by their ids, and match nothing.
+    tagged = _with_set_id(docs).withColumn("__key", F.coalesce("__set", F.xxhash64("doc_id")))
+    kept = tagged.join(chosen, (F.col("__key") == F.col("__chosen")) & F.col("__set").isNotNull()
+                       & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
+    kept = kept.where("__set is null or __chosen is not null")
+    if chosen.where("__rows > 1").isEmpty():
+        return kept.select(*docs.columns)
+    kept, whole = saved(kept), F.struct(*docs.columns)
     values = [f.name for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
     several = kept.where("__rows > 1").groupBy("__set").agg(
         F.min_by(whole, F.struct(*values)).alias("row")).select("row.*")
-    return tagged.where("__set is null").select(*docs.columns).union(
-        kept.where("__rows = 1").select(*docs.columns)).union(several)
+    return kept.where("__set is null or __rows = 1").select(*docs.columns).union(several)

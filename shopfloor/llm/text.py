@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step looks at; a longer single text is a step of its own.
 STEP_BYTES = 2 << 20
+#: Bytes of a batch on its way to a Python worker, and of a row group that a task holds while it writes.
+BATCH_BYTES = 4 << 20
+GROUP_BYTES = 16 << 20
 SHINGLE = 5
 
 _SPACE = np.zeros(256, bool)
@@ -147,15 +150,22 @@ def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark) -> None:
+    """From now on the session's Arrow batches end at BATCH_BYTES; a number of rows doesn't bound texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def id_and_bytes(docs: DataFrame) -> DataFrame:
     """doc_id and the text's bytes; columns are named exactly, so extra ones don't matter."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
 def saved(df: DataFrame) -> DataFrame:
     """Cuts the lineage: a table written into the folder that all executors share, and read again."""
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    small_batches(df.sparkSession)
+    df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
