@@ -1,18 +1,22 @@
 """Line dedup by winnowing over line hashes.
 
-A gram is the fewest lines in a row with NOISE words or more, a window the fewest with GUARANTEE words
-or more. The lowest gram hash of each window is a fingerprint, so two copies of any run of lines with
-GUARANTEE words have one in common. Every fingerprint is joined with the first place that has it, by
-(doc_id, line), and, as that may go on differently, with the first that has it in an equal window; from there the match is extended line by line both ways, and the later run is deleted.
-A line stays where it is first, so nothing goes altogether.
+A gram is the fewest lines in a row with NOISE words or more; a window the fewest with GUARANTEE words or
+more, counted on from each line and back from each line. The lowest gram hash of each window is its
+fingerprint, so two copies of any run of lines with GUARANTEE words have one in common, and each line of
+the run is in a window of it. Every fingerprint is joined with the first place, by (doc_id, line), that has
+it in an equal window; from there the match is extended line by line both ways, and the later run is
+deleted. So exactly those lines go that are in a run of GUARANTEE words or more which an earlier place has,
+and a line stays where it is first: nothing goes altogether.
 
 The lines around a fingerprint that an extension can need travel with it (GUARANTEE words each way: the
 next fingerprint of a longer run is nearer), so no document's lines are gathered for its copies. First
-places come from an aggregation that combines before the shuffle.
+places come from an aggregation that combines before the shuffle and are written before they are joined,
+so that adaptive execution can split a passage that very many documents have.
 
 Lines are compared without surrounding white space; blank lines don't count, and go with the deleted
 line that they follow. Cases: null text stays null, empty text empty; null doc_id comes after all ids;
-rows with equal doc_id and text are one document and are treated alike; an empty table gives none;
+a document with fewer words than GUARANTEE is one window, which only equal documents share (with fewer than
+NOISE it has none); rows with equal doc_id and text are one document and are treated alike; an empty table gives none;
 extra columns stay as they are.
 """
 
@@ -48,27 +52,30 @@ def reach(words: list[int], least: int) -> list[int]:
     return out
 
 
+def window_spans(words: list[int], guarantee: int) -> list[tuple[int, int]]:
+    """(first line, last line) of the windows on from each line and back from each line."""
+    n = len(words)
+    on = [(i, end) for i, end in enumerate(reach(words, guarantee)) if end < n]
+    back = [(n - 1 - end, n - 1 - i) for i, end in enumerate(reach(words[::-1], guarantee)) if end < n]
+    return sorted({*on, *back}) or ([(0, n - 1)] if n else [])
+
+
 def fingerprints(digests: list[bytes], words: list[int], noise: int, guarantee: int) -> list[tuple[int, int, int, int]]:
     """(gram hash, window hash, first line, last line) of the window minima; of equal ones the last."""
     n, packed = len(words), b"".join(digests)
     gram_end = reach(words, noise)
     grams = [xxhash.xxh3_64_intdigest(packed[8 * i:8 * (e + 1)]) - (1 << 63) if e < n else None
              for i, e in enumerate(gram_end)]
-    window_end = reach(words, guarantee)
-    if n and window_end[0] == n:
-        window_end[0] = n - 1  # a document below the guarantee is one window
     chosen = []
-    for i, end in enumerate(window_end):
-        if end >= n:
-            break
+    for start, end in window_spans(words, guarantee):
         best = None
-        for j in range(i, end + 1):
+        for j in range(start, end + 1):
             if gram_end[j] > end:
                 break
             if best is None or grams[j] <= grams[best]:
                 best = j
         if best is not None:
-            window = xxhash.xxh3_64_intdigest(packed[8 * i:8 * (end + 1)], 1) - (1 << 63)
+            window = xxhash.xxh3_64_intdigest(packed[8 * start:8 * (end + 1)], 1) - (1 << 63)
             chosen.append((grams[best], window, best, gram_end[best]))
     return chosen
 
@@ -127,19 +134,16 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTE
     """(id, content, first, last, from_id, from_first): runs of lines that repeat an earlier run."""
     place = F.struct("id", "content", "first")
     found = saved(places(docs, noise, guarantee))
-    spread = found.groupBy("gram").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    found = saved(found.join(spread.where("low < high").select("gram"), "gram"))  # in more than one place
-
-    def later_than_first(keys: list[str]) -> DataFrame:
-        earliest = found.groupBy(*keys).agg(
-            F.min_by(F.struct("id", "content", "first", "left", "right"), place).alias("e"))
-        later = found.join(earliest, keys).where(place > F.struct("e.id", "e.content", "e.first"))
-        back, on = _same(F.col("left"), F.col("e.left")), _same(F.col("right"), F.col("e.right"))
-        return later.select(
-            "id", "content", (F.col("first") - back).alias("first"), (F.col("last") + on).alias("last"),
-            F.col("e.id").alias("from_id"), (F.col("e.first") - back).alias("from_first"))
-
-    return later_than_first(["gram"]).union(later_than_first(["gram", "window"]))
+    spread = found.groupBy("gram", "window").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    several = saved(spread.where("low < high").select("gram", "window", "low"))
+    found = saved(found.join(several, ["gram", "window"]))
+    earliest = saved(found.where(place == F.col("low")).groupBy("gram", "window").agg(
+        F.first(F.struct("id", "first", "left", "right")).alias("e")))
+    later = found.where(place > F.col("low")).join(earliest, ["gram", "window"])
+    back, on = _same(F.col("left"), F.col("e.left")), _same(F.col("right"), F.col("e.right"))
+    return later.select(
+        "id", "content", (F.col("first") - back).alias("first"), (F.col("last") + on).alias("last"),
+        F.col("e.id").alias("from_id"), (F.col("e.first") - back).alias("from_first"))
 
 
 def cut(text: bytes, runs: list[dict]) -> tuple[bytes, int, int]:
@@ -165,8 +169,8 @@ def cut(text: bytes, runs: list[dict]) -> tuple[bytes, int, int]:
 def without_repeats(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> DataFrame:
     """All rows of ``docs`` with their columns, the text cut, and n_lines and n_deleted as columns
     ``__n_lines`` and ``__n_deleted``."""
-    runs = repeated_runs(docs, noise, guarantee).groupBy("id", "content").agg(
-        F.collect_set(F.struct("first", "last")).alias("runs"))
+    runs = saved(repeated_runs(docs, noise, guarantee).groupBy("id", "content").agg(
+        F.collect_set(F.struct("first", "last")).alias("runs")))
     left = docs.select(F.struct("*").alias(_ROW), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
                        F.xxhash64("text").alias("content"))
     joined = left.join(runs, ["id", "content"], "left").select(f"{_ROW}.*", F.col("runs").alias("__runs"))
