@@ -15,8 +15,8 @@ recall of 0.9, clustered vectors far less.
 
 Cases: vectors that are null, zero, hold null or non-finite components, or have another length than
 most (of equally common lengths the shorter counts) take no part, nor do rows with null ids; repeated
-rows are candidates each, and of a repeated query id each row is a query whose results merge into one;
-ties go to the smaller id; an empty table gives none; extra columns are left out.
+rows are candidates each; rows with equal query id and vector are one query, whose own row is the first of
+them, so the others are found; one query id with several vectors is a query each, ranked apart; ties go to the smaller id; an empty table gives none; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -85,7 +85,8 @@ def assigned(rows: DataFrame, books: tuple) -> DataFrame:
                     [*batch.schema.names, "i", "j"])
 
     kind = rows.schema["vec"].dataType.simpleString()
-    return rows.mapInArrow(near, f"vec_id long, vec {kind}, i int, j int")
+    return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        near, f"vec_id long, vec {kind}, row long, i int, j int")
 
 
 def visited(a: np.ndarray, b: np.ndarray, counts: np.ndarray, enough: float) -> np.ndarray:
@@ -125,12 +126,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = SHA
         counts[r["i"], r["j"]] = r["n"]
         in_row[r["i"]] += r["all"]
     pieces = np.maximum(1, -(-in_row // PIECE_ROWS))
-    queries = index.where(is_query).select("vec_id", "vec")
+    queries = saved(index.where(is_query).groupBy("vec_id", "vec").agg(F.min("row").alias("row")))
     blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     enough = share * counts.sum()
 
     kind = rows.schema["vec"].dataType.simpleString()
-    names = ["i", "piece", "block", "query_id", "vec", "cells"]
+    names = ["i", "piece", "block", "query", "query_id", "vec", "cells"]
 
     def probe(batches):
         for batch in batches:
@@ -144,37 +145,38 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, share: float = SHA
                 n = len(to)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i for i, _ in to], pa.int32()), pa.array([p for _, p in to], pa.int32()),
-                     pa.array([block[q]] * n, pa.int32()), batch.column("vec_id").take(pa.array([q] * n, pa.int32())),
+                     pa.array([block[q]] * n, pa.int32()), batch.column("row").take(pa.array([q] * n, pa.int32())), batch.column("vec_id").take(pa.array([q] * n, pa.int32())),
                      batch.column("vec").take(pa.array([q] * n, pa.int32())),
                      pa.array([np.packbits(cells[i]).tobytes() for i, _ in to], pa.binary())], names)
 
-    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit("block"), "row"), F.lit(blocks)).cast("int")
     probes = queries.withColumn("block", block).mapInArrow(
-        probe, f"i int, piece int, block int, query_id long, vec {kind}, cells binary")
+        probe, f"i int, piece int, block int, query long, query_id long, vec {kind}, cells binary")
     of_row = F.element_at(F.array(*(F.lit(int(p)) for p in pieces)), F.col("i") + 1)
-    entries = index.withColumn("piece", F.pmod(F.xxhash64("vec_id"), of_row).cast("int")).withColumn(
+    entries = index.withColumn("piece", F.pmod(F.xxhash64("row"), of_row).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(int(blocks - 1)))))
     key = ["i", "piece", "block"]
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [(), (), ()]
+        out = [(), (), (), ()]
         if left.num_rows and right.num_rows:
             points, ids = matrix(left.column("vec").combine_chunks()), left.column("vec_id").to_numpy()
-            second = left.column("j").to_numpy()
-            targets, owners = matrix(right.column("vec").combine_chunks()), right.column("query_id").to_numpy()
+            second, own = left.column("j").to_numpy(), left.column("row").to_numpy()
+            targets = matrix(right.column("vec").combine_chunks())
+            owners, names = right.column("query").to_numpy(), right.column("query_id").to_numpy()
             found = []
             for q, cells in enumerate(right.column("cells").to_pylist()):
-                here = np.unpackbits(np.frombuffer(cells, np.uint8))[second].astype(bool) & (ids != owners[q])
+                here = np.unpackbits(np.frombuffer(cells, np.uint8))[second].astype(bool) & (own != owners[q])
                 away = points[here] - targets[q]
                 score = np.sqrt((away * away).sum(1))
                 best = np.lexsort((ids[here], score))[:k]
-                found.append((np.full(len(best), owners[q]), ids[here][best], score[best]))
+                found.append((np.full(len(best), owners[q]), np.full(len(best), names[q]), ids[here][best], score[best]))
             out = [np.concatenate(x) for x in zip(*found, strict=True)]
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
-                        ["query_id", "vec_id", "score"])
+        return pa.table([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.float64())],
+                        ["query", "query_id", "vec_id", "score"])
 
     near = entries.groupBy(*key).cogroup(probes.groupBy(*key)).applyInArrow(
-        rank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        rank, "query long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
