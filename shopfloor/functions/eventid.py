@@ -6,90 +6,46 @@ sorted) and status. Ingest time, raw payload, anomaly and version fields are
 not part of it, so a re-delivered message gets the same id. Only empty ids
 are filled.
 
-Two forms:
-
-* :func:`event_id` (default) -- byte-equal to the ids other producers of the
-  same reading write (Python ``json.dumps(..., sort_keys=True,
-  separators=(",", ":"))``: shortest float repr, ``\\uXXXX`` escapes), so
-  redeliveries dedupe against logs written before the switch. That float and
-  escape text is Python's own, so it is made by a small Arrow-batched pandas
-  function over the already-partitioned rows (ISO text is made in the JVM
-  first); measured no slower than the JVM form at sf0.1.
-* :func:`event_id_jvm` -- all built-in expressions (``to_json`` + ``sha2``),
-  stable inside this engine; its text differs from Python's where a float
-  needs exponent notation (JVM ``3.0E-4`` vs Python ``0.0003``) or text is
-  non-ASCII.
+There is one form, whatever path a reading takes: the text that Python's
+``json.dumps(..., sort_keys=True, separators=(",", ":"))`` gives, so ids equal
+those that other producers write for the same reading. It is made of column
+expressions (:mod:`shopfloor.functions.pyjson`); no Python runs.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from shopfloor.functions.pyjson import float_text, object_text, string_text
 from shopfloor.functions.timefmt import iso_text
 
 
-def _cols(machine_id, plant_id, line_id, protocol, timestamp, metrics, status):
-    return [F.col(x) if isinstance(x, str) else x
-            for x in (machine_id, plant_id, line_id, protocol, timestamp, metrics, status)]
+def _cols(*names) -> list[Column]:
+    return [F.col(x) if isinstance(x, str) else x for x in names]
 
 
-def canonical_json_jvm(machine_id: Column, plant_id: Column, line_id: Column, protocol: Column,
+def canonical_json(machine_id: Column, plant_id: Column, line_id: Column, protocol: Column,
                    timestamp: Column, metrics: Column, status: Column) -> Column:
-    # Canonical metric maps hold no null values (normalizers build them
-    # null-free), so no interpreted map_filter here; sort_array is codegen'd.
-    sorted_metrics = F.map_from_entries(F.sort_array(F.map_entries(metrics)))
-    body = F.struct(line_id.alias("line_id"), machine_id.alias("machine_id"),
-                    sorted_metrics.alias("metrics"), plant_id.alias("plant_id"),
-                    protocol.alias("source_protocol"), status.alias("status"),
-                    iso_text(timestamp).alias("timestamp"))
-    return F.to_json(body, {"ignoreNullFields": "false"})
-
-
-def event_id_jvm(machine_id="machine_id", plant_id="plant_id", line_id="line_id",
-                 protocol="source_protocol", timestamp="timestamp", metrics="metrics",
-                 status="status") -> Column:
-    return F.sha2(canonical_json_jvm(*_cols(machine_id, plant_id, line_id, protocol, timestamp,
-                                        metrics, status)), 256)
-
-
-def _as_items(m):
-    if m is None:
-        return []
-    if isinstance(m, dict):
-        return m.items()
-    return m  # Arrow hands map values to pandas as (key, value) pairs
-
-
-@F.pandas_udf(T.StringType())
-def _canonical_sha256(machine: pd.Series, plant: pd.Series, line: pd.Series, proto: pd.Series,
-                      ts: pd.Series, metrics: pd.Series, status: pd.Series) -> pd.Series:
-    def nn(x):
-        return None if x is None or (isinstance(x, float) and pd.isna(x)) else x
-    out = []
-    for m, p, li, pr, t, mets, st in zip(machine, plant, line, proto, ts, metrics, status):
-        body = {"machine_id": nn(m), "plant_id": nn(p), "line_id": nn(li), "source_protocol": nn(pr),
-                "timestamp": nn(t), "status": nn(st),
-                "metrics": {k: float(v) for k, v in _as_items(mets) if v is not None}}
-        text = json.dumps(body, sort_keys=True, separators=(",", ":"))
-        out.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
-    return pd.Series(out, dtype=object)
+    known = F.filter(F.coalesce(F.map_entries(metrics), F.array().cast("array<struct<key:string,value:double>>")),
+                     lambda e: e["value"].isNotNull())
+    members = {
+        "line_id": string_text(line_id), "machine_id": string_text(machine_id),
+        "metrics": object_text(known, float_text), "plant_id": string_text(plant_id),
+        "source_protocol": string_text(protocol), "status": string_text(status),
+        "timestamp": F.coalesce(F.concat(F.lit('"'), iso_text(timestamp), F.lit('"')), F.lit("null")),
+    }
+    parts = [F.concat(F.lit(f'"{name}":'), text) for name, text in members.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def event_id(machine_id="machine_id", plant_id="plant_id", line_id="line_id",
              protocol="source_protocol", timestamp="timestamp", metrics="metrics",
              status="status") -> Column:
-    m, p, li, pr, t, mets, st = _cols(machine_id, plant_id, line_id, protocol, timestamp,
-                                      metrics, status)
-    return _canonical_sha256(m, p, li, pr, iso_text(t), mets, st)
+    return F.sha2(canonical_json(*_cols(machine_id, plant_id, line_id, protocol, timestamp, metrics, status)), 256)
 
 
-def ensure_event_id(existing: Column | None = None, exact: bool = True) -> Column:
+def ensure_event_id(existing: Column | None = None) -> Column:
     """Keep a non-empty id, else compute it."""
     existing = F.col("event_id") if existing is None else existing
-    return F.coalesce(F.nullif(existing, F.lit("")), event_id() if exact else event_id_jvm())
+    return F.coalesce(F.nullif(existing, F.lit("")), event_id())

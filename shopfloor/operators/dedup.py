@@ -25,19 +25,18 @@ def first_arrivals(batch: DataFrame, stored_ids: DataFrame | None = None) -> Dat
     twice.
 
     An empty or missing id is filled from the reading's content first; a row
-    that still has none is nobody's copy and is kept.
+    that still has none (the content columns are missing) is nobody's copy
+    and is kept: it goes by its ``seq``.
     """
     cols = batch.columns
     if set(ID_COLUMNS) <= set(cols):
-        batch = batch.withColumn("event_id", ensure_event_id(exact=False))
-    unknown = batch.filter(F.col("event_id").isNull())
-    batch = batch.filter(F.col("event_id").isNotNull())
-    kept = (batch.groupBy("event_id")
-            .agg(F.min_by(F.struct(*cols), F.col("seq")).alias("_first"))
-            .select(*[F.col(f"_first.{c}").alias(c) for c in cols]))
+        batch = batch.withColumn("event_id", ensure_event_id())
+    key = F.coalesce(F.col("event_id"), F.concat(F.lit("seq "), F.col("seq").cast("string")))
+    kept = batch.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*cols), F.col("seq")).alias("_first"))
     if stored_ids is not None:
-        kept = kept.join(stored_ids.select("event_id").distinct(), "event_id", "left_anti")
-    return kept.select(*cols).unionByName(unknown.select(*cols))
+        stored = stored_ids.select(F.col("event_id").alias("_key")).distinct()
+        kept = kept.join(stored, "_key", "left_anti")
+    return kept.select(*[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
 def duplicates(batch: DataFrame, stored_ids: DataFrame | None = None) -> DataFrame:
@@ -66,7 +65,7 @@ def manual_ingest(readings: DataFrame, ingested_at: dt.datetime | None = None,
     :func:`first_arrivals`."""
     now = F.lit(ingested_at).cast("timestamp") if ingested_at is not None else F.current_timestamp()
     out = readings.withColumns({
-        "event_id": ensure_event_id(exact=False),
+        "event_id": ensure_event_id(),
         "pipeline_version": F.coalesce(F.nullif(F.col("pipeline_version"), F.lit("")),
                                        F.lit(S.MANUAL_INGEST_PIPELINE_VERSION)),
         "detector_version": F.coalesce(F.nullif(F.col("detector_version"), F.lit("")),

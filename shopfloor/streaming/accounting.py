@@ -34,7 +34,7 @@ def batch_accounting(arrivals: DataFrame, stored_ids: DataFrame | None = None,
     error = _optional(arrivals, "error")
     rows = arrivals.select(
         F.col(batch_col).alias("_batch"), "seq", "source_protocol", has_flags().alias("_flagged"),
-        (ensure_event_id(exact=False) if content else F.col("event_id")).alias("event_id"),
+        (ensure_event_id() if content else F.col("event_id")).alias("event_id"),
         _optional(arrivals, "pipeline_version").alias("pipeline_version"),
         _optional(arrivals, "detector_version").alias("detector_version"), error.alias("_error"))
     first = F.struct("seq", "event_id", "source_protocol", "_flagged", "pipeline_version", "detector_version")

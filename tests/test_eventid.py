@@ -1,10 +1,15 @@
-"""Event ids: the default form equals sha256 of Python's canonical json.dumps."""
+"""Event ids: sha256 of the text that Python's json.dumps gives, made without Python."""
 
 import datetime as dt
 import hashlib
 import json
+import random
+import struct
 
-from shopfloor.functions.eventid import event_id, event_id_jvm
+from pyspark.sql import functions as F
+
+from shopfloor.functions.eventid import event_id
+from shopfloor.functions.pyjson import float_text, string_text
 
 UTC = dt.timezone.utc
 ROWS = [
@@ -32,9 +37,43 @@ def test_exact_event_id_matches_python(spark):
     assert got == [python_id(r) for r in ROWS]
 
 
-def test_jvm_event_id_stable_and_content_keyed(spark):
-    df = spark.createDataFrame(ROWS + ROWS[:1], SCHEMA)
-    ids = [r.id for r in df.select(event_id_jvm().alias("id")).collect()]
-    assert ids[0] == ids[-1] and len(set(ids)) == len(ROWS)
-    # no exponent notation and ASCII only -> same text as Python's
-    assert ids[0] == python_id(ROWS[0]) and ids[1] == python_id(ROWS[1])
+def test_floats_are_python_s(spark):
+    rng = random.Random(4)
+    xs = [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(60_000)]
+    xs += [rng.choice([-1, 1]) * rng.randrange(10**rng.randint(1, 17)) * 10.0**rng.randint(-30, 30) for _ in range(40_000)]
+    xs += [rng.randrange(1, 1 << rng.randint(1, 52)) * 5e-324 for _ in range(5_000)]  # subnormal
+    xs += [round(rng.random() * 10**rng.randint(-6, 9), rng.randint(0, 9)) for _ in range(40_000)]
+    xs += [0.0, -0.0, 1e16, 1e15, 9999999999999998.0, 1e-4, 1e-5, 9.999e-5, 5e-324, 1.7976931348623157e308, 2.0**53, 1e22, 1e23,
+           float("inf"), float("-inf"), 123456789012345680.0, 0.1, 100.0, 1e7, 12345678.9]
+    xs = [x for x in xs if x == x]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", float_text(F.col("x")).alias("t")).collect()
+    assert [(r["x"], r["t"]) for r in got if r["t"] != json.dumps(r["x"])] == []
+
+
+def test_strings_are_python_s(spark):
+    rng = random.Random(6)
+    xs = ["", '"', "\\", "a\"b", "\x00\x1f\x7f\x80", "\b\t\n\f\r/", "Måskin-é", "\U0001f642 x", "\ufeff\uffff", "plain ~"]
+    xs += ["".join(chr(rng.choice([rng.randrange(128), rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)]))
+                   for _ in range(rng.randint(0, 12))) for _ in range(3_000)]
+    got = spark.createDataFrame([(x,) for x in [*xs, None]], "x string").select("x", string_text(F.col("x")).alias("t")).collect()
+    assert [(r["x"], r["t"]) for r in got if r["t"] != json.dumps(r["x"])] == []
+
+
+def test_one_id_on_every_path(spark):
+    """A reading posted by hand without an id, one of the store and a normalized one have the same id."""
+    from shopfloor.operators.dedup import first_arrivals, manual_ingest
+    from shopfloor.operators.normalize import normalize_mqtt
+    seen = dt.datetime(2024, 3, 8, 12, 13, 20, tzinfo=UTC)
+    payload = json.dumps({"ts": seen.isoformat(), "vib": 0.0003, "temp": 1e16, "status": "running"})
+    message = spark.createDataFrame([("factory/p/l/m/telemetry", payload, 1, seen)],
+                                    "topic string, payload string, arrival_seq long, arrived_at timestamp")
+    normalized = normalize_mqtt(message)
+    assert "Python" not in normalized._jdf.queryExecution().executedPlan().toString()
+    known = normalized.first()
+    for empty in ("", None):
+        posted = normalized.drop("arrival_seq", "error").withColumns(
+            {"event_id": F.lit(empty).cast("string"), "seq": F.lit(9).cast("long")})
+        assert manual_ingest(posted).first()["event_id"] == known["event_id"]
+        both = normalized.drop("arrival_seq", "error").unionByName(posted)
+        assert [r["seq"] for r in first_arrivals(both).collect()] == [1]
+    assert known["event_id"] == python_id(("m", "p", "l", "mqtt", seen, {"vibration": 0.0003, "temperature": 1e16}, "running"))
