@@ -294,8 +294,8 @@ def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     labels = saved(components(links))
 
     # Pairs of a tile that have no label in common yet.
-    marked = saved(tiles.join(labels, tiles["set_id"] == labels["node"], "left").select(
-        "shingle", "set_id", F.coalesce("label", "set_id").alias("label")))
+    marked = tiles.join(labels, tiles["set_id"] == labels["node"], "left").select(
+        "shingle", "set_id", F.coalesce("label", "set_id").alias("label"))
     mixed = saved(marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low < high").select("shingle"))
     marked = saved(marked.join(mixed, "shingle").join(sets.drop("fine", "doc_id"), "set_id"))
@@ -303,8 +303,8 @@ def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     more = _verified(docs, _bounded(pairs, sets, percent), percent)
     labels = saved(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)))
 
-    rooted = saved(sets.select("set_id", "doc_id").join(labels, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "doc_id", F.coalesce("label", "set_id").alias("root")))
+    rooted = sets.select("set_id", "doc_id").join(labels, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "doc_id", F.coalesce("label", "set_id").alias("root"))
     lowest = saved(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     by_set = saved(rooted.join(lowest, "root").select("set_id", "root", "component_id"))
     return described.select("doc_id", F.col("n").alias("n_shingles"), "set_id"), by_set
@@ -340,7 +340,7 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     Documents without words all stay. Of several rows with the chosen id and set, the one with the least
     values stays; rows are told apart by their text, not by their id."""
     described, by_set = _grouped(docs, percent)
-    counted = saved(described.where("set_id is not null").groupBy("doc_id", "set_id").agg(F.count(F.lit(1)).alias("rows")))
+    counted = described.where("set_id is not null").groupBy("doc_id", "set_id").agg(F.count(F.lit(1)).alias("rows"))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id", "rows")
     chosen = saved(counted.join(by_set, "set_id").groupBy("root").agg(F.min(key).alias("k")).select(
         F.col("k.set_id").alias("__chosen"), F.col("k.doc_id").alias("__id"), F.col("k.rows").alias("__rows")))

@@ -134,12 +134,11 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTE
     """(id, content, first, last, from_id, from_first): runs of lines that repeat an earlier run."""
     place = F.struct("id", "content", "first")
     found = saved(places(docs, noise, guarantee))
-    spread = found.groupBy("gram", "window").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    several = saved(spread.where("low < high").select("gram", "window", "low"))
-    found = saved(found.join(several, ["gram", "window"]))
-    earliest = saved(found.where(place == F.col("low")).groupBy("gram", "window").agg(
-        F.first(F.struct("id", "first", "left", "right")).alias("e")))
-    later = found.where(place > F.col("low")).join(earliest, ["gram", "window"])
+    earliest = found.groupBy("gram", "window").agg(
+        F.min(place).alias("low"), F.max(place).alias("high"),
+        F.min_by(F.struct("id", "first", "left", "right"), place).alias("e"))
+    earliest = saved(earliest.where("low < high").drop("high"))
+    later = found.join(earliest, ["gram", "window"]).where(place > F.col("low"))
     back, on = _same(F.col("left"), F.col("e.left")), _same(F.col("right"), F.col("e.right"))
     return later.select(
         "id", "content", (F.col("first") - back).alias("first"), (F.col("last") + on).alias("last"),
