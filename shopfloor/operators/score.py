@@ -15,25 +15,28 @@ non-null values of that metric only:
 * reading score = max of all signals of all its metrics (0.0 if none),
   rounded to 4 digits; flags = the distinct set, sorted.
 
-Plans
------
-``cold`` path (default for every machine): ``REPARTITION(machine_id)`` once,
-outer-explode the metric map, one ``Window`` operator holding both frames,
-then a per-reading aggregate that reuses the same partitioning: one Exchange.
-
-``hot`` path (machines with more than ``hot_machine_rows`` readings): one
-machine may hold a third of all rows, so it cannot sit in one window task.
-Each value gets its exact position within its (machine, metric) sequence
-from per-bucket counts plus a rank inside the bucket; buckets are cut at
-quantiles of the machine's own ``seq``, so gaps and clumps don't matter.
-Positions are cut into chunks of ``chunk_rows`` and the last H rows of each
-chunk are copied into the next chunk as a read-only halo (H = the longest
-look-back). Window frames inside a chunk then equal the frames over the whole
-sequence, and every step is partitioned by (machine, metric, bucket|chunk).
-
-Which machines are hot is a count aggregate inside the same plan: nothing is
-collected, no number of hot machines is too large, and building the plan runs
-no job. Both paths give the same scores; a null machine is a machine.
+Plan
+----
+One plan for all machines, whatever share of the rows one of them has. ``seq``
+is unique, so a block of ``segment_rows`` consecutive numbers holds at most so
+many rows: the rows of one machine in one block are a segment, and no segment,
+hence no window task, holds more. Frames look back over a segment's beginning
+through carried tails:
+
+1. rows are hashed by (machine, block);
+2. of each segment and metric the last H values are taken (H = the longest
+   look-back), hashed by (machine, metric), and scanned forward: what a segment
+   is handed are the last H values of the segments before it. Every tail in
+   the table has a value at least, so H tails back are enough;
+3. the tails go to their segments by (machine, block), in front of the first
+   row, the frames run over both, and the regrouping to readings stays inside
+   the segment.
+
+So there are three exchanges, the last two of tails only, and the rows are read
+once: both the tails and the frames start from the first exchange
+(``tests/test_plans.py`` counts them with broadcasts and adaptive execution
+off). Nothing is counted, sampled or collected before, and building the plan
+runs no job. A null machine is a machine.
 """
 
 from __future__ import annotations
@@ -85,14 +88,14 @@ def lookback(window: int, configs: Mapping[str, S.MetricConfig] | None = None) -
     return max([window] + [fw - 1 for fw in _flat_windows(cfgs)])
 
 
-def _signals(long: DataFrame, part_cols: list[str], order_col: str, window: int,
+def _signals(long: DataFrame, part_cols: list[str], order_cols: list[str], window: int,
              configs: Mapping[str, S.MetricConfig]) -> DataFrame:
     """Per (reading, metric) row: the three signal scores and four flags.
 
     ``long`` holds ``metric``/``value`` (value null for metric-less readings).
     All frames share one partition/order spec, so Spark plans one Window.
     """
-    w = Window.partitionBy(*part_cols).orderBy(order_col)
+    w = Window.partitionBy(*part_cols).orderBy(*order_cols)
     prev = w.rowsBetween(-window, -1)
     v = F.col("value")
     cols = {
@@ -159,73 +162,62 @@ def _explode_metrics(narrow: DataFrame) -> DataFrame:
                     F.when(F.col("value").isNotNull(), F.col("_k")).alias("metric"), "value")
 
 
-def _cold_path(narrow: DataFrame, window: int, configs) -> DataFrame:
-    # Hash-partitioning by machine_id satisfies the window's clustering on
-    # (machine_id, metric) and the regroup on (machine_id, seq): one Exchange.
-    long = _explode_metrics(narrow.repartition("machine_id"))
-    sig = _signals(long, ["machine_id", "metric"], "seq", window, configs)
-    return _per_reading(sig, ["machine_id", "seq"])
-
-
-def _same_machine(left: str, right: str) -> Column:
-    return F.col(left).eqNullSafe(F.col(right))
-
-
-def _hot_path(narrow: DataFrame, window: int, configs, buckets: int, chunk_rows: int) -> DataFrame:
-    long = _explode_metrics(narrow)
-    empty = long.filter(F.col("metric").isNull()).select(
-        "machine_id", "seq", *[F.lit(None).cast("double").alias(c) for c in SIGNAL_COLUMNS],
-        *[F.lit(False).alias(c) for c in FLAG_BOOL_COLUMNS.values()])
-    cuts = narrow.groupBy(F.col("machine_id").alias("_cut_machine")).agg(
-        F.percentile_approx("seq", [i / buckets for i in range(1, buckets)], 10_000).alias("_cuts"))
-    vals = (long.filter(F.col("metric").isNotNull())
-            .join(cuts, _same_machine("machine_id", "_cut_machine"))
-            .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("seq"))))
-            .drop("_cuts", "_cut_machine"))
-    key = ["machine_id", "metric"]
-    # Exact position = rows in earlier buckets + rank inside the bucket.
-    counts = vals.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        F.col("machine_id").alias("_om"), F.col("metric").alias("_ok"), F.col("_bucket").alias("_ob"),
-        F.coalesce(F.sum("_cnt").over(
-            Window.partitionBy(*key).orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = (vals.join(offsets, _same_machine("machine_id", "_om") & (F.col("metric") == F.col("_ok"))
-                     & (F.col("_bucket") == F.col("_ob")))
-           .withColumn("_pos", F.col("_off") + F.row_number().over(
-               Window.partitionBy(*key, "_bucket").orderBy("seq")) - 1))
-    halo = lookback(window, configs)
-    if halo >= chunk_rows:
-        raise ValueError("chunk_rows must exceed the look-back of the frames")
-    in_chunk = F.col("_pos") % chunk_rows
-    shifts = F.when(in_chunk >= chunk_rows - halo, F.array(F.lit(0), F.lit(1))) \
-              .otherwise(F.array(F.lit(0)))
-    chunked = (pos.withColumn("_shift", F.explode(shifts))
-               .withColumn("_chunk", F.floor(F.col("_pos") / chunk_rows) + F.col("_shift"))
-               .select("machine_id", "seq", "metric", "value", "_chunk", "_pos", "_shift"))
-    sig = _signals(chunked, key + ["_chunk"], "_pos", window, configs)
-    sig = sig.filter(F.col("_shift") == 0).drop("_chunk", "_pos", "_shift")
-    return _per_reading(sig.unionByName(empty), ["machine_id", "seq"])
+SEGMENT_ROWS = 4_000_000
+
+
+def _tails(narrow: DataFrame, keep: int) -> DataFrame:
+    """Per segment (``_m``, ``_block``) the values it is handed: ``_carry``, an array of (metric, values in
+    order). Segments that are handed nothing have no row."""
+    segment, sequence = ["_m", "_block"], ["_m", "metric"]
+    # Outer, so that no filter goes below the first exchange, which the frames share.
+    values = narrow.select("_m", "_block", "seq", F.explode_outer("metrics").alias("metric", "value")).filter(
+        F.col("value").isNotNull())
+    newest = Window.partitionBy(*segment, "metric").orderBy(F.desc("seq"))
+    last = values.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= keep)
+    tails = last.groupBy(*segment, "metric").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("_tail"))
+    before = Window.partitionBy(*sequence).orderBy("_block").rowsBetween(-keep, -1)
+    handed = F.flatten(F.collect_list(F.col("_tail.value")).over(before))
+    handed = tails.select(*segment, "metric", handed.alias("_all")).filter(F.size("_all") > 0)
+    handed = handed.withColumn("values", F.slice("_all", F.greatest(F.lit(1), F.size("_all") - keep + 1), F.lit(keep)))
+    return handed.groupBy(*segment).agg(F.collect_list(F.struct("metric", "values")).alias("_carry"))
+
+
+def _handed_on(narrow: DataFrame, tails: DataFrame) -> DataFrame:
+    """Long rows of each segment: (``_now`` false) what it is handed, then its own values. A reading without
+    values keeps one row with null metric."""
+    first = F.row_number().over(Window.partitionBy("_m", "_block").orderBy("seq")) == 1
+    rows = narrow.withColumn("_first", first).join(tails, ["_m", "_block"], "left")
+    entry = "array<struct<metric:string,value:double,_now:boolean,_at:bigint>>"
+    own = F.transform(F.map_entries("metrics"), lambda e: F.struct(
+        F.when(e["value"].isNotNull(), e["key"]).alias("metric"), e["value"].alias("value"),
+        F.lit(True).alias("_now"), F.col("seq").alias("_at")))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),
+                            F.lit(True).alias("_now"), F.col("seq").alias("_at")))
+    own = F.when(F.size("metrics") > 0, own.cast(entry)).otherwise(none.cast(entry))
+    handed = F.flatten(F.transform("_carry", lambda c: F.transform(c["values"], lambda v, i: F.struct(
+        c["metric"].alias("metric"), v.alias("value"), F.lit(False).alias("_now"), i.cast("long").alias("_at")))))
+    both = F.when(F.col("_first") & F.col("_carry").isNotNull(), F.concat(handed.cast(entry), own)).otherwise(own)
+    return rows.select("_m", "_block", "seq", F.inline(both))
 
 
 def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
-          configs: Mapping[str, S.MetricConfig] | None = None,
-          hot_machine_rows: int | None = 5_000_000, buckets: int = 64,
-          chunk_rows: int = 1_000_000) -> DataFrame:
+          configs: Mapping[str, S.MetricConfig] | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Score readings -> ``(machine_id, seq, anomaly_score, anomaly_flags)``.
 
-    ``readings`` needs ``machine_id``, a unique ``seq`` and ``metrics``.
-    ``hot_machine_rows=None`` plans the single-Exchange path for all machines.
-    """
+    ``readings`` needs ``machine_id``, a unique ``seq`` and ``metrics``. ``segment_rows``: most rows that
+    one window task holds of a machine."""
     cfgs = resolve_configs(configs)
-    narrow = readings.select("machine_id", "seq", "metrics")
-    if hot_machine_rows is None:
-        return _cold_path(narrow, window, cfgs)
-    hot = (narrow.groupBy(F.col("machine_id").alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
-           .filter(F.col("_rows") > hot_machine_rows).select("_hot"))
-    rest = narrow.join(hot, _same_machine("machine_id", "_hot"), "left_anti")
-    split = narrow.join(hot, _same_machine("machine_id", "_hot"), "left_semi")
-    return _cold_path(rest, window, cfgs).unionByName(_hot_path(split, window, cfgs, buckets, chunk_rows))
+    # Not null, so that no join or filter treats null machines apart, and enough to give the machine back.
+    named = F.coalesce(F.concat(F.lit("m"), F.col("machine_id")), F.lit("null"))
+    block = F.coalesce(F.floor(F.col("seq") / segment_rows), F.lit(0).cast("long"))
+    narrow = readings.select(named.alias("_m"), block.alias("_block"), "seq",
+                             F.col("metrics").cast("map<string,double>").alias("metrics")).repartition("_m", "_block")
+    long = _handed_on(narrow, _tails(narrow, lookback(window, cfgs)))
+    signals = _signals(long, ["_m", "_block", "metric"], ["_now", "_at"], window, cfgs)
+    scored = _per_reading(signals.filter("_now").drop("_now", "_at"), ["_m", "_block", "seq"])
+    machine = F.when(F.col("_m") != "null", F.substring("_m", F.lit(2), F.length("_m")))
+    return scored.select(machine.alias("machine_id"), "seq", "anomaly_score", "anomaly_flags")
 
 
 def annotate(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
@@ -243,7 +235,7 @@ def annotate(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     scored = scored.select(F.col("machine_id").alias("_machine"), F.col("seq").alias("_seq"),
                            "anomaly_score", "anomaly_flags")
     return (readings.select(*cols)
-            .join(scored, (F.col("seq") == F.col("_seq")) & _same_machine("machine_id", "_machine"))
+            .join(scored, (F.col("seq") == F.col("_seq")) & F.col("machine_id").eqNullSafe(F.col("_machine")))
             .withColumn("detector_version", F.lit(detector_version))
             .select(*[c for c in S.READING_COLUMNS if c in cols
                       or c in ("anomaly_score", "anomaly_flags", "detector_version")],

@@ -73,23 +73,21 @@ def q_score_readings(spark, sf):
 
 
 def q_score_readings_split(spark, sf):
-    """Same scores through the hot-machine plan: every machine is treated as
-    hot (threshold below any machine's count), positions come from 16
-    buckets per machine, frames run per 64-row chunk with halos.
-    Whole tables."""
-    scored = sc.score(td.arrivals(spark, sf), hot_machine_rows=1, buckets=16, chunk_rows=64)
+    """Same scores with small segments, so that every machine's sequences go
+    through many of them and frames reach back over several."""
+    scored = sc.score(td.arrivals(spark, sf), segment_rows=300)
     return scored.select("seq", "machine_id", "anomaly_score",
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
 
 def q_score_skewed(spark, sf):
     """A third of all arrivals on one machine, some on a null machine, and an
-    arrival order in two clumps far apart; split and unsplit machines."""
+    arrival order in two clumps far apart; small segments."""
     eid = F.floor(F.col("seq") / 2)
     skewed = td.arrivals(spark, sf).withColumns({
         "machine_id": F.when(eid % 3 == 0, "M-HOT").when(eid % 25 == 1, None).otherwise(F.col("machine_id")),
         "seq": F.col("seq") + F.when(F.col("seq") % 4000 >= 2000, F.lit(1 << 40)).otherwise(F.lit(0))})
-    scored = sc.score(skewed, hot_machine_rows=200, buckets=16, chunk_rows=64)
+    scored = sc.score(skewed, segment_rows=64)
     return scored.select("seq", "machine_id", "anomaly_score",
                          F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 

@@ -55,7 +55,7 @@ def score_batch(batch: DataFrame, batch_id: int, tail_path: str, window: int = S
             .filter(F.col("_rank") <= keep).select(*key, "seq", "value"))
     (kept.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(tail_path))
-    signals = _signals(long, key, "seq", window, cfgs).filter("_now").drop("_now")
+    signals = _signals(long, key, ["seq"], window, cfgs).filter("_now").drop("_now")
     scored = _per_reading(signals, ["machine_id", "seq"]).select(
         F.col("machine_id").alias("_machine"), F.col("seq").alias("_seq"),
         F.col("anomaly_score").alias("_score"), F.col("anomaly_flags").alias("_flags"))

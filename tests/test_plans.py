@@ -25,9 +25,18 @@ def test_dedup_uses_no_window_over_event_ids(spark):
     assert "partial_min_by" in p    # first arrival per id, combined map-side before the shuffle
 
 
-def test_hot_path_windows_by_chunk(spark):
-    p = plan(sc.score(td.arrivals(spark, SF001), hot_machine_rows=1, buckets=8, chunk_rows=64))
-    assert "_chunk" in p and "_bucket" in p
+def test_scoring_has_three_exchanges_and_reads_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        readings = td.event_readings(spark, SF001)
+        p = sc.score(readings)._jdf.queryExecution().executedPlan().toString()
+        scans = readings._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.count("Exchange hashpartitioning") - p.count("ReusedExchange") == 3 and p.count("ReusedExchange") == 1, p
+    assert p.count("FileScan") == scans and "Broadcast" not in p
 
 
 def test_building_a_plan_runs_no_job(spark):

@@ -22,29 +22,39 @@ def _rows(df):
             df.select("machine_id", "seq", "metrics").collect()]
 
 
-def test_cold_path_matches_loop_on_all_rows(spark):
+def test_scores_match_loop_on_all_rows(spark):
     readings = td.arrivals(spark, SF01)
     want = score_rows(_rows(readings))
-    got = _collect(sc.score(readings, hot_machine_rows=None))
-    _compare(got, want)
-    flags = {f for _, fl in want.values() for f in fl}
-    assert flags == set(S.FLAGS)
+    _compare(_collect(sc.score(readings)), want)
+    assert {f for _, fl in want.values() for f in fl} == set(S.FLAGS)
 
 
-def test_hot_path_matches_loop_with_tiny_chunks(spark):
+def test_small_segments_hand_on_their_tails(spark):
     readings = td.arrivals(spark, SF01)
     want = score_rows(_rows(readings))
-    # Every machine is "hot"; buckets and chunks far smaller than a machine's
-    # history so the halo logic carries every frame across boundaries.
-    got = _collect(sc.score(readings, hot_machine_rows=1, buckets=8, chunk_rows=70))
-    _compare(got, want)
+    # A machine's rows are spread over all segments, so frames reach back over very many of them.
+    for segment_rows in (7000, 700):
+        _compare(_collect(sc.score(readings, segment_rows=segment_rows)), want)
 
 
-def test_mixed_hot_and_cold(spark):
-    readings = td.arrivals(spark, SF01)
+def test_one_machine_with_half_of_all_rows(spark):
+    readings = td.arrivals(spark, SF01).withColumn(
+        "machine_id", F.when(F.col("seq") % 4 < 2, F.lit("M-HALF")).when(F.col("seq") % 50 == 2, None).otherwise(F.col("machine_id")))
+    share = readings.filter("machine_id = 'M-HALF'").count() / readings.count()
+    assert 0.4 < share < 0.6
     want = score_rows(_rows(readings))
-    got = _collect(sc.score(readings, hot_machine_rows=75, buckets=8, chunk_rows=64))
-    _compare(got, want)
+    scored = sc.score(readings, segment_rows=500)
+    _compare(_collect(scored), want)
+    # no segment, and so no window, has more rows than segment_rows
+    largest = readings.groupBy("machine_id", F.floor(F.col("seq") / 500)).count().agg(F.max("count")).first()[0]
+    assert largest <= 500
+
+
+def test_sparse_metrics_reach_back_over_many_segments(spark):
+    rows = [("A", i, {"often": float(i % 7), **({"rare": float(i % 11)} if i % 97 == 0 else {})}) for i in range(4000)]
+    rows += [(None, 10_000 + i, {"often": float(i % 5)}) for i in range(200)] + [("B", 20_000, {}), ("B", 20_001, None)]
+    df = spark.createDataFrame(rows, "machine_id string, seq long, metrics map<string,double>").repartition(5)
+    _compare(_collect(sc.score(df, segment_rows=40)), score_rows([(m, i, x or {}) for m, i, x in rows]))
 
 
 def test_small_window_and_custom_config(spark):
@@ -52,11 +62,8 @@ def test_small_window_and_custom_config(spark):
     cfg = {"temperature": S.MetricConfig(min_value=10, max_value=100, zscore_threshold=2.0,
                                           flatline_tolerance=5.0, flatline_window=3)}
     want = score_rows(_rows(readings), window=12, configs=cfg)
-    got = _collect(sc.score(readings, window=12, configs=cfg, hot_machine_rows=None))
-    _compare(got, want)
-    got = _collect(sc.score(readings, window=12, configs=cfg, hot_machine_rows=1,
-                            buckets=8, chunk_rows=20))
-    _compare(got, want)
+    for segment_rows in (sc.SEGMENT_ROWS, 300):
+        _compare(_collect(sc.score(readings, window=12, configs=cfg, segment_rows=segment_rows)), want)
 
 
 def _seq_df(spark, values, machine="M1", metric="temperature", extra=None):
@@ -102,15 +109,6 @@ def test_window_below_ten_never_scores_z_or_flat(spark):
     assert all(x.anomaly_flags == [] for x in r.values())
 
 
-def test_cold_path_plans_one_exchange(spark):
-    readings = td.arrivals(spark, SF01)
-    plan = sc.score(readings, hot_machine_rows=None)._jdf.queryExecution().executedPlan().toString()
-    # one hash shuffle (by machine_id) serves the window and the regroup; a
-    # round-robin spread of a single-split input may precede it
-    assert plan.count("hashpartitioning") == 1, plan
-    assert plan.count("Window [") == 1
-
-
 def test_annotate_keeps_rows_and_stamps(spark):
     readings = td.event_readings(spark, SF01)
     out = sc.annotate(readings, detector_version="rules-test")

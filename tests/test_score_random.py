@@ -44,8 +44,7 @@ def test_random_cases(spark, seed):
     window, cfgs, rows = random_case(seed)
     want = score_rows(rows, window=window, configs=cfgs)
     df = spark.createDataFrame(rows, "machine_id string, seq long, metrics map<string,double>")
-    for plan in (dict(hot_machine_rows=None),
-                 dict(hot_machine_rows=1, buckets=8, chunk_rows=max(window, 15) + 3)):
+    for plan in (dict(), dict(segment_rows=50), dict(segment_rows=max(window, 15) + 3)):
         got = {(r.machine_id, r.seq): (r.anomaly_score, list(r.anomaly_flags))
                for r in sc.score(df, window=window, configs=cfgs, **plan).collect()}
         assert got.keys() == want.keys()
