@@ -11,7 +11,8 @@ and a line stays where it is first: nothing goes altogether.
 The lines around a fingerprint that an extension can need travel with it (GUARANTEE words each way: the
 next fingerprint of a longer run is nearer), so no document's lines are gathered for its copies. First
 places come from an aggregation that combines before the shuffle and are written before they are joined,
-so that adaptive execution can split a passage that very many documents have.
+so that adaptive execution can split a passage that very many documents have; they grow with the input, so
+joins merge at every size.
 
 Lines are compared without surrounding white space; blank lines don't count, and go with the deleted
 line that they follow. Cases: null text stays null, empty text empty; null doc_id comes after all ids;
@@ -138,7 +139,7 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTE
         F.min(place).alias("low"), F.max(place).alias("high"),
         F.min_by(F.struct("id", "first", "left", "right"), place).alias("e"))
     earliest = saved(earliest.where("low < high").drop("high"))
-    later = found.join(earliest, ["gram", "window"]).where(place > F.col("low"))
+    later = found.join(earliest.hint("merge"), ["gram", "window"]).where(place > F.col("low"))
     back, on = _same(F.col("left"), F.col("e.left")), _same(F.col("right"), F.col("e.right"))
     return later.select(
         "id", "content", (F.col("first") - back).alias("first"), (F.col("last") + on).alias("last"),
@@ -172,7 +173,7 @@ def without_repeats(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARAN
         F.collect_set(F.struct("first", "last")).alias("runs")))
     left = docs.select(F.struct("*").alias(_ROW), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
                        F.xxhash64("text").alias("content"))
-    joined = left.join(runs, ["id", "content"], "left").select(f"{_ROW}.*", F.col("runs").alias("__runs"))
+    joined = left.join(runs.hint("merge"), ["id", "content"], "left").select(f"{_ROW}.*", F.col("runs").alias("__runs"))
     text_at = docs.columns.index("text")
 
     def rows(batches):
