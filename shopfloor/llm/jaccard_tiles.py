@@ -217,7 +217,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     ddl = "set_id long, text binary"
     rows = id_and_bytes(docs).mapInArrow(tagged, ddl).withColumn("spot", spot).mapInArrow(likely, ddl)
-    return rows.join(wanted, "set_id").dropDuplicates(["set_id"])
+    return rows.join(wanted.hint("merge"), "set_id").dropDuplicates(["set_id"])
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -279,7 +279,8 @@ def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     stands for the group) and the smallest doc_id of the group. Both are written tables.
 
     Tables on either side of a join on a key that may be common are written first, so that the join reads
-    plain shuffles, which adaptive execution can split."""
+    plain shuffles, which adaptive execution can split; those that grow with the input are merged at every
+    size."""
     described = saved(describe(docs))
     rows = saved(prefixes(docs, rarity(described), percent))
     described = described.where("class is null")
@@ -287,7 +288,7 @@ def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     first = rows.groupBy("shingle").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
     first = saved(first.where("first < last").select("shingle", "first"))
-    tiles = saved(rows.join(first, "shingle").select("shingle", "set_id", "first").distinct())
+    tiles = saved(rows.join(first.hint("merge"), "shingle").select("shingle", "set_id", "first").distinct())
     pairs = tiles.where("first <> set_id").select(
         F.least("first", "set_id").alias("a"), F.greatest("first", "set_id").alias("b")).distinct()
     links = _verified(docs, _bounded(pairs, sets, percent), percent)
@@ -314,7 +315,7 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, set_id and component_id (smallest doc_id that links reach) of each document."""
     described, by_set = _grouped(docs, percent)
     columns = ["doc_id", "n_shingles", "set_id", "component_id"]
-    return described.where("set_id is not null").join(by_set, "set_id").select(*columns).union(
+    return described.where("set_id is not null").join(by_set.hint("merge"), "set_id").select(*columns).union(
         described.where("set_id is null").withColumn("component_id", F.col("doc_id")).select(*columns))
 
 
@@ -346,7 +347,7 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
         F.col("k.set_id").alias("__chosen"), F.col("k.doc_id").alias("__id"), F.col("k.rows").alias("__rows")))
     # Documents without words have no set: they are dealt out by their ids, and match nothing.
     tagged = _with_set_id(docs).withColumn("__key", F.coalesce("__set", F.xxhash64("doc_id")))
-    kept = tagged.join(chosen, (F.col("__key") == F.col("__chosen")) & F.col("__set").isNotNull()
+    kept = tagged.join(chosen.hint("merge"), (F.col("__key") == F.col("__chosen")) & F.col("__set").isNotNull()
                        & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
     kept = kept.where("__set is null or __chosen is not null")
     if chosen.where("__rows > 1").isEmpty():
