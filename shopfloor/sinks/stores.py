@@ -2,13 +2,17 @@
 
 * point shape (time-series store): tags + fields + time, and line-protocol text
 * wide row shape (SQL store): the metric map as nine double columns
-* wide table append: idempotent by ``event_id``, partitioned by event date
+* line-protocol text read back into points
+* wide table append: idempotent by ``event_id``, partitioned by event date and
+  bucketed by id, so appending doesn't shuffle what is stored
 * event log: one JSON object per line, keys sorted; read back with an exact
   append ``seq`` from file position
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -61,8 +65,13 @@ def point_fields_long(readings: DataFrame) -> DataFrame:
                     F.col("e.value").alias("value")))
 
 
+def _escaped(c: Column, special: str) -> Column:
+    """A backslash before the special characters and before backslashes; a line end as backslash and n."""
+    return F.replace(F.regexp_replace(c, rf"([{special}\\\\])", r"\\$1"), F.lit("\n"), F.lit("\\n"))
+
+
 def _escape_tag(c: Column) -> Column:
-    return F.regexp_replace(c, r"([,= ])", r"\\$1")
+    return _escaped(c, ",= ")
 
 
 def line_protocol(readings: DataFrame) -> DataFrame:
@@ -75,7 +84,7 @@ def line_protocol(readings: DataFrame) -> DataFrame:
     metric_txt = F.array_join(F.transform(
         F.array_sort(F.map_entries("metric_fields")),
         lambda e: F.concat(_escape_tag(e["key"]), F.lit("="), e["value"].cast("string"))), ",")
-    q = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, r'(["\\])', r"\\$1"), F.lit('"'))
+    q = lambda c: F.concat(F.lit('"'), _escaped(c, '"'), F.lit('"'))
     other = F.concat_ws(",",
                         F.concat(F.lit("anomaly_score="), F.col("fields.anomaly_score").cast("string")),
                         F.concat(F.lit("anomaly_flags="), q(F.col("fields.anomaly_flags"))),
@@ -91,6 +100,56 @@ def write_points(readings: DataFrame, path: str, mode: str = "append") -> None:
     line_protocol(readings).write.mode(mode).text(path)
 
 
+# Parts of a line; a backslash takes the next character along.
+_LINE = r'^((?:[^ \\]++|\\.)++) ((?:[^ "\\]++|\\.|"(?:[^"\\]++|\\.)*+")++) (-?\d+)$'
+_TAG = r"((?:[^,=\\]++|\\.)++)=((?:[^,\\]++|\\.)*+)"
+_FIELD = r'((?:[^,=\\]++|\\.)++)=("(?:[^"\\]++|\\.)*+"|[^,]*+)'
+_HELD = "\x00"  # stands for a backslash that was escaped
+
+
+def _plain(c: Column) -> Column:
+    held = F.replace(F.replace(c, F.lit("\\\\"), F.lit(_HELD)), F.lit("\\n"), F.lit("\n"))
+    return F.replace(F.replace(held, F.lit("\\"), F.lit("")), F.lit(_HELD), F.lit("\\"))
+
+
+def parse_line_protocol(lines: DataFrame) -> DataFrame:
+    """Points of line-protocol text (column ``value``), as :func:`to_points` shapes them. Lines that are no
+    points (blank, comments, broken) are left out; fields of other types than number and text are null."""
+    part = lambda n: F.regexp_extract("value", _LINE, n)
+    parts = lines.filter(F.col("value").rlike(_LINE)).select(
+        part(1).alias("_head"), part(2).alias("_fields"), part(3).cast("long").alias("_ns"))
+    measurement = F.regexp_extract("_head", r"^((?:[^,\\]++|\\.)++)", 1)
+    parts = parts.withColumn("measurement", _plain(measurement)).withColumn(
+        "_tags", F.substring("_head", F.length(measurement) + 2, F.length("_head")))
+    both = lambda text, pattern, n: F.regexp_extract_all(text, F.lit(pattern), F.lit(n))
+    tags = F.map_from_arrays(F.transform(both("_tags", _TAG, 1), _plain), F.transform(both("_tags", _TAG, 2), _plain))
+    fields = F.map_from_arrays(F.transform(both("_fields", _FIELD, 1), _plain), both("_fields", _FIELD, 2))
+    quoted = lambda c: F.when(c.startswith('"'), _plain(F.substring(c, F.lit(2), F.length(c) - 2)))
+    number = lambda c: F.when(~c.startswith('"'), c.try_cast("double"))
+    parts = parts.withColumns({"tags": tags, "_all": fields})
+    names = ("anomaly_score", "anomaly_flags", "pipeline_version", "detector_version")
+    own = F.transform_values(F.map_filter("_all", lambda k, v: ~k.isin(*names)), lambda k, v: number(v))
+    return parts.select(
+        "measurement", "tags", own.alias("metric_fields"),
+        F.struct(number(F.col("_all")["anomaly_score"]).alias("anomaly_score"),
+                 *(quoted(F.col("_all")[n]).alias(n) for n in names[1:])).alias("fields"),
+        F.timestamp_micros(F.call_function("div", F.col("_ns"), F.lit(1000).cast("long"))).alias("time"))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """The points that :func:`write_points` (or another writer of the format) has left in a folder."""
+    return parse_line_protocol(spark.read.text(path).select("value"))
+
+
+def points_long(points: DataFrame) -> DataFrame:
+    """Numeric fields of points in long form, as :func:`point_fields_long` gives them for readings."""
+    entries = F.concat(F.map_entries("metric_fields"), F.array(F.struct(
+        F.lit("anomaly_score").alias("key"), F.col("fields.anomaly_score").alias("value"))))
+    return points.select(F.col("tags")["event_id"].alias("event_id"), F.col("tags")["machine_id"].alias("machine_id"), "time",
+                         F.explode(entries).alias("e")).select(
+        "event_id", "machine_id", "time", F.col("e.key").alias("field"), F.col("e.value").alias("value"))
+
+
 # -- SQL store (OP-41, OP-42) ----------------------------------------------
 
 def to_wide(readings: DataFrame) -> DataFrame:
@@ -105,45 +164,77 @@ def to_wide(readings: DataFrame) -> DataFrame:
         F.map_filter("metrics", lambda k, v: ~k.isin(*S.METRIC_COLUMNS) & v.isNotNull()).alias("extra_metrics"))
 
 
-NO_TABLE_YET = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+NO_TABLE_YET = ("PATH_NOT_FOUND",)
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None while nothing has been written there; any other fault is raised."""
+def read_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table by its fixed schema (no file is opened to find it), or None while nothing has been written
+    there; any other fault is raised."""
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as fault:
         if fault.getCondition() not in NO_TABLE_YET:
             raise
         return None
 
 
+def _layout(spark: SparkSession, path: str, buckets: int | None) -> int:
+    """Number of buckets of the table at ``path``. It is noted beside the data when the table is made (the
+    session's shuffle partitions, if none is given), and holds for every session after that."""
+    noted = f"{path.rstrip('/')}/_layout"
+    known = read_or_none(spark, noted, "buckets int")
+    if known is None:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(noted)
+        return buckets
+    return known.first()["buckets"]
+
+
+def wide_table(spark: SparkSession, path: str, columns: DataFrame, buckets: int | None = None) -> tuple[str, int]:
+    """Name (in the session's catalog) and number of buckets of the wide table at ``path``, declared if it
+    isn't known: partitioned by event date, bucketed by event id, in each bucket clustered by machine and time."""
+    name = "shopfloor_wide_" + hashlib.md5(path.encode()).hexdigest()[:16]
+    buckets = _layout(spark, path, buckets)
+    if not spark.catalog.tableExists(name):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (event_date) CLUSTERED BY (event_id) "
+                  f"SORTED BY (machine_id, time) INTO {buckets} BUCKETS LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+    return name, buckets
+
+
+def new_wide_rows(readings: DataFrame, path: str, lookback_days: int | None = None,
+                  buckets: int | None = None) -> tuple[DataFrame, str, int]:
+    """Wide rows not yet in the table, the table's name and its number of buckets."""
+    spark = readings.sparkSession
+    rows = to_wide(first_arrivals(readings)).withColumn("event_date", F.to_date("time"))
+    name, buckets = wide_table(spark, path, rows, buckets)
+    ids = spark.table(name)
+    if lookback_days is not None:
+        lo = rows.agg(F.min("event_date")).first()[0]
+        if lo is not None:
+            ids = ids.filter(F.col("event_date") >= F.date_sub(F.lit(lo), lookback_days))
+    # Dealt out like the buckets, so that the stored side stays as it is and each task writes whole buckets.
+    rows = rows.repartition(buckets, "event_id")
+    return rows.join(ids.select("event_id").hint("merge"), "event_id", "left_anti"), name, buckets
+
+
 def write_wide_table(readings: DataFrame, path: str, lookback_days: int | None = None,
-                     files_per_day: int = 64) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """OP-42: append wide rows not yet in the table (by ``event_id``; of
-    several in the batch the first arrival), partitioned by event date and
-    clustered by machine and time inside files so row-group statistics prune
-    machine/time filters. A day's rows are dealt to up to ``files_per_day``
-    tasks by machine and id, so neither a full day nor a hot machine is one
+    several in the batch the first arrival). A day's rows are spread over the
+    buckets by their ids, so neither a full day nor a hot machine is one
     task's. Returns what was appended (lazily; the write itself is done).
 
-    The anti-join reads only the id column of the stored table; with
+    The anti-join reads only the id column of the stored table, bucket by
+    bucket: the stored side is not shuffled, whatever its size; the batch is
+    dealt out like the buckets and written as it is dealt. With
     ``lookback_days`` only the ``event_date`` partitions from that many days
-    before the batch's earliest date (partition pruning) -- for ids known
-    not to re-arrive later than that. Default: every partition (exact)."""
-    spark = readings.sparkSession
-    rows = to_wide(first_arrivals(readings)).withColumn("event_date", F.to_date("time"))
-    existing = read_or_none(spark, path)
-    if existing is not None:
-        ids = existing
-        if lookback_days is not None:
-            lo = rows.agg(F.min("event_date")).first()[0]
-            if lo is not None:
-                ids = ids.filter(F.col("event_date") >= F.date_sub(F.lit(lo), lookback_days))
-        rows = rows.join(ids.select("event_id"), "event_id", "left_anti")
-    part = F.pmod(F.xxhash64("machine_id", "event_id"), F.lit(files_per_day))
-    (rows.repartition("event_date", part).sortWithinPartitions("machine_id", "time")
-     .write.mode("append").partitionBy("event_date").parquet(path))
+    before the batch's earliest date are read (partition pruning) -- for ids
+    known not to re-arrive later than that. Default: every partition (exact)."""
+    rows, name, _ = new_wide_rows(readings, path, lookback_days, buckets)
+    rows.select(*readings.sparkSession.table(name).columns).write.insertInto(name)
     return rows
 
 

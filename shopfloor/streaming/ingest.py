@@ -39,7 +39,7 @@ def _stored_ids(spark: SparkSession, store_path: str, batch_id: int,
     """Ids stored by *earlier* batches. The store is partitioned by
     ``batch_id``; excluding this batch's own partition makes a retried batch
     see exactly what its first attempt saw (partition pruning, no scan)."""
-    st = stores.read_or_none(spark, store_path)
+    st = stores.read_or_none(spark, store_path, "event_id string, timestamp timestamp, batch_id long")
     if st is None:
         return None
     st = st.filter(F.col("batch_id") < F.lit(batch_id))

@@ -31,7 +31,7 @@ from shopfloor.sinks.stores import read_or_none
 
 def _tail_before(spark, path: str, batch_id: int) -> DataFrame | None:
     """Tail rows that the latest earlier batch has left; folder names alone are looked at for that."""
-    table = read_or_none(spark, path)
+    table = read_or_none(spark, path, "machine_id string, metric string, seq long, value double, batch_id long")
     if table is None:
         return None
     table = table.filter(F.col("batch_id") < batch_id)

@@ -56,3 +56,23 @@ def test_replay_machine_filter_reaches_the_scan(spark, tmp_path):
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(machine_id), EqualTo(machine_id,M-7)" in p
     assert out.count() == td.event_readings(spark, SF001).filter(F.col("machine_id") == "M-7").count()
+
+
+def test_wide_append_leaves_the_stored_side_where_it_is(spark, tmp_path):
+    from shopfloor.sinks import stores
+    path = str(tmp_path / "wide")
+    readings = td.event_readings(spark, SF001)
+    stores.write_wide_table(readings.filter("seq % 4 = 0"), path, buckets=4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")  # the noted layout holds, not the session's
+    try:
+        rows, _, buckets = stores.new_wide_rows(readings, path)
+        p = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    stored = p[p.index("Bucketed: true") - 600:]
+    assert buckets == 4 and "SortMergeJoin" in p and "Exchange" not in p[p.rindex("FileScan parquet spark_catalog") - 400:], p
+    assert stored and rows.count() == readings.filter("seq % 4 <> 0").count()
+    stores.write_wide_table(readings, path)
+    assert spark.read.parquet(path).select("event_id").distinct().count() == spark.read.parquet(path).count() == readings.count()

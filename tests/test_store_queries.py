@@ -183,3 +183,22 @@ def test_import_log_in_the_other_writers_shape(spark, tmp_path):
     out = {x.event_id: x for x in R.replay_readings(store).collect()}
     assert "OUT_OF_RANGE" in out["id12"].anomaly_flags       # 250 > 200, null metrics ignored
     assert out["id0"].anomaly_score == 0.0
+
+
+def test_line_protocol_reads_back(spark, tmp_path):
+    """Awkward text in tags and fields, other writers' lines, blank lines and comments."""
+    odd = ["plain", "a b", "a,b=c", 'q"uote', "back\\\\slash\\", "\\n is no line end", "two\nlines", "é 日本 \U0001f642", "=,"]
+    rows = [(f"E{i}", f"M {text}", text, None, "mqtt", T0, {"temperature": 1.5 + i, "odd name,=\\": -0.25}, "running",
+             0.5, ["SPIKE", "DRIFT"] if i % 2 else [], f"v {text}", "d1") for i, text in enumerate(odd)]
+    df = spark.createDataFrame(rows, "event_id string, machine_id string, plant_id string, line_id string, source_protocol string, "
+                               "timestamp timestamp, metrics map<string,double>, status string, anomaly_score double, "
+                               "anomaly_flags array<string>, pipeline_version string, detector_version string")
+    stores.write_points(df, str(tmp_path / "points"))
+    want = {r["tags"]["event_id"]: r.asDict(True) for r in stores.to_points(df).collect()}
+    got = {r["tags"]["event_id"]: r.asDict(True) for r in stores.read_points(spark, str(tmp_path / "points")).collect()}
+    assert got == want
+    lines = ["", "# comment", "no point", "m,a=b x=1i,y=t,z=\"s\",w=2.5e3 1700000000000000001", "m f=1 -1000"]
+    other = stores.parse_line_protocol(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [r["tags"] for r in other] == [{"a": "b"}, {}]
+    assert other[0]["metric_fields"] == {"x": None, "y": None, "z": None, "w": 2500.0} and other[1]["metric_fields"] == {"f": 1.0}
+    assert stores.points_long(stores.read_points(spark, str(tmp_path / "points"))).count() == 3 * len(odd)
