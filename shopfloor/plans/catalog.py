@@ -25,13 +25,14 @@ from shopfloor.session import checkpoint_dir
 from shopfloor.sinks import stores
 from shopfloor.sources import raw
 from shopfloor.sources import testdata as td
-from shopfloor.streaming import accounting
+from shopfloor.streaming import accounting, ingest
 
 AS_OF = "2024-01-31 00:00:00"
 CURSOR_EVENT = "E-5000"
 REPLAY_SINCE = "2024-01-10T00:00:00"
 REPLAY_UNTIL = "2024-01-20T00:00:00"
 STAMPED_AT = dt.datetime(2024, 2, 1, 12, tzinfo=dt.timezone.utc)
+FAN_OUT_BATCHES = 3
 BATCH_SEQ_SPAN = 2000   # accounting: arrivals grouped into micro-batches by seq
 
 
@@ -108,8 +109,10 @@ def q_public_view(spark, sf):
 
 def q_manual_ingest(spark, sf):
     """OP-05: every arrival posted as an already-scored reading without
-    versions: defaults filled, domain checked, no re-scoring."""
+    versions, a third of them without an id: defaults and ids filled, domain
+    checked, no re-scoring."""
     posted = live_scored(spark, sf).withColumns({
+        "event_id": F.when(F.col("seq") % 6 == 0, F.lit("")).when(F.col("seq") % 6 != 2, F.col("event_id")),
         "pipeline_version": F.lit(None).cast("string"),
         "detector_version": F.lit(None).cast("string")})
     out = dedup.manual_ingest(posted)
@@ -162,7 +165,7 @@ def q_recent_anomalies_retained(spark, sf):
 
 
 def q_cursor_tail(spark, sf):
-    r = Q.readings_after(store(spark, sf), CURSOR_EVENT, limit=S.TAIL_PAGE)
+    r = Q.readings_after(stored(spark, sf), CURSOR_EVENT, limit=S.TAIL_PAGE)
     return r.select("seq", "event_id", "machine_id")
 
 
@@ -311,15 +314,63 @@ def q_normalize_opcua(spark, sf):
         *S.METRIC_COLUMNS)
 
 
+def _landed(spark, kind: str, frames: DataFrame) -> DataFrame:
+    """Raw frames as a bridge lands them: files of the protocol's schema, read as a source."""
+    path = _fresh_folder(spark)
+    frames.write.parquet(path)
+    return raw.read_raw(spark, kind, path)
+
+
 def q_normalize_union(spark, sf):
+    """OP-01..03, 10c: landed frames of all three protocols, normalized to one frame, every reading."""
     u = normalize.union_protocols(
-        normalize.split_errors(normalize.normalize_mqtt(td.mqtt_messages(spark, sf)))[0],
-        normalize.normalize_modbus(normalize.attach_registry(td.modbus_polls(spark, sf),
+        normalize.split_errors(normalize.normalize_mqtt(_landed(spark, "mqtt", td.mqtt_messages(spark, sf))))[0],
+        normalize.normalize_modbus(normalize.attach_registry(_landed(spark, "modbus", td.modbus_polls(spark, sf)),
                                                              td.device_registry(spark, sf))),
-        normalize.normalize_opcua(td.opcua_polls(spark, sf)))
-    return u.groupBy("source_protocol", "status").agg(
-        F.count(F.lit(1)).alias("readings"),
-        F.sum(F.size("metrics")).alias("metric_values"))
+        normalize.normalize_opcua(_landed(spark, "opcua", td.opcua_polls(spark, sf))))
+    return normalize.wide_metrics(u).select(
+        "source_protocol", "seq", "machine_id", "plant_id", "line_id", "status",
+        F.unix_micros("timestamp").alias("ts_us"), "event_id", *S.METRIC_COLUMNS)
+
+
+def q_points_round_trip(spark, sf):
+    """OP-40, 45: points written as line-protocol text, with blanks, commas, quotes, equals signs and
+    backslashes in a tag and a text field, read back and pivoted."""
+    path = _fresh_folder(spark)
+    awkward = F.lit(' =,"\\ ')
+    rows = store(spark, sf).withColumns({
+        "plant_id": F.concat("plant_id", awkward), "pipeline_version": F.concat(awkward, "pipeline_version")})
+    stores.write_points(rows, path)
+    points = stores.read_points(spark, path)
+    pivot = Q.points_pivot(stores.points_long(points), AS_OF, hours=24 * 40)
+    tags = points.select(F.col("tags")["event_id"].alias("event_id"), F.col("tags")["plant_id"].alias("plant_tag"),
+                         F.col("tags")["status"].alias("status_tag"), F.col("fields.anomaly_flags").alias("flags_field"),
+                         F.col("fields.pipeline_version").alias("version_field"))
+    return pivot.join(tags, "event_id").select(
+        "event_id", "machine_id", F.unix_micros("time").alias("ts_us"), *S.METRIC_COLUMNS, "anomaly_score",
+        "plant_tag", "status_tag", "flags_field", "version_field")
+
+
+def q_fan_out(spark, sf):
+    """OP-13, 49: three micro-batches through the live pipeline's sinks. Each first-seen reading with its
+    batch, and whether the log, the wide table and the points have it, once each."""
+    path = _fresh_folder(spark)
+    live = _fresh_folder(spark)
+    live_scored(spark, sf).write.parquet(live)
+    arrivals = spark.read.parquet(live)
+    span = F.floor(arrivals.agg(F.max("seq")).first()[0] / F.lit(FAN_OUT_BATCHES)) + 1
+    for batch in range(FAN_OUT_BATCHES):
+        ingest.process_batch(arrivals.filter(F.floor(F.col("seq") / span) == batch), batch, f"{path}/store",
+                             wide_path=f"{path}/wide", points_path=f"{path}/points", log_path=f"{path}/log")
+    kept = spark.read.parquet(f"{path}/store").select("event_id", "seq", "batch_id")
+    sinks = {
+        "wide_rows": spark.read.parquet(f"{path}/wide").select("event_id"),
+        "points": stores.read_points(spark, f"{path}/points").select(F.col("tags")["event_id"].alias("event_id")),
+        "log_lines": stores.read_event_log(spark, f"{path}/log").select("event_id"),
+    }
+    for name, ids in sinks.items():
+        kept = kept.join(ids.groupBy("event_id").agg(F.count(F.lit(1)).alias(name)), "event_id", "left")
+    return kept
 
 
 QUERIES = {
@@ -359,4 +410,6 @@ QUERIES = {
     "normalize_modbus": q_normalize_modbus,
     "normalize_opcua": q_normalize_opcua,
     "normalize_union": q_normalize_union,
+    "points_round_trip": q_points_round_trip,
+    "fan_out": q_fan_out,
 }

@@ -245,7 +245,8 @@ skewed AS (
         f"anomaly_score, anomaly_flags, pipeline_version, 'rules-v1' AS detector_version, "
         f"{_M} FROM store"),
     "manual_ingest": _with(
-        f"SELECT seq, event_id, 'manual-ingest' AS pipeline_version, "
+        f"SELECT seq, CASE WHEN seq % 6 IN (0, 2) THEN {_event_id('source_protocol', '\"timestamp\"')} ELSE event_id END AS event_id, "
+        "'manual-ingest' AS pipeline_version, "
         f"'rules-v1' AS detector_version, anomaly_score, "
         "CAST(NULL AS VARCHAR) AS error FROM live"),
     "pipeline_stats": _with(
@@ -366,10 +367,20 @@ skewed AS (
     "normalize_opcua": _with(
         f"SELECT arrival_seq, machine_id, status, ts_us, {_event_id('\'opcua\'', 'seen')} AS event_id, {_M} FROM ua", BASE + "," + _opcua_ctes()),
     "normalize_union": _with(
-        "SELECT source_protocol, status, count(*) AS readings, CAST(sum(n_metrics) AS BIGINT) AS metric_values "
-        "FROM (SELECT 'mqtt' AS source_protocol, status, n_metrics FROM mq_good "
-        "UNION ALL SELECT 'modbus', status, n_metrics FROM mb "
-        "UNION ALL SELECT 'opcua', status, n_metrics FROM ua) GROUP BY source_protocol, status",
+        " UNION ALL ".join(
+            f"SELECT '{protocol}' AS source_protocol, arrival_seq AS seq, machine_id, plant_id, line_id, status, ts_us, "
+            f"{_event_id(f"'{protocol}'", 'seen')} AS event_id, {_M} FROM {table}"
+            for protocol, table in (("mqtt", "mq_good"), ("modbus", "mb"), ("opcua", "ua"))),
         BASE + "," + _mqtt_ctes() + "," + _modbus_ctes() + "," + _opcua_ctes()),
+    "points_round_trip": _with(
+        f"SELECT event_id, machine_id, epoch_us(\"timestamp\") AS ts_us, {_M}, anomaly_score, "
+        "plant_id || ' =,\"\\ ' AS plant_tag, status AS status_tag, "
+        "CASE WHEN anomaly_flags = '' THEN 'none' ELSE anomaly_flags END AS flags_field, "
+        "' =,\"\\ ' || pipeline_version AS version_field FROM store "
+        "WHERE \"timestamp\" >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 960 HOUR "
+        "AND \"timestamp\" <= TIMESTAMP '2024-01-31 00:00:00'"),
+    "fan_out": _with(
+        "SELECT event_id, seq, CAST(floor(seq / (floor((SELECT max(seq) FROM live) / 3) + 1)) AS BIGINT) AS batch_id, "
+        "CAST(1 AS BIGINT) AS wide_rows, CAST(1 AS BIGINT) AS points, CAST(1 AS BIGINT) AS log_lines FROM store"),
 }
 SQL["replay_export"] = SQL["replay_window"]
