@@ -15,9 +15,12 @@ matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopfloor.llm.text import saved
+
+RANGE_ROWS = 1 << 20
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 TRAINED_ROLE = "assistant"
 
@@ -37,17 +40,37 @@ def last_of_role(turns: Column, role: str) -> Column:
     return F.when(back > 0, F.size(turns) - back + 1).otherwise(0).cast("int")
 
 
+def next_reply(replies: DataFrame) -> DataFrame:
+    """conv_id and ``other``, the reply of the next larger conv_id (null for the largest). ``replies``: a row
+    per conversation, conv_id and reply.
+
+    Ids are cut into ranges of about RANGE_ROWS conversations, whatever gaps they have; within a range the
+    next row has it, and the last one's is the first of the next range, from a table of one row a range."""
+    ranges = -(-replies.count() // RANGE_ROWS)
+    cuts = replies.approxQuantile("conv_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
+    cuts = F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>")
+    rows = replies.withColumn("range", F.size(F.filter(cuts, lambda c: c < F.col("conv_id").cast("double"))))
+    inside = F.lead("reply").over(Window.partitionBy("range").orderBy("conv_id"))
+    first = rows.groupBy("range").agg(F.min_by("reply", "conv_id").alias("first"))
+    after = first.select("range", F.lead("first").over(Window.orderBy("range")).alias("after"))
+    rows = rows.withColumn("inside", inside).join(after, "range")
+    return rows.select("conv_id", F.coalesce("inside", "after").alias("other"))
+
+
 def swapped_replies(turns: DataFrame) -> DataFrame:
-    """Pairs from plain conversations: chosen is each up to its last assistant turn, rejected the same
-    with that turn replaced by the last one of the conversation with the next id (null if none)."""
-    convs = conversations(turns).withColumn("at", last_of_role(F.col("turns"), TRAINED_ROLE)).where("at > 0")
-    convs = convs.select("conv_id", F.slice("turns", F.lit(1), F.col("at")).alias("chosen"))
+    """Pairs from plain conversations, one each: chosen is it up to its last assistant turn (what follows that
+    has no reply and is left out), rejected the same with that turn replaced by the last one of the next
+    conversation that has one. Both are null for a conversation without an assistant turn, rejected for the
+    last."""
+    convs = saved(conversations(turns).withColumn("at", last_of_role(F.col("turns"), TRAINED_ROLE)))
+    replied = convs.where("at > 0").select("conv_id", F.slice("turns", F.lit(1), F.col("at")).alias("chosen"))
     reply = F.element_at("chosen", -1)
-    others = convs.select((F.col("conv_id") - 1).alias("conv_id"), reply.alias("other"))
-    pairs = convs.join(others, "conv_id", "left")
+    pairs = replied.join(next_reply(replied.select("conv_id", reply.alias("reply"))), "conv_id")
     before = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
     rejected = F.when(F.col("other").isNotNull(), F.concat(before, F.array("other")))
-    return pairs.select(F.col("conv_id").alias("pair_id"), "chosen", rejected.alias("rejected"))
+    none = F.lit(None).cast("array<struct<role:string,text:string>>")
+    return pairs.select(F.col("conv_id").alias("pair_id"), "chosen", rejected.alias("rejected")).union(
+        convs.where("at = 0").select("conv_id", none, none))
 
 
 def _head(t: Column) -> Column:
@@ -107,7 +130,7 @@ WITH t AS (SELECT DISTINCT conv_id, turn, COALESCE(role, 'unknown') AS role, COA
 o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
 l AS (SELECT conv_id, MAX(pos) AS last_pos FROM o WHERE role = 'assistant' GROUP BY conv_id),
 r AS (SELECT l.conv_id, l.last_pos, o.text AS reply FROM l JOIN o ON o.conv_id = l.conv_id AND o.pos = l.last_pos),
-p AS (SELECT a.conv_id AS pair_id, a.last_pos, a.reply AS mine, b.reply AS other FROM r a LEFT JOIN r b ON b.conv_id = a.conv_id + 1),
+p AS (SELECT conv_id AS pair_id, last_pos, reply AS mine, LEAD(reply) OVER (ORDER BY conv_id) AS other FROM r),
 h AS (SELECT o.conv_id, COALESCE(STRING_AGG('<|im_start|>' || o.role || chr(10) || o.text || '<|im_end|>' || chr(10), '' ORDER BY o.pos)
              FILTER (WHERE o.pos < l.last_pos), '') AS head FROM o JOIN l ON o.conv_id = l.conv_id GROUP BY o.conv_id),
 c AS (SELECT p.*, h.head, '<|im_start|>assistant' || chr(10) || mine || '<|im_end|>' || chr(10) AS x,
@@ -120,4 +143,7 @@ SELECT pair_id, CASE WHEN other IS NULL THEN 'unpaired' WHEN other = mine THEN '
   CASE WHEN other IS NULL THEN NULL WHEN other = mine THEN '' ELSE '22:0,' || (length(mine) + 10) || ':1,1:0' END AS chosen_mask,
   CASE WHEN other IS NULL THEN NULL WHEN other = mine THEN '' ELSE '22:0,' || (length(other) + 10) || ':1,1:0' END AS rejected_mask
 FROM c
+UNION ALL
+SELECT DISTINCT conv_id, 'unpaired', CAST(NULL AS BIGINT), NULL, NULL, NULL, NULL, NULL FROM t
+WHERE conv_id NOT IN (SELECT conv_id FROM l)
 """

@@ -178,7 +178,7 @@ def test_utf8_stream_mends_like_the_standard():
         assert out == raw.decode("utf-8", "replace").encode()
 
 
-def test_preferences(spark):
+def test_preferences(spark, monkeypatch):
     turns = [("user", "q"), ("assistant", "a"), ("user", None), ("assistant", "b")]
     pairs = [(1, turns, [*turns[:3], ("assistant", "c")]), (2, turns, turns), (3, turns, turns[:2]), (4, turns, None),
              (5, [], turns), (6, turns, [("system", "s")])]
@@ -199,7 +199,15 @@ def test_preferences(spark):
     talk = [(1, 0, "user", "q"), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (2, None, None, None),
             (2, 1, "assistant", "y"), (None, 0, "assistant", "z"), (3, 0, "user", "w")]
     made = preference.swapped_replies(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"))
-    assert {r["pair_id"]: r["rejected"] and r["rejected"][-1]["text"] for r in made.collect()} == {1: "y", 2: None}
+    assert {r["pair_id"]: r["rejected"] and r["rejected"][-1]["text"] for r in made.collect()} == {1: "y", 2: None, 3: None}
+    assert {r["pair_id"]: r["chosen"] is None for r in made.collect()} == {1: False, 2: False, 3: True}
+    gaps = [(i * i * 10**9, "r%d" % i if i % 3 else None) for i in range(1, 60)]
+    talk = [(c, 0, "user", "q") for c, _ in gaps] + [(c, 1, "assistant", r) for c, r in gaps if r]
+    monkeypatch.setattr(preference, "RANGE_ROWS", 7)
+    made = preference.swapped_replies(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"))
+    replies = [(c, r) for c, r in gaps if r]
+    want = {c: None for c, _ in gaps} | {c: after for (c, _), (_, after) in zip(replies, replies[1:])}
+    assert {r["pair_id"]: r["rejected"] and r["rejected"][-1]["text"] for r in made.collect()} == want
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert preference.format_preferences(preference.swapped_replies(empty)).count() == 0
 
