@@ -5,14 +5,16 @@ log odds that the earlier ones predict. For training, these come from folds that
 the later models learn from predictions as good as those they will get.
 
 Features are words and the beginnings of words of four to six bytes, lower case, known by 64 bit
-hashes; those that tell a category apart best (chi square over the sample) are kept, FEATURES in all.
+hashes; of words longer than LONGEST bytes (in scripts without spaces) pieces that overlap by half stand
+for the word, so that all of it counts. Punctuation of any script separates. Those that tell a category apart best (chi square over the sample) are kept, FEATURES in all.
 
 The models are fitted on the driver on a sample of at most SAMPLE_ROWS labelled rows, those with the
 lowest hash of the id; features are counted by Spark over the whole texts of the sample. Every document
 is scored whole, without a shuffle.
 
 Cases: null and empty texts have no features and get the models' base rates; labels that are null are
-left out, and of several for a document the highest counts; without labels of both kinds a category's
+left out, and of several for a document the highest counts; of several texts under one id the smallest is
+the sample's; without labels of both kinds a category's
 probability is the share of its label (0 without any); rows with null doc_id and repeated rows are
 scored each for itself; an empty table gives none; extra columns are left out.
 """
@@ -42,21 +44,48 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _LETTER[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Characters above ASCII that separate words, by their first bytes and ranges of the last. Fixed values.
+_SEPARATORS = (
+    ((0xC2,), ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF))),  # Latin-1 signs but for letters
+    ((0xE2, 0x80), ((0x80, 0xBF),)), ((0xE2, 0x81), ((0x80, 0xAF),)),  # general punctuation
+    ((0xE3, 0x80), ((0x80, 0x84), (0x88, 0xBF))),  # CJK punctuation
+    ((0xEF, 0xBC), ((0x80, 0x8F), (0x9A, 0xA0), (0xBB, 0xBF))), ((0xEF, 0xBD), ((0x80, 0x80), (0x9B, 0xA5))),  # full width
+)
 _BYTE = np.random.default_rng(20240301).integers(0, 2**64, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters."""
+    letter = _LETTER[data]
+    wide = np.flatnonzero(data >= 0xC2)
+    for head, ranges in _SEPARATORS:
+        size = len(head) + 1
+        at = wide[wide + size <= len(data)]
+        for k, byte in enumerate(head):
+            at = at[data[at + k] == byte]
+        last = data[at + size - 1]
+        at = at[np.any([(last >= lo) & (last <= hi) for lo, hi in ranges], axis=0)]
+        for k in range(size):
+            letter[at + k] = False
+    return letter
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) of every letter run and its beginnings, as numbers and hashes; with repeats.
 
-    Of runs longer than LONGEST bytes the beginning of that length stands for the run."""
-    letter = _LETTER[data]
+    Of runs longer than LONGEST bytes there is a piece of that length from every half of it on."""
+    letter = letters(data)
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     start, end = letter.copy(), letter.copy()
     start[1:] &= ~letter[:-1] | cut[1:-1]
     end[:-1] &= ~letter[1:] | cut[1:-1]
     start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
+    half = LONGEST // 2
+    more = np.maximum(0, -(-(end - start - LONGEST) // half))
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    start, end = np.concatenate([start, np.repeat(start, more) + nth * half]), np.concatenate([end, np.repeat(end, more)])
     text = np.searchsorted(offsets, start, "right") - 1
     low = _LOWER[data]
     size = np.minimum(end - start, LONGEST)
@@ -176,8 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
     labelled = labelled.dropna().groupBy("doc_id").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(names))))
     # at most ``rows`` rows of a few numbers each
     sample = F.broadcast(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    sample = saved(id_and_bytes(docs).join(sample, "doc_id").dropDuplicates(["doc_id"]))
     ys = [f"y{i}" for i in range(len(names))]
+    sample = saved(id_and_bytes(docs).join(sample, "doc_id").groupBy("doc_id", *ys).agg(F.min("text").alias("text")))
 
     def every(batches):
         for batch, data, offsets in _slices(batches):
