@@ -140,7 +140,7 @@ def normalize_mqtt(messages: DataFrame, topic_filter: str | None = None) -> Data
 
 def attach_registry(polls: DataFrame, registry: DataFrame) -> DataFrame:
     """OP-07: polls exist only for registered devices -> inner equi-join on
-    ``machine_id``; the registry is broadcast only after a bounded size check."""
+    ``machine_id``; the planner picks the join by the registry's bytes."""
     reg = registry.select("machine_id", "plant_id", "line_id", "register_addresses", "nodes")
     return polls.join(reg, "machine_id", "inner")
 

@@ -21,6 +21,7 @@ from shopfloor.operators import dedup, normalize
 from shopfloor.operators import score as sc
 from shopfloor.plans import queries as Q
 from shopfloor.plans import replay as R
+from shopfloor.plans import summary
 from shopfloor.session import checkpoint_dir
 from shopfloor.sinks import stores
 from shopfloor.sources import raw
@@ -351,17 +352,41 @@ def q_points_round_trip(spark, sf):
         "plant_tag", "status_tag", "flags_field", "version_field")
 
 
-def q_fan_out(spark, sf):
-    """OP-13, 49: three micro-batches through the live pipeline's sinks. Each first-seen reading with its
-    batch, and whether the log, the wide table and the points have it, once each."""
-    path = _fresh_folder(spark)
+def _micro_batches(spark, sf) -> list[DataFrame]:
+    """All scored arrivals in FAN_OUT_BATCHES parts, one after the other in append order."""
     live = _fresh_folder(spark)
     live_scored(spark, sf).write.parquet(live)
     arrivals = spark.read.parquet(live)
     span = F.floor(arrivals.agg(F.max("seq")).first()[0] / F.lit(FAN_OUT_BATCHES)) + 1
-    for batch in range(FAN_OUT_BATCHES):
-        ingest.process_batch(arrivals.filter(F.floor(F.col("seq") / span) == batch), batch, f"{path}/store",
-                             wide_path=f"{path}/wide", points_path=f"{path}/points", log_path=f"{path}/log")
+    return [arrivals.filter(F.floor(F.col("seq") / span) == batch) for batch in range(FAN_OUT_BATCHES)]
+
+
+def _kept_figures(spark, sf) -> DataFrame:
+    """Summaries that the micro-batches leave, the middle one retried after the last."""
+    path = _fresh_folder(spark)
+    batches = _micro_batches(spark, sf)
+    for batch in (0, 1, 2, 1):
+        ingest.process_batch(batches[batch], batch, f"{path}/store", summary_path=f"{path}/summary")
+    return summary.read_summary(spark, f"{path}/summary")
+
+
+def q_kept_machine_list(spark, sf):
+    """OP-33 from the summaries of micro-batches, without reading the store."""
+    return summary.machine_list(_kept_figures(spark, sf))
+
+
+def q_kept_stats(spark, sf):
+    """OP-31 from the summaries of micro-batches, without reading the store."""
+    return summary.pipeline_stats(_kept_figures(spark, sf))
+
+
+def q_fan_out(spark, sf):
+    """OP-13, 49: three micro-batches through the live pipeline's sinks. Each first-seen reading with its
+    batch, and whether the log, the wide table and the points have it, once each."""
+    path = _fresh_folder(spark)
+    for batch, rows in enumerate(_micro_batches(spark, sf)):
+        ingest.process_batch(rows, batch, f"{path}/store", wide_path=f"{path}/wide", points_path=f"{path}/points",
+                             log_path=f"{path}/log")
     kept = spark.read.parquet(f"{path}/store").select("event_id", "seq", "batch_id")
     sinks = {
         "wide_rows": spark.read.parquet(f"{path}/wide").select("event_id"),
@@ -412,4 +437,6 @@ QUERIES = {
     "normalize_union": q_normalize_union,
     "points_round_trip": q_points_round_trip,
     "fan_out": q_fan_out,
+    "kept_machine_list": q_kept_machine_list,
+    "kept_stats": q_kept_stats,
 }

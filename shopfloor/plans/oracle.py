@@ -383,4 +383,6 @@ skewed AS (
         "SELECT event_id, seq, CAST(floor(seq / (floor((SELECT max(seq) FROM live) / 3) + 1)) AS BIGINT) AS batch_id, "
         "CAST(1 AS BIGINT) AS wide_rows, CAST(1 AS BIGINT) AS points, CAST(1 AS BIGINT) AS log_lines FROM store"),
 }
+SQL["kept_machine_list"] = SQL["machine_list"]
+SQL["kept_stats"] = SQL["pipeline_stats"]
 SQL["replay_export"] = SQL["replay_window"]

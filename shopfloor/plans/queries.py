@@ -181,17 +181,23 @@ def points_pivot(points: DataFrame, as_of, hours: int = 1,
             .agg(*values, F.map_from_entries(others).alias("extra_fields")))
 
 
-def metrics_view(store: DataFrame, duplicates: int | None = None, failed: int | None = None,
-                 accounting: DataFrame | None = None) -> DataFrame:
+def reading_counts(store: DataFrame) -> DataFrame:
+    """Readings (n) and flagged ones per machine and protocol."""
+    return store.groupBy("machine_id", "source_protocol").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(has_flags()).alias("flagged"))
+
+
+def metrics_view(store: DataFrame | None, duplicates: int | None = None, failed: int | None = None,
+                 accounting: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """OP-46: operational figures as tall ``(metric, protocol, value)`` rows.
 
     Duplicates and failed events come from the per-batch accounting rows when
     given (the worker's counters), else from the literals. The store is read
     once: counts per machine and protocol, rolled up to totals and protocols;
-    an empty store gives zeros."""
-    session = store.sparkSession
-    counts = store.groupBy("machine_id", "source_protocol").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(has_flags()).alias("flagged"))
+    an empty store gives zeros. With ``counts``
+    (:func:`shopfloor.plans.summary.counts`) it isn't read at all."""
+    counts = reading_counts(store) if counts is None else counts
+    session = counts.sparkSession
     none = session.range(1).select(F.lit(None).cast("string").alias("machine_id"), F.lit(None).cast("string").alias(
         "source_protocol"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("flagged"))
     rolled = counts.unionByName(none).rollup("source_protocol").agg(

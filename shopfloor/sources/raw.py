@@ -9,10 +9,11 @@ inference, so a stream's schema never drifts.
 from __future__ import annotations
 
 import json
-from pathlib import Path
+import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from shopfloor import schema as S
 
@@ -57,25 +58,33 @@ def _yaml(text: str) -> dict | None:
 REGISTRY_FORMATS = {".json": json.loads, ".yaml": _yaml, ".yml": _yaml}
 
 
-def _registry(path: str | None) -> dict:
-    """The registry's content by the file's suffix; nothing if there is no file."""
-    file = Path(path) if path else None
-    if file is None or not file.is_file():
+def _registry(spark: SparkSession, path: str | None) -> dict:
+    """The registry's content by the file's suffix, from any store that Spark reads; nothing if there is no
+    path or no file."""
+    if not path:
         return {}
-    parse = REGISTRY_FORMATS.get(file.suffix.lower())
+    suffix = posixpath.splitext(path)[1].lower()
+    parse = REGISTRY_FORMATS.get(suffix)
     if parse is None:
         raise ValueError(f"registry {path}: one of {', '.join(REGISTRY_FORMATS)} expected")
-    return parse(file.read_text(encoding="utf-8")) or {}
+    try:
+        file = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return (parse(file["value"]) if file else None) or {}
 
 
 def load_registry(spark: SparkSession, path: str | None) -> tuple[DataFrame, dict | None]:
     """OP-07: registry file -> (device rows, MQTT source settings or None).
 
-    The file is configuration (a handful of devices), read on the driver;
-    missing path or file -> no devices. JSON or YAML by the
+    The file is configuration (a handful of devices), read by Spark from
+    wherever it is (a local path, ``file://``, ``s3://``) and parsed on the
+    driver; missing path or file -> no devices. JSON or YAML by the
     suffix. Device defaults: port 502, unit 1, poll
     interval 1.0 s, no address list (= the default register set)."""
-    payload = _registry(path)
+    payload = _registry(spark, path)
     rows = []
     for d in payload.get("modbus_devices", []) or []:
         rows.append((d["machine_id"], "modbus", d.get("host"), None, int(d.get("port", 502)),

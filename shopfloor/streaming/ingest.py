@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shopfloor import schema as S
 from shopfloor.operators.dedup import first_arrivals, stamp
+from shopfloor.plans.summary import write_summary
 from shopfloor.sinks import stores
 from shopfloor.streaming.accounting import batch_accounting
 from shopfloor.streaming.stateful import score_batch
@@ -62,7 +63,7 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
                   wide_path: str | None = None, points_path: str | None = None,
                   accounting_path: str | None = None,
                   dedup_lookback_days: int | None = None, log_path: str | None = None,
-                  rejected_path: str | None = None) -> None:
+                  rejected_path: str | None = None, summary_path: str | None = None) -> None:
     """One micro-batch of scored readings -> store, sinks, accounting.
 
     Idempotent under retries: every output is this batch's own partition
@@ -87,6 +88,8 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
             acc = batch_accounting(cached.withColumn("batch_id", F.lit(batch_id).cast("long")),
                                    batch_col="batch_id", kept=fresh).drop("batch_id")
             _overwrite_batch(acc, batch_id, accounting_path)
+        if summary_path:
+            write_summary(fresh, batch_id, summary_path)
         if wide_path:
             stores.write_wide_table(fresh, wide_path, dedup_lookback_days)
         if points_path:
@@ -109,7 +112,7 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
                  detector_version: str = S.DEFAULT_DETECTOR_VERSION,
                  ingested_at: dt.datetime | None = None, trigger: dict | None = None,
                  dedup_lookback_days: int | None = None, log_path: str | None = None,
-                 rejected_path: str | None = None):
+                 rejected_path: str | None = None, summary_path: str | None = None):
     """Start the live pipeline on a streaming DataFrame of canonical readings
     (e.g. ``normalize_mqtt(read_raw(spark, "mqtt", path, stream=True))``;
     an ``error`` column marks rejects, which go to ``rejected_path``).
@@ -128,7 +131,7 @@ def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *
         try:
             scored = score_batch(batch, batch_id, tail_path, window, configs, detector_version)
             process_batch(scored, batch_id, store_path, wide_path, points_path, accounting_path,
-                          dedup_lookback_days, log_path, rejected_path)
+                          dedup_lookback_days, log_path, rejected_path, summary_path)
         finally:
             batch.unpersist()
 

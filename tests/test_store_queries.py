@@ -202,3 +202,26 @@ def test_line_protocol_reads_back(spark, tmp_path):
     assert [r["tags"] for r in other] == [{"a": "b"}, {}]
     assert other[0]["metric_fields"] == {"x": None, "y": None, "z": None, "w": 2500.0} and other[1]["metric_fields"] == {"f": 1.0}
     assert stores.points_long(stores.read_points(spark, str(tmp_path / "points"))).count() == 3 * len(odd)
+
+
+def test_kept_figures_equal_the_store_s(spark, tmp_path):
+    """After late and retried batches, folded or not, and without readings."""
+    from shopfloor.plans import summary
+    from shopfloor.sources import testdata as td
+    from shopfloor.streaming import ingest
+    from tests.conftest import SF001
+    readings = td.arrivals(spark, SF001).withColumns({
+        "anomaly_flags": F.when(F.col("seq") % 5 == 0, F.array(F.lit("SPIKE"))).otherwise(F.array().cast("array<string>")),
+        "machine_id": F.when(F.col("seq") % 30 != 4, F.col("machine_id"))}).cache()
+    paths = {k: str(tmp_path / k) for k in ("store", "summary")}
+    for batch in (0, 2, 1, 2, 0):  # batch 1 comes late, 2 and 0 are retried
+        ingest.process_batch(readings.filter(F.col("seq") % 3 == batch), batch, paths["store"], summary_path=paths["summary"])
+    store, kept = spark.read.parquet(paths["store"]), summary.read_summary(spark, paths["summary"])
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    for figures in (kept, summary.fold(kept)):
+        assert rows(summary.pipeline_stats(figures)) == rows(Q.pipeline_stats(store))
+        assert rows(summary.protocol_counts(figures)) == rows(Q.protocol_counts(store))
+        assert rows(summary.machine_list(figures)) == rows(Q.machine_list(store))
+        assert rows(Q.metrics_view(None, counts=summary.counts(figures))) == rows(Q.metrics_view(store))
+    none = kept.limit(0)
+    assert summary.pipeline_stats(none).first()["total_readings"] == 0 and summary.machine_list(none).count() == 0
