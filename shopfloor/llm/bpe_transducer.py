@@ -33,9 +33,9 @@ from shopfloor.llm.pretoken import split
 from shopfloor.llm.remembered import Remembered
 from shopfloor.llm.text import id_and_bytes
 
-MAX_BYTES = 128 << 20
+MAX_BYTES, PIECE_BYTES = 128 << 20, 96 << 20
 #: About what a state and its transitions take, and each prefix in it.
-STATE_BYTES, PREFIX_BYTES = 500, 130
+STATE_BYTES, PREFIX_BYTES = 250, 65
 DEAD = -1
 NEVER = 1 << 60
 
@@ -202,7 +202,7 @@ class Transducer:
 class Codec:
     def __init__(self, ranks: dict[bytes, int]):
         self.transducer = Transducer(ranks)
-        self.ids = Remembered(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes())
+        self.ids = Remembered(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes(), PIECE_BYTES)
 
     def encode(self, text: str) -> array:
         """Ids of a text: each match of the pattern by itself, without special tokens."""
