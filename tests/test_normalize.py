@@ -51,9 +51,10 @@ def test_mqtt_quirks(spark):
         ("f/p/l/M/t", '{"ts":0,"timestamp":"2024-03-08T10:00:00+02:00","temp":1}'),
         ("f/p/l/M/t", '{"temp":1}'),                            # no ts -> arrival time
         ("f/p/l/M/t", '{"ts":1709900000000000,"temp":1}'),     # past year 9999 -> rejected
-        ("f/p/l/M/t", '{"timestamp":"20240308","temp":1}'),    # not ISO -> rejected
+        ("f/p/l/M/t", '{"timestamp":"2024030","temp":1}'),     # not ISO -> rejected
         ("short", '{"temp":1}'),                                 # short topic
         ("/factory/a/b/c/telemetry/", '{"status":"IDLE","unknown_key":5}'),
+        ("f/p/l/M/t", '{"timestamp":"20240308T090000+0100","temp":1}'),  # basic ISO form, as Python reads it
     ]
     r = mqtt(spark, rows)
     assert r[0].metrics == {"temperature": 2.0}
@@ -69,6 +70,7 @@ def test_mqtt_quirks(spark):
     assert (r[10].machine_id, r[10].plant_id, r[10].line_id) == ("unknown", None, None)
     assert (r[11].machine_id, r[11].plant_id, r[11].status) == ("c", "a", "idle")
     assert r[11].raw_payload == '{"status":"IDLE","unknown_key":5}'
+    assert r[12].error is None and r[12].timestamp.replace(tzinfo=None) == dt.datetime(2024, 3, 8, 8, 0, 0)
 
 
 def test_same_message_same_event_id(spark):

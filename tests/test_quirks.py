@@ -54,3 +54,21 @@ def test_plants_sharing_a_machine_id_share_state(spark):
     r = {x.seq: x for x in sc.score(df).collect()}
     # all ten prior values (both plants) are the machine's history
     assert "SPIKE" in r[10].anomaly_flags and "OUT_OF_RANGE" in r[10].anomaly_flags
+
+
+def test_basic_iso_text_parses_as_python_does(spark):
+    from shopfloor.functions.timefmt import parse_iso
+    texts = ["20240308", "20240308T101112", "20240308T10", "20240308T1011", "20240308 101112.5", "20240308T101112.1234567",
+             "20240308T101112Z", "20240308T101112+02:00", "20240308T101112-0330", "20240308T10:11:12+02", "2024-03-08",
+             "2024-03-08T10:11:12.25+05:30", "20241308", "20240230", "2024030", "202403081", "20240308T25", "2024", "bad", ""]
+
+    def python(text):
+        try:
+            when = dt.datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        return when.replace(tzinfo=when.tzinfo or dt.timezone.utc).timestamp()
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", (F.unix_micros(parse_iso(F.col("t"))) / 1e6).alias("at")).collect()
+    assert {r["t"]: r["at"] for r in got} == {t: python(t) for t in texts}
