@@ -44,9 +44,11 @@ def next_reply(replies: DataFrame) -> DataFrame:
     """conv_id and ``other``, the reply of the next larger conv_id (null for the largest). ``replies``: a row
     per conversation, conv_id and reply.
 
-    Ids are cut into ranges of about RANGE_ROWS conversations, whatever gaps they have; within a range the
+    Ids are cut into as many ranges as a shuffle has tasks, or more, of at most about RANGE_ROWS
+    conversations, whatever gaps they have; within a range the
     next row has it, and the last one's is the first of the next range, from a table of one row a range."""
-    ranges = -(-replies.count() // RANGE_ROWS)
+    tasks = int(replies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-replies.count() // RANGE_ROWS))
     cuts = replies.approxQuantile("conv_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
     cuts = F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>")
     rows = replies.withColumn("range", F.size(F.filter(cuts, lambda c: c < F.col("conv_id").cast("double"))))
