@@ -18,18 +18,20 @@ non-null values of that metric only:
 Plan
 ----
 One plan for all machines, whatever share of the rows one of them has. ``seq``
-is unique, so a block of ``segment_rows`` consecutive numbers holds at most so
-many rows: the rows of one machine in one block are a segment, and no segment,
-hence no window task, holds more. Frames look back over a segment's beginning
-through carried tails:
-
-1. rows are hashed by (machine, block);
+is unique, so a block of consecutive numbers holds at most so many rows. Blocks
+have a fixed width; the rows of one machine in one block are cut, in order,
+into segments of ``segment_rows``, and no segment, hence no window task, holds
+more. A machine with few rows has one segment a block, whatever
+``segment_rows`` is. Frames look back over a segment's beginning through
+carried tails:
+
+1. rows are hashed by (machine, block) and ranked there, which gives the segment;
 2. of each segment and metric the last H values are taken (H = the longest
    look-back), hashed by (machine, metric), and scanned forward: what a segment
    is handed are the last H values of the segments before it. Every tail in
    the table has a value at least, so H tails back are enough;
-3. the tails go to their segments by (machine, block), in front of the first
-   row, the frames run over both, and the regrouping to readings stays inside
+3. the tails go to their blocks by (machine, block), with the first row of the
+   block, the frames run over both, and the regrouping to readings stays inside
    the segment.
 
 So there are three exchanges, the last two of tails only, and the rows are read
@@ -163,42 +165,54 @@ def _explode_metrics(narrow: DataFrame) -> DataFrame:
 
 
 SEGMENT_ROWS = 4_000_000
+#: Most segments of one machine in a block, where a block is wider than a segment.
+BLOCK_SEGMENTS = 4096
+
+
+def block_width(segment_rows: int) -> int:
+    """How many consecutive numbers a block has."""
+    return max(segment_rows, min(SEGMENT_ROWS, segment_rows * BLOCK_SEGMENTS))
 
 
 def _tails(narrow: DataFrame, keep: int) -> DataFrame:
-    """Per segment (``_m``, ``_block``) the values it is handed: ``_carry``, an array of (metric, values in
-    order). Segments that are handed nothing have no row."""
-    segment, sequence = ["_m", "_block"], ["_m", "metric"]
+    """Per block (``_m``, ``_block``) the values its segments are handed: ``_carry``, an array of (segment,
+    metric, values in order). Blocks that are handed nothing have no row."""
+    segment, sequence = ["_m", "_block", "_segment"], ["_m", "metric"]
     # Outer, so that no filter goes below the first exchange, which the frames share.
-    values = narrow.select("_m", "_block", "seq", F.explode_outer("metrics").alias("metric", "value")).filter(
+    values = narrow.select(*segment, "seq", F.explode_outer("metrics").alias("metric", "value")).filter(
         F.col("value").isNotNull())
     newest = Window.partitionBy(*segment, "metric").orderBy(F.desc("seq"))
     last = values.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= keep)
     tails = last.groupBy(*segment, "metric").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("_tail"))
-    before = Window.partitionBy(*sequence).orderBy("_block").rowsBetween(-keep, -1)
-    handed = F.flatten(F.collect_list(F.col("_tail.value")).over(before))
+        F.sort_array(F.collect_list(F.struct("seq", "value")))["value"].alias("_tail"))
+    before = Window.partitionBy(*sequence).orderBy("_block", "_segment").rowsBetween(-keep, -1)
+    handed = F.flatten(F.collect_list("_tail").over(before))
     handed = tails.select(*segment, "metric", handed.alias("_all")).filter(F.size("_all") > 0)
     handed = handed.withColumn("values", F.slice("_all", F.greatest(F.lit(1), F.size("_all") - keep + 1), F.lit(keep)))
-    return handed.groupBy(*segment).agg(F.collect_list(F.struct("metric", "values")).alias("_carry"))
+    return handed.groupBy("_m", "_block").agg(F.collect_list(F.struct("_segment", "metric", "values")).alias("_carry"))
 
 
 def _handed_on(narrow: DataFrame, tails: DataFrame) -> DataFrame:
     """Long rows of each segment: (``_now`` false) what it is handed, then its own values. A reading without
     values keeps one row with null metric."""
-    first = F.row_number().over(Window.partitionBy("_m", "_block").orderBy("seq")) == 1
-    rows = narrow.withColumn("_first", first).join(tails, ["_m", "_block"], "left")
-    entry = "array<struct<metric:string,value:double,_now:boolean,_at:bigint>>"
-    own = F.transform(F.map_entries("metrics"), lambda e: F.struct(
-        F.when(e["value"].isNotNull(), e["key"]).alias("metric"), e["value"].alias("value"),
-        F.lit(True).alias("_now"), F.col("seq").alias("_at")))
-    none = F.array(F.struct(F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),
-                            F.lit(True).alias("_now"), F.col("seq").alias("_at")))
+    r, t = narrow.alias("r"), tails.alias("t")
+    # Only the first row of a block meets what the block's segments are handed.
+    rows = r.join(t, (F.col("r._m") == F.col("t._m")) & (F.col("r._block") == F.col("t._block")) & F.col("r._first"), "left").select(
+        *(F.col(f"r.{c}") for c in narrow.columns), "t._carry")
+    entry = "array<struct<_segment:bigint,seq:bigint,metric:string,value:double,_now:boolean,_at:bigint>>"
+
+    def at(metric: Column, value: Column) -> Column:
+        return F.struct(F.col("_segment"), F.col("seq"), metric.alias("metric"), value.alias("value"),
+                        F.lit(True).alias("_now"), F.col("seq").alias("_at"))
+
+    own = F.transform(F.map_entries("metrics"), lambda e: at(F.when(e["value"].isNotNull(), e["key"]), e["value"]))
+    none = F.array(at(F.lit(None).cast("string"), F.lit(None).cast("double")))
     own = F.when(F.size("metrics") > 0, own.cast(entry)).otherwise(none.cast(entry))
     handed = F.flatten(F.transform("_carry", lambda c: F.transform(c["values"], lambda v, i: F.struct(
-        c["metric"].alias("metric"), v.alias("value"), F.lit(False).alias("_now"), i.cast("long").alias("_at")))))
-    both = F.when(F.col("_first") & F.col("_carry").isNotNull(), F.concat(handed.cast(entry), own)).otherwise(own)
-    return rows.select("_m", "_block", "seq", F.inline(both))
+        c["_segment"].alias("_segment"), F.lit(None).cast("long").alias("seq"), c["metric"].alias("metric"),
+        v.alias("value"), F.lit(False).alias("_now"), i.cast("long").alias("_at")))))
+    both = F.when(F.col("_carry").isNotNull(), F.concat(handed.cast(entry), own)).otherwise(own)
+    return rows.select("_m", "_block", F.inline(both))
 
 
 def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
@@ -210,12 +224,17 @@ def score(readings: DataFrame, window: int = S.DEFAULT_WINDOW,
     cfgs = resolve_configs(configs)
     # Not null, so that no join or filter treats null machines apart, and enough to give the machine back.
     named = F.coalesce(F.concat(F.lit("m"), F.col("machine_id")), F.lit("null"))
-    block = F.coalesce(F.floor(F.col("seq") / segment_rows), F.lit(0).cast("long"))
+    block = F.coalesce(F.floor(F.col("seq") / block_width(segment_rows)), F.lit(0).cast("long"))
     narrow = readings.select(named.alias("_m"), block.alias("_block"), "seq",
                              F.col("metrics").cast("map<string,double>").alias("metrics")).repartition("_m", "_block")
+    order = Window.partitionBy("_m", "_block").orderBy("seq")
+    # By rank, so that rows that share a number share a segment.
+    narrow = narrow.withColumns({"_segment": F.floor((F.rank().over(order) - 1) / segment_rows),
+                                 "_first": F.row_number().over(order) == 1})
     long = _handed_on(narrow, _tails(narrow, lookback(window, cfgs)))
-    signals = _signals(long, ["_m", "_block", "metric"], ["_now", "_at"], window, cfgs)
-    scored = _per_reading(signals.filter("_now").drop("_now", "_at"), ["_m", "_block", "seq"])
+    segment = ["_m", "_block", "_segment"]
+    signals = _signals(long, [*segment, "metric"], ["_now", "_at"], window, cfgs)
+    scored = _per_reading(signals.filter("_now").drop("_now", "_at"), [*segment, "seq"])
     machine = F.when(F.col("_m") != "null", F.substring("_m", F.lit(2), F.length("_m")))
     return scored.select(machine.alias("machine_id"), "seq", "anomaly_score", "anomaly_flags")
 

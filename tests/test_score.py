@@ -50,6 +50,20 @@ def test_one_machine_with_half_of_all_rows(spark):
     assert largest <= 500
 
 
+def test_machines_with_few_rows_are_handed_nothing(spark):
+    # 200 machines take turns, so that 300 consecutive numbers have one or two rows of each.
+    rows = [(f"M{i % 200}", i, {"rpm": float(i * 7 % 31), "flow_rate": float(i % 5)}) for i in range(6000)]
+    df = spark.createDataFrame(rows, "machine_id string, seq long, metrics map<string,double>")
+    handed = []
+    was, sc._handed_on = sc._handed_on, lambda narrow, tails: handed.append(tails) or was(narrow, tails)
+    try:
+        scored = sc.score(df, segment_rows=300)
+    finally:
+        sc._handed_on = was
+    assert handed[0].count() == 0
+    _compare(_collect(scored), score_rows(rows))
+
+
 def test_sparse_metrics_reach_back_over_many_segments(spark):
     rows = [("A", i, {"often": float(i % 7), **({"rare": float(i % 11)} if i % 97 == 0 else {})}) for i in range(4000)]
     rows += [(None, 10_000 + i, {"often": float(i % 5)}) for i in range(200)] + [("B", 20_000, {}), ("B", 20_001, None)]
