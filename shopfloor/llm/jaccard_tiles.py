@@ -190,7 +190,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and a text of each of the set ids in ``wanted``, which are distinct.
 
     A filter of FILTER_BITS bits, whatever the number of sets, keeps most other texts from being shuffled."""
-    spot = F.pmod(F.xxhash64("set_id"), F.lit(FILTER_BITS)) + 1
+    spot = F.pmod("set_id", F.lit(FILTER_BITS)) + 1  # a set's id is a hash, so its low bits spread
     maps = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect()
     every = np.zeros((FILTER_BITS // 32768 + 1, 4096), np.uint8)
@@ -203,20 +203,18 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch, w in steps(batches):
             hashes = w.hashes(lower=True)
             sets = [shingle_set(hashes[a:b]) for a, b in zip(w.first, w.first[1:], strict=False)]
-            at = [i for i, s in enumerate(sets) if len(s) and seen.new(_set_id(sets[i]))]
+            keys = np.array([_set_id(s) for s in sets], np.int64)
+            at = [i for i in np.flatnonzero(likely(keys)) if len(sets[i]) and seen.new(int(keys[i]))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_set_id(sets[i]) for i in at], pa.int64()), batch.column("text").take(pa.array(at, pa.int32()))],
-                ["set_id", "text"])
+                [pa.array(keys[at], pa.int64()), batch.column("text").take(pa.array(at, pa.int32()))], ["set_id", "text"])
 
-    def likely(batches):
-        for batch in batches:
-            at = batch.column("spot").to_numpy() - 1
-            part, position = at // 32768 + 1, at % 32768  # as bitmap_bucket_number counts
-            keep = bits.value[part, position // 8] >> (position % 8).astype(np.uint8) & 1
-            yield batch.filter(pa.array(keep.astype(bool))).select(["set_id", "text"])
+    def likely(keys):
+        at = keys % FILTER_BITS
+        part, position = at // 32768 + 1, at % 32768  # as bitmap_bucket_number counts
+        return bits.value[part, position // 8] >> (position % 8).astype(np.uint8) & 1
 
-    ddl = "set_id long, text binary"
-    rows = id_and_bytes(docs).mapInArrow(tagged, ddl).withColumn("spot", spot).mapInArrow(likely, ddl)
+    # One Python step a task: a worker that a second one needs stays, with its memory, for later stages.
+    rows = id_and_bytes(docs).mapInArrow(tagged, "set_id long, text binary")
     return rows.join(wanted.hint("merge"), "set_id").dropDuplicates(["set_id"])
 
 
