@@ -66,3 +66,14 @@ def test_tiles_are_divided_and_banded(spark, monkeypatch):
     got = jaccard_tiles.similar_documents(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_shingles", "component_id")
     from tests.llm.test_operators import brute_components
     assert sorted((list(r) for r in got.collect()), key=repr) == brute_components(rows)
+
+
+def test_texts_are_fetched_in_one_python_step(spark):
+    from shopfloor.llm import jaccard_tiles
+    from shopfloor.llm.text import saved
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l"), (3, None), (4, "A b c d e f")], "doc_id long, text string")
+    sets = saved(jaccard_tiles.describe(docs).where("set_id is not null").select("doc_id", "set_id"))
+    found = jaccard_tiles._texts_of(docs, sets.where("doc_id = 2").select("set_id"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [(r.set_id, bytes(r.text)) for r in found.join(sets, "set_id").select("set_id", "text").collect()] == [
+        (sets.where("doc_id = 2").first().set_id, b"g h i j k l")]
