@@ -14,6 +14,10 @@ from shopfloor.llm import bpe_transducer, jaccard_tiles, line_winnow, pareto_mix
 from shopfloor.llm.text import documents, saved
 
 
+#: Of states and of pieces, in each worker: by the last stage the JVM has the most it ever takes.
+ENCODER_BYTES = (64 << 20, 32 << 20)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counts and the compression bands."""
     return quality_bands.passing(docs)
@@ -42,7 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of each row's ids and of the text decoded from them."""
-    return bpe_transducer.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe_transducer.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), *ENCODER_BYTES)
 
 
 STAGES = [

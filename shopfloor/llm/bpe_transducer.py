@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shopfloor.llm.pretoken import split
-from shopfloor.llm.remembered import Remembered
+from shopfloor.llm.remembered import Remembered, give_back, grows
 from shopfloor.llm.text import id_and_bytes
 
 MAX_BYTES, PIECE_BYTES = 128 << 20, 96 << 20
@@ -200,9 +200,9 @@ class Transducer:
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int]):
-        self.transducer = Transducer(ranks)
-        self.ids = Remembered(lambda piece: array("I", self.transducer.encode(piece.encode())).tobytes(), PIECE_BYTES)
+    def __init__(self, ranks: dict[bytes, int], max_bytes: int = MAX_BYTES, piece_bytes: int = PIECE_BYTES):
+        self.transducer = transducer = Transducer(ranks, max_bytes)
+        self.ids = Remembered(lambda piece: array("I", transducer.encode(piece.encode())).tobytes(), piece_bytes)
 
     def encode(self, text: str) -> array:
         """Ids of a text: each match of the pattern by itself, without special tokens."""
@@ -287,11 +287,12 @@ class Utf8Stream:
         return out
 
 
+@grows
 @lru_cache(maxsize=2)
-def load(path: str) -> Codec:
+def load(path: str, max_bytes: int = MAX_BYTES, piece_bytes: int = PIECE_BYTES) -> Codec:
     """From a ``.tiktoken`` rank file; once a worker."""
     with open(path, "rb") as f:
-        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+        return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, max_bytes, piece_bytes)
 
 
 def encode_column(docs: DataFrame, ranks: str) -> DataFrame:
@@ -308,12 +309,13 @@ def encode_column(docs: DataFrame, ranks: str) -> DataFrame:
     return id_and_bytes(docs).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
-def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
+def round_trip(docs: DataFrame, ranks: str, max_bytes: int = MAX_BYTES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Encodes every text and decodes the ids: doc_id, n_tokens and the digests of both. No shuffle.
 
-    ``ranks``: the rank file's path, the same on every executor."""
+    ``ranks``: the rank file's path, the same on every executor. ``max_bytes``, ``piece_bytes``: what a worker keeps
+    of states and of pieces; less costs time and changes no result."""
     def digests(batches):
-        codec = load(ranks)
+        codec = load(ranks, max_bytes, piece_bytes)
         for batch in batches:
             rows = []
             for x in batch.column("text"):
@@ -326,6 +328,7 @@ def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        give_back()
 
     return id_and_bytes(docs).mapInArrow(
         digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

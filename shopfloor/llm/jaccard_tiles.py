@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shopfloor.llm.components import components
+from shopfloor.llm.remembered import alone
 from shopfloor.llm.text import id_and_bytes, saved, shingle_set, split_words, steps, texts
 
 COUNTERS = 1 << 16
@@ -101,7 +102,7 @@ def describe(docs: DataFrame) -> DataFrame:
              pa.nulls(len(used), pa.binary()), *[gone] * len(SIGNATURE)], names)
 
     ddl = "class int, doc_id long, n long, set_id long, fine binary, " + ", ".join(f"{s} long" for s in SIGNATURE)
-    return id_and_bytes(docs).mapInArrow(rows, ddl)
+    return id_and_bytes(docs).mapInArrow(alone(rows), ddl)
 
 
 def rarity(described: DataFrame) -> np.ndarray:
@@ -133,7 +134,7 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles).view(np.int64)),
                                               pa.array(np.concatenate(owners))], ["shingle", "set_id"])
 
-    return id_and_bytes(docs).mapInArrow(rows, "shingle long, set_id long")
+    return id_and_bytes(docs).mapInArrow(alone(rows), "shingle long, set_id long")
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
@@ -162,7 +163,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int32()))
 
-    return saved(both.mapInArrow(bound, "a long, b long"))
+    return saved(both.mapInArrow(alone(bound), "a long, b long"))
 
 
 def _described_sets(described: DataFrame) -> DataFrame:
@@ -214,7 +215,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return bits.value[part, position // 8] >> (position % 8).astype(np.uint8) & 1
 
     # One Python step a task: a worker that a second one needs stays, with its memory, for later stages.
-    rows = id_and_bytes(docs).mapInArrow(tagged, "set_id long, text binary")
+    rows = id_and_bytes(docs).mapInArrow(alone(tagged), "set_id long, text binary")
     return rows.join(wanted.hint("merge"), "set_id").dropDuplicates(["set_id"])
 
 
@@ -240,7 +241,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
                                               pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
 
-    return saved(both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long"))
+    return saved(both.select("a", "b", "text_a", "text_b").mapInArrow(alone(compare), "a long, b long"))
 
 
 def _set_of(text: pa.Array) -> np.ndarray:
@@ -329,7 +330,7 @@ def _with_set_id(docs: DataFrame) -> DataFrame:
             ids = [_set_id(s) if len(s) else None for _, sets in _sets(iter([both])) for s in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], [*names, "__set"])
 
-    return docs.mapInArrow(rows, StructType([*docs.schema.fields, StructField("__set", LongType())]))
+    return docs.mapInArrow(alone(rows), StructType([*docs.schema.fields, StructField("__set", LongType())]))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopfloor.llm.remembered import alone
 from shopfloor.llm.text import saved
 
 NOISE, GUARANTEE = 25, 50
@@ -122,7 +123,7 @@ def places(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARANTEE) -> D
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
     return _keyed(docs).mapInArrow(
-        rows, "gram long, window long, id long, content long, first int, last int, left array<long>, right array<long>")
+        alone(rows), "gram long, window long, id long, content long, first int, last int, left array<long>, right array<long>")
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -186,4 +187,4 @@ def without_repeats(docs: DataFrame, noise: int = NOISE, guarantee: int = GUARAN
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "__n_lines", "__n_deleted"])
 
     schema = docs.select("*", F.lit(0).cast("long").alias("__n_lines"), F.lit(0).cast("long").alias("__n_deleted")).schema
-    return joined.mapInArrow(rows, schema)
+    return joined.mapInArrow(alone(rows), schema)
