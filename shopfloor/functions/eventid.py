@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shopfloor.functions.pyjson import float_text, object_text, string_text
+from shopfloor import schema as S
+from shopfloor.functions.pyjson import floats_text, string_text
 from shopfloor.functions.timefmt import iso_text
 
 
@@ -27,11 +28,9 @@ def _cols(*names) -> list[Column]:
 
 def canonical_json(machine_id: Column, plant_id: Column, line_id: Column, protocol: Column,
                    timestamp: Column, metrics: Column, status: Column) -> Column:
-    known = F.filter(F.coalesce(F.map_entries(metrics), F.array().cast("array<struct<key:string,value:double>>")),
-                     lambda e: e["value"].isNotNull())
     members = {
         "line_id": string_text(line_id), "machine_id": string_text(machine_id),
-        "metrics": object_text(known, float_text), "plant_id": string_text(plant_id),
+        "metrics": floats_text(metrics, S.METRIC_COLUMNS), "plant_id": string_text(plant_id),
         "source_protocol": string_text(protocol), "status": string_text(status),
         "timestamp": F.coalesce(F.concat(F.lit('"'), iso_text(timestamp), F.lit('"')), F.lit("null")),
     }

@@ -10,7 +10,7 @@ ASCII) take a short way of built-in functions; the rest is worked out only where
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,10 @@ SHORT_ESCAPES = {"0008": "\\b", "0009": "\\t", "000A": "\\n", "000C": "\\f", "00
 #: Decimal exponents (of 0.digits) that are written without ``e``.
 FIXED_FROM, FIXED_TO = -3, 16
 MOST_DIGITS_PLAIN = 15
+#: Text without the letters of exponents, infinities and NaN.
+PLAIN_FLOATS = r"^[^EIN]*+$"
+#: Powers of ten that a double holds exactly, and the size up to which it holds every whole number.
+EXACT_POWERS, EXACT_WHOLE = 22, 1 << 53
 #: Where digits are taken from the whole value, which is split at 2**40 into two parts that are exact.
 WHOLE_FROM, WHOLE_TO, SPLIT = 1e17, 1e31, float(1 << 40)
 
@@ -95,6 +99,33 @@ def _long_text(x: Column) -> Column:
     return F.when(F.isnan(x) | (x == float("inf")), x.cast("string")).otherwise(finite)
 
 
+def _shortest(text: Column) -> Column:
+    """Whether the JVM's text of a double has no digit too many. Where that isn't sure, false or null."""
+    def needed(text: Column) -> Column:
+        fewer = F.call_function("div", F.replace(text, F.lit("."), F.lit("")).try_cast("long") + 5, F.lit(10).cast("long"))
+        places = F.length(text) - F.instr(text, ".") - 1
+        power = F.try_element_at(F.array(*[F.lit(float(10 ** n)) for n in range(EXACT_POWERS + 1)]), places + 1)
+        # A quotient of two exact doubles is the double that the digits read as.
+        return (fewer < EXACT_WHOLE) & (fewer.cast("double") / power != text.cast("double"))
+
+    return F.when(F.length(text) <= MOST_DIGITS_PLAIN, True).when(
+        ~text.contains("E"), let(F.replace(text, F.lit("-"), F.lit("")), needed))
+
+
+def floats_text(values: Column, names: Sequence[str]) -> Column:
+    """An object of the entries of a map of doubles that aren't null.
+
+    Where all keys are among ``names`` (plain text, in lower case) and the JVM's digits are sure to be Python's, one
+    built-in function writes it. The rest, and maps that repeat a key, go entry by entry."""
+    known = F.filter(F.coalesce(F.map_entries(values), F.array().cast("array<struct<key:string,value:double>>")),
+                     lambda e: e["value"].isNotNull())
+    found = sum((values[n].isNotNull().cast("int") for n in names[1:]), values[names[0]].isNotNull().cast("int"))
+    text = F.to_json(F.struct(*[values[n].alias(n) for n in sorted(names)]))
+    plain = F.when((found == F.size(values)) & F.forall(F.map_values(values).cast("array<string>"), _shortest),
+                   F.nullif(F.regexp_extract(text, PLAIN_FLOATS, 0), F.lit("")))
+    return F.coalesce(plain, object_text(known, float_text))
+
+
 def string_text(c: Column) -> Column:
     """A quoted string; ``null`` for null."""
     def escaped(unit: Column) -> Column:

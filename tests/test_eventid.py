@@ -9,7 +9,7 @@ import struct
 from pyspark.sql import functions as F
 
 from shopfloor.functions.eventid import event_id
-from shopfloor.functions.pyjson import float_text, string_text
+from shopfloor.functions.pyjson import float_text, floats_text, string_text
 
 UTC = dt.timezone.utc
 ROWS = [
@@ -77,3 +77,29 @@ def test_one_id_on_every_path(spark):
         both = normalized.drop("arrival_seq", "error").unionByName(posted)
         assert [r["seq"] for r in first_arrivals(both).collect()] == [1]
     assert known["event_id"] == python_id(("m", "p", "l", "mqtt", seen, {"vibration": 0.0003, "temperature": 1e16}, "running"))
+
+
+def test_objects_of_floats_by_either_way(spark):
+    """The built-in writer's texts are Python's, and only what it can't be trusted with goes entry by entry."""
+    rnd = random.Random(5)
+    names = ["temperature", "vibration", "rpm", "power_kw"]
+    odd = [0.1 * 17, 2.0 ** -44, 9999999.999999998, 1e7, 1e-3, 9e-4, -0.0, 1e23, 2e-3, 0.30000000000000004, 9.100000000000001,
+           float("inf"), float("-inf"), float("nan"), 1234567.1234567891, 5e-324, -1.7000000000000002]
+    values = odd + [struct.unpack(">d", rnd.randbytes(8))[0] for _ in range(300)]
+    values += [rnd.randint(1, 10 ** 6) * s for s in (0.1, 0.01, 0.001) for _ in range(700)]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-4, 8) for _ in range(3000)]
+    maps = [{n: rnd.choice(values) for n in rnd.sample(names, rnd.randint(1, 4))} for _ in range(8000)]
+    maps += [{"rpm": v} for v in values] + [{}, None, {"rpm": None, "power_kw": 0.5}, {"Z own": 1.5, "rpm": 2.0}, {'q"': 0.1 * 3}]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(maps)], "i int, m map<string,double>")
+    got = {r.i: r.t for r in df.select("i", floats_text(F.col("m"), names).alias("t")).collect()}
+
+    def wanted(m):
+        text = {k: v for k, v in (m or {}).items() if v is not None}
+        return json.dumps(text, sort_keys=True, separators=(",", ":"))
+    assert got == {i: wanted(m) for i, m in enumerate(maps)}
+
+
+def test_maps_that_repeat_a_key_keep_both_entries(spark):
+    twice = F.expr("map_from_arrays(array('rpm', 'temperature'), array(1.5D, 2.5D))")
+    held = spark.range(1).select(twice.alias("m"))
+    assert held.select(floats_text(F.col("m"), ["temperature", "rpm"])).first()[0] == '{"rpm":1.5,"temperature":2.5}'
