@@ -77,10 +77,8 @@ def _escape_tag(c: Column) -> Column:
 def line_protocol(readings: DataFrame) -> DataFrame:
     """OP-40 as text: ``measurement,tags fields time_ns`` (one line per point)."""
     p = to_points(readings)
-    tag_txt = F.array_join(F.transform(
-        F.array(*[F.lit(t) for t in ("event_id", "machine_id", "plant_id", "line_id",
-                                     "protocol", "status")]),
-        lambda t: F.concat(t, F.lit("="), _escape_tag(F.col("tags")[t]))), ",")
+    tag_txt = F.concat_ws(",", *[F.concat(F.lit(f"{t}="), _escape_tag(F.col("tags")[t])) for t in (
+        "event_id", "machine_id", "plant_id", "line_id", "protocol", "status")])
     metric_txt = F.array_join(F.transform(
         F.array_sort(F.map_entries("metric_fields")),
         lambda e: F.concat(_escape_tag(e["key"]), F.lit("="), e["value"].cast("string"))), ",")
@@ -105,6 +103,8 @@ _LINE = r'^((?:[^ \\]++|\\.)++) ((?:[^ "\\]++|\\.|"(?:[^"\\]++|\\.)*+")++) (-?\d
 _TAG = r"((?:[^,=\\]++|\\.)++)=((?:[^,\\]++|\\.)*+)"
 _FIELD = r'((?:[^,=\\]++|\\.)++)=("(?:[^"\\]++|\\.)*+"|[^,]*+)'
 _HELD = "\x00"  # stands for a backslash that was escaped
+# Tags that can be split at commas and equals signs, as nothing is escaped in them.
+_PLAIN_TAGS = r"^[^,=\\\x00]++=[^,\\\x00]*+(?:,[^,=\\\x00]++=[^,\\\x00]*+)*+\z"
 
 
 def _plain(c: Column) -> Column:
@@ -112,21 +112,34 @@ def _plain(c: Column) -> Column:
     return F.replace(F.replace(held, F.lit("\\"), F.lit("")), F.lit(_HELD), F.lit("\\"))
 
 
+def _once(df: DataFrame, *columns: Column, where: Column | None = None) -> DataFrame:
+    """Rows of these columns, those that meet ``where``. They are generated, so a later filter on a column isn't
+    moved below it, where the column would be worked out a second time."""
+    row = F.array(F.struct(*columns))
+    return df.select(F.inline(row if where is None else F.when(where, row)))
+
+
 def parse_line_protocol(lines: DataFrame) -> DataFrame:
     """Points of line-protocol text (column ``value``), as :func:`to_points` shapes them. Lines that are no
-    points (blank, comments, broken) are left out; fields of other types than number and text are null."""
+    points (blank, comments, broken) are left out; fields of other types than number and text are null.
+
+    A line is matched once for its tags, which are parsed once; fields and time only if they are asked for."""
     part = lambda n: F.regexp_extract("value", _LINE, n)
-    parts = lines.filter(F.col("value").rlike(_LINE)).select(
-        part(1).alias("_head"), part(2).alias("_fields"), part(3).cast("long").alias("_ns"))
+    parts = lines.select("value", part(1).alias("_head"))
+    parts = _once(parts, F.col("value"), F.col("_head"), where=F.col("_head") != "")
     measurement = F.regexp_extract("_head", r"^((?:[^,\\]++|\\.)++)", 1)
-    parts = parts.withColumn("measurement", _plain(measurement)).withColumn(
-        "_tags", F.substring("_head", F.length(measurement) + 2, F.length("_head")))
+    parts = parts.select("value", measurement.alias("_name"), F.substring(
+        "_head", F.length(measurement) + 2, F.length("_head")).alias("_tags"))
     both = lambda text, pattern, n: F.regexp_extract_all(text, F.lit(pattern), F.lit(n))
     tags = F.map_from_arrays(F.transform(both("_tags", _TAG, 1), _plain), F.transform(both("_tags", _TAG, 2), _plain))
+    tags = F.when(F.col("_tags").rlike(_PLAIN_TAGS), F.str_to_map("_tags", F.lit(","), F.lit("="))).otherwise(tags)
+    parts = _once(parts, F.col("value"), F.col("_name"), tags.alias("tags"))
+    parts = parts.select(_plain(F.col("_name")).alias("measurement"), "tags",
+                         part(2).alias("_fields"), part(3).cast("long").alias("_ns"))
     fields = F.map_from_arrays(F.transform(both("_fields", _FIELD, 1), _plain), both("_fields", _FIELD, 2))
     quoted = lambda c: F.when(c.startswith('"'), _plain(F.substring(c, F.lit(2), F.length(c) - 2)))
     number = lambda c: F.when(~c.startswith('"'), c.try_cast("double"))
-    parts = parts.withColumns({"tags": tags, "_all": fields})
+    parts = parts.withColumn("_all", fields)
     names = ("anomaly_score", "anomaly_flags", "pipeline_version", "detector_version")
     own = F.transform_values(F.map_filter("_all", lambda k, v: ~k.isin(*names)), lambda k, v: number(v))
     return parts.select(

@@ -1,5 +1,7 @@
 """Physical-plan properties the design relies on at scale."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from shopfloor.operators import dedup
@@ -76,3 +78,27 @@ def test_wide_append_leaves_the_stored_side_where_it_is(spark, tmp_path):
     assert stored and rows.count() == readings.filter("seq % 4 <> 0").count()
     stores.write_wide_table(readings, path)
     assert spark.read.parquet(path).select("event_id").distinct().count() == spark.read.parquet(path).count() == readings.count()
+
+
+def test_points_are_parsed_once_whatever_is_filtered(spark, tmp_path):
+    from shopfloor.sinks import stores
+    path = str(tmp_path / "points")
+    os.makedirs(path)
+    with open(f"{path}/a.txt", "w") as f:
+        f.write('m,a=1,b=x=y,c= f=1.5,g="u v" 1000\nm,a\\,b=\\=1 f=2 2000\nm f=3 3000\n# no point\nm,a=5 f="x 4000\n')
+    points = stores.read_points(spark, path)
+    p = points.select(F.col("tags")["a"].alias("a")).filter("a is not null")._jdf.queryExecution().executedPlan().toString()
+    assert p.count("regexp_extract(") <= 3 and p.count("regexp_extract_all(") == 2, p
+    found = {r["time"].timestamp(): (r["measurement"], r["tags"], r["metric_fields"]) for r in points.collect()}
+    assert [found[t] for t in sorted(found)] == [
+        ("m", {"a": "1", "b": "x=y", "c": ""}, {"f": 1.5, "g": None}), ("m", {"a,b": "=1"}, {"f": 2.0}), ("m", {}, {"f": 3.0})]
+
+
+def test_micro_batches_are_ranges_that_reach_the_scan(spark, tmp_path):
+    from shopfloor.plans import catalog
+    batches = catalog._micro_batches(spark, SF001)
+    for batch in batches:
+        assert "GreaterThanOrEqual(seq," in batch._jdf.queryExecution().executedPlan().toString()
+    seqs = sorted(r["seq"] for batch in batches for r in batch.select("seq").collect())
+    assert seqs == sorted(r["seq"] for r in td.arrivals(spark, SF001).select("seq").collect())
+    assert [b.agg(F.max("seq")).first()[0] for b in batches] == sorted(b.agg(F.max("seq")).first()[0] for b in batches)
