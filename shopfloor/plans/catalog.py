@@ -357,8 +357,10 @@ def _micro_batches(spark, sf) -> list[DataFrame]:
     live = _fresh_folder(spark)
     live_scored(spark, sf).write.parquet(live)
     arrivals = spark.read.parquet(live)
-    span = F.floor(arrivals.agg(F.max("seq")).first()[0] / F.lit(FAN_OUT_BATCHES)) + 1
-    return [arrivals.filter(F.floor(F.col("seq") / span) == batch) for batch in range(FAN_OUT_BATCHES)]
+    span = F.floor(F.lit(arrivals.agg(F.max("seq")).first()[0]).cast("long") / F.lit(FAN_OUT_BATCHES)) + 1
+    # Ranges, so that pages of the files, which the join with the scores has left in order of seq, are skipped.
+    return [arrivals.filter((F.col("seq") >= span * batch) & (F.col("seq") < span * (batch + 1)))
+            for batch in range(FAN_OUT_BATCHES)]
 
 
 def _kept_figures(spark, sf) -> DataFrame:

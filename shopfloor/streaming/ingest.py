@@ -3,7 +3,7 @@
 ``readStream`` (landed raw messages or canonical readings) -> normalize ->
 stamp -> ``foreachBatch``, which scores with the tail of earlier batches, then:
 
-1. persist the batch once (several sinks read it);
+1. persist the batch if more than the dedup reads it, and the first arrivals (several sinks read them);
 2. first arrivals: dedup inside the batch and against ids stored by earlier
    batches;
 3. write the accounting row, the point lines, the JSONL log lines and, last,
@@ -70,8 +70,10 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
     (dynamic overwrite) or an id-keyed anti-join, and dedup compares against
     earlier batches only."""
     spark = batch.sparkSession
-    cached = batch.persist()
-    batch = cached
+    arrivals = batch
+    again = accounting_path or dedup_lookback_days is not None or (rejected_path and "error" in batch.columns)
+    if again:
+        arrivals.persist()
     try:
         if "error" in batch.columns:
             # Dead letters (OP-15): kept in their own sink, never stored.
@@ -85,7 +87,7 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
         stored = _stored_ids(spark, store_path, batch_id, since)
         fresh = first_arrivals(batch, stored).persist()
         if accounting_path:
-            acc = batch_accounting(cached.withColumn("batch_id", F.lit(batch_id).cast("long")),
+            acc = batch_accounting(arrivals.withColumn("batch_id", F.lit(batch_id).cast("long")),
                                    batch_col="batch_id", kept=fresh).drop("batch_id")
             _overwrite_batch(acc, batch_id, accounting_path)
         if summary_path:
@@ -102,7 +104,8 @@ def process_batch(batch: DataFrame, batch_id: int, store_path: str,
         _overwrite_batch(fresh.sortWithinPartitions("machine_id", "timestamp"), batch_id, store_path)
         fresh.unpersist()
     finally:
-        cached.unpersist()
+        if again:
+            arrivals.unpersist()
 
 
 def start_ingest(readings: DataFrame, checkpoint: str | None, store_path: str, *,

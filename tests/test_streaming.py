@@ -123,3 +123,19 @@ def test_raw_mqtt_stream_end_to_end(spark, tmp_path):
     want = {r.seq: r.anomaly_score for r in sc.score(good).collect()}
     got = {r.seq: r.anomaly_score for r in stored.collect()}
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_a_batch_that_the_dedup_alone_reads_is_not_persisted(spark, tmp_path, monkeypatch):
+    first, seen = ingest.first_arrivals, []
+
+    def watched(batch, stored):
+        seen.append(batch.storageLevel.useMemory)
+        return first(batch, stored)
+
+    monkeypatch.setattr(ingest, "first_arrivals", watched)
+    rows = td.event_readings(spark, SF001)
+    ingest.process_batch(rows, 0, str(tmp_path / "a"), summary_path=str(tmp_path / "sums"))
+    ingest.process_batch(rows, 0, str(tmp_path / "b"), accounting_path=str(tmp_path / "acc"))
+    assert seen == [False, True]
+    assert not rows.storageLevel.useMemory
+    assert spark.read.parquet(str(tmp_path / "a")).count() == spark.read.parquet(str(tmp_path / "b")).count() == rows.count()
