@@ -14,8 +14,9 @@ from shopfloor.llm import bpe_transducer, jaccard_tiles, line_winnow, pareto_mix
 from shopfloor.llm.text import documents, saved
 
 
-#: Of states and of pieces, in each worker: by the last stage the JVM has the most it ever takes.
-ENCODER_BYTES = (64 << 20, 32 << 20)
+#: Of states and of pieces, in each worker: by the last stage the JVM has the most it ever takes. As many states
+#: as 64 MB were counted for when they were tuples.
+ENCODER_BYTES = (52 << 20, 32 << 20)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

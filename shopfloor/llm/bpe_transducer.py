@@ -25,6 +25,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from struct import Struct
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +35,9 @@ from shopfloor.llm.remembered import Remembered, give_back, grows
 from shopfloor.llm.text import id_and_bytes
 
 MAX_BYTES, PIECE_BYTES = 128 << 20, 96 << 20
-#: About what a state and its transitions take, and each prefix in it.
-STATE_BYTES, PREFIX_BYTES = 250, 65
+#: About what a state and its transitions take; each prefix in it takes its packed size more.
+STATE_BYTES = 400
+PREFIX = Struct("<3i")
 DEAD = -1
 NEVER = 1 << 60
 
@@ -82,17 +84,18 @@ class Transducer:
         """Forgets all states but the first.
 
         A state lists prefixes, oldest first: the place in the trie of what follows it, the last token
-        and the parent's index, DEAD where there is none."""
+        and the parent's index, DEAD where there is none; packed, as tuples would take six times the bytes."""
         for known in (self.states, self.number, self.table, self.ends):
             known.clear()
         self.bytes = 0
-        self.numbered(((0, DEAD, DEAD),))
+        self.numbered([(0, DEAD, DEAD)])
 
-    def numbered(self, key: tuple) -> int:
+    def numbered(self, prefixes: list[tuple[int, int, int]]) -> int:
+        key = b"".join(PREFIX.pack(*prefix) for prefix in prefixes)
         to = self.number.setdefault(key, len(self.states))
         if to == len(self.states):
             self.states.append(key)
-            self.bytes += STATE_BYTES + PREFIX_BYTES * len(key)
+            self.bytes += STATE_BYTES + len(key)
         return to
 
     def edge(self, token: int, last: bool) -> list[tuple[int, int]]:
@@ -142,7 +145,7 @@ class Transducer:
         """The transition's target and what it emits, made and put into the table."""
         child, token_at, inner = self.child.get, self.token_at, self.inner
         prefixes, newest = [], None
-        for i, (node, token, parent) in enumerate(self.states[state]):
+        for i, (node, token, parent) in enumerate(PREFIX.iter_unpack(self.states[state])):
             if node != DEAD:
                 node = child(node << 8 | byte, DEAD)
                 if node != DEAD:
@@ -171,15 +174,15 @@ class Transducer:
             place[i] = len(kept) - 1
         if self.bytes > self.max_bytes:
             self.clear()  # also the number of the state left; the one entered gets a new one
-            return self.numbered(tuple(kept)), tuple(emitted)
-        out = self.table[state << 8 | byte] = (self.numbered(tuple(kept)), tuple(emitted))
+            return self.numbered(kept), tuple(emitted)
+        out = self.table[state << 8 | byte] = (self.numbered(kept), tuple(emitted))
         return out
 
     def end(self, state: int) -> tuple[int, ...]:
         """What is left to emit when the piece ends in this state."""
         out = self.ends.get(state)
         if out is None:
-            prefixes, tokens = self.states[state], []
+            prefixes, tokens = list(PREFIX.iter_unpack(self.states[state])), []
             _, token, parent = prefixes[-1]
             while parent != DEAD:
                 tokens.append(token)
